@@ -289,3 +289,6 @@ def q_value_range(spark, sf):
     oof = M.oof_predictions(ev_baseline(spark, sf), FT.KEY_COLUMNS, FT.TARGET_COLUMN)
     return M.value_range(oof)
 
+
+
+from feescope.plans import registry_text  # noqa: E402,F401  (registers the text queries)
