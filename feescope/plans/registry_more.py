@@ -292,3 +292,4 @@ def q_value_range(spark, sf):
 
 
 from feescope.plans import registry_text  # noqa: E402,F401  (registers the text queries)
+from feescope.plans import registry_io  # noqa: E402,F401  (registers the source / sink queries)

@@ -74,9 +74,9 @@ def normalize_timestamp(df: DataFrame, column: str = "block_timestamp") -> DataF
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return df
     if isinstance(dtype, T.LongType):
-        return df.withColumn(
-            column, F.timestamp_micros(F.floor(F.col(column) / F.lit(1000)).cast("long"))
-        )
+        # exact floor division in integers (a double loses digits past 2^53)
+        micros = F.expr(f"(`{column}` - pmod(`{column}`, 1000)) div 1000")
+        return df.withColumn(column, F.timestamp_micros(micros))
     raise ContractError(f"Unsupported {column} type: {dtype.simpleString()}")
 
 
