@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from feescope.functions.columns import cyclic_cos, cyclic_sin, one_hot
 from feescope.operators import quality as Q
-from feescope.sources.raw import require_columns, require_non_empty
+from feescope.sources.raw import ContractError, require_columns
 
 # fixed values: column contracts and the output column order
 HEATMAP_REQUIRED = ("hour_of_day", "day_of_week", "avg_gas_gwei", "tx_count")
@@ -94,26 +94,69 @@ def feature_join(heatmap: DataFrame, hourly: DataFrame, weekday: DataFrame) -> D
     return add_encodings(joined).select(*FEATURE_COLUMNS)
 
 
+def _key_stats(df: DataFrame, keys, label: str) -> DataFrame:
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(F.struct(*keys)).alias("keys")
+    ).select(F.lit(label).alias("label"), "rows", "keys")
+
+
 def checked_feature_table(
     heatmap: DataFrame, hourly: DataFrame, weekday: DataFrame, hours: int = 24, days: int = 7
 ) -> DataFrame:
     """M3: :func:`feature_join` after every contract of the original.
 
-    Column sets, non-empty inputs, unique keys, a complete grid, every cell
-    key present in both profiles, and no null in any output column.  Pass
-    materialised (checkpointed) inputs: each check is a small job over them.
+    Column sets (no job); non-empty inputs and unique keys (one job over the
+    three inputs); a complete grid with no foreign cell and every cell key
+    present in both profiles (one job); no null in any output column (one
+    job).  Detailed listings run only when a check fails.  Pass
+    materialised inputs: each job then reads a few small tables.
     """
     require_columns(heatmap, HEATMAP_REQUIRED, "heatmap_matrix")
     require_columns(hourly, HOURLY_REQUIRED, "hourly_congestion")
     require_columns(weekday, WEEKDAY_REQUIRED, "daily_congestion")
-    for df, label in ((heatmap, "heatmap_matrix"), (hourly, "hourly_congestion"), (weekday, "daily_congestion")):
-        require_non_empty(df, label)
-    Q.assert_unique_keys(hourly, ["hour_of_day"], "hourly_congestion")
-    Q.assert_unique_keys(weekday, ["day_of_week"], "daily_congestion")
-    Q.assert_unique_keys(heatmap, list(KEY_COLUMNS), "heatmap_matrix")
-    Q.assert_complete_grid(heatmap, hours, days)
-    Q.assert_no_missing_keys(heatmap, hourly, ["hour_of_day"], "hourly_congestion")
-    Q.assert_no_missing_keys(heatmap, weekday, ["day_of_week"], "daily_congestion")
+    inputs = {
+        "hourly_congestion": (hourly, ["hour_of_day"]),
+        "daily_congestion": (weekday, ["day_of_week"]),
+        "heatmap_matrix": (heatmap, list(KEY_COLUMNS)),
+    }
+    stats = None
+    for label, (df, keys) in inputs.items():
+        st = _key_stats(df, keys, label)
+        stats = st if stats is None else stats.unionByName(st)
+    by_label = {r.label: r for r in stats.collect()}
+    for label, (df, keys) in inputs.items():
+        if by_label[label].rows == 0:
+            raise ContractError(f"{label} is empty")
+        if by_label[label].rows > by_label[label].keys:
+            Q.assert_unique_keys(df, keys, label)
+
+    keys = list(KEY_COLUMNS)
+    grid = Q.expected_grid(heatmap.sparkSession, hours, days)
+    cells = heatmap.select(*keys)
+    none = F.lit(None).cast("int")
+    problems = (
+        grid.join(cells, keys, "left_anti").select(F.lit("missing cell").alias("kind"), *keys)
+        .unionByName(cells.join(grid, keys, "left_anti").select(F.lit("unexpected cell").alias("kind"), *keys))
+        .unionByName(
+            cells.select("hour_of_day").distinct().join(hourly.select("hour_of_day"), "hour_of_day", "left_anti")
+            .select(F.lit("hourly_congestion").alias("kind"), "hour_of_day", none.alias("day_of_week"))
+        )
+        .unionByName(
+            cells.select("day_of_week").distinct().join(weekday.select("day_of_week"), "day_of_week", "left_anti")
+            .select(F.lit("daily_congestion").alias("kind"), none.alias("hour_of_day"), "day_of_week")
+        )
+        .orderBy("kind", "day_of_week", "hour_of_day")
+        .limit(4 * Q.SHOW)
+        .collect()
+    )
+    if problems:
+        grid_bad = [(r.hour_of_day, r.day_of_week) for r in problems if r.kind.endswith("cell")]
+        if grid_bad:
+            raise ContractError(f"Expected {hours * days} heatmap cells; wrong cells e.g. {grid_bad[:Q.SHOW]}")
+        r = problems[0]
+        key = {"hour_of_day": r.hour_of_day} if r.kind == "hourly_congestion" else {"day_of_week": r.day_of_week}
+        raise ContractError(f"Missing {r.kind} row for {key}")
+
     features = feature_join(heatmap, hourly, weekday)
     return Q.assert_no_nulls(features, FEATURE_COLUMNS, "merged features")
 

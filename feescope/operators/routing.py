@@ -123,18 +123,31 @@ def routed_pairs(routed: DataFrame, keys, catalog_df: DataFrame | None = None) -
 
 
 # ---------------------------------------------------------------- X1 / T8
-def render_rows(df: DataFrame, order_cols, max_rows: int = 50, sep: str = " | ") -> DataFrame:
+def render_rows(df: DataFrame, order_cols, max_rows: int = 50, sep: str = " | ", bounded: bool = False) -> DataFrame:
     """The text of a table as shown to a reader: header line and at most
     ``max_rows`` rows (the first and last halves when longer), in table order.
 
-    Only bounded pieces are ever gathered: the first ``max_rows`` and the last
-    ``max_rows // 2`` rows come from two distributed top-k scans
-    (TakeOrderedAndProject); the row count is a scalar subquery.
+    Generic path: only bounded pieces are gathered - the first ``max_rows``
+    and the last ``max_rows // 2`` rows come from two distributed top-k scans
+    (TakeOrderedAndProject) and the row count is a scalar subquery.
+    ``bounded=True`` is for tables whose size is bounded by their key domain
+    (the result tables: hours, weekdays, days of the period): one aggregate
+    gathers the rows and slices head and tail, so all renders of a catalog
+    run as a single job.
     """
     asc = [F.col(c).asc() for c in order_cols]
     desc = [F.col(c).desc() for c in order_cols]
     line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
     head_n, tail_n = (max_rows + 1) // 2, max_rows // 2
+    header = F.lit(sep.join(df.columns) + "\n")
+    if bounded:
+        every = F.sort_array(F.collect_list(F.struct(F.struct(*order_cols).alias("k"), line.alias("line"))))
+        shown = F.when(F.col("n_rows") <= max_rows, F.col("_all")).otherwise(
+            F.concat(F.slice("_all", 1, head_n), F.slice("_all", -tail_n, tail_n))
+        )
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), every.alias("_all")).select(
+            "n_rows", F.concat(header, F.array_join(F.transform(shown, lambda x: x["line"]), "\n")).alias("body")
+        )
     n = df.agg(F.count(F.lit(1))).scalar()
     first = df.orderBy(*asc).limit(max_rows).select(
         line.alias("line"), F.row_number().over(Window.orderBy(*asc)).alias("_pos")
@@ -149,17 +162,17 @@ def render_rows(df: DataFrame, order_cols, max_rows: int = 50, sep: str = " | ")
         F.array_join(
             F.transform(F.sort_array(F.collect_list(F.struct("_pos", "line"))), lambda x: x["line"]), "\n"
         ).alias("body"),
-    ).select(
-        n.alias("n_rows"),
-        F.concat(F.lit(sep.join(df.columns)), F.lit("\n"), F.col("body")).alias("body"),
-    )
+    ).select(n.alias("n_rows"), F.concat(header, F.col("body")).alias("body"))
+
 
+def table_renders(tables: dict, max_rows: int = 50, bounded: bool = True) -> DataFrame:
+    """X1 helper: one row per table - name, row count, rendered text.
 
-def table_renders(tables: dict, max_rows: int = 50) -> DataFrame:
-    """X1 helper: one row per table - name, row count, rendered text."""
+    The result tables are bounded by their key domains, hence ``bounded``.
+    """
     parts = []
     for name, df in tables.items():
-        r = render_rows(df, df.columns, max_rows)
+        r = render_rows(df, df.columns, max_rows, bounded=bounded)
         parts.append(r.select(F.lit(name).alias("table_name"), "n_rows", "body"))
     out = parts[0]
     for p in parts[1:]:

@@ -17,9 +17,11 @@ from feescope.session import materialize
 
 class TrainingRun:
     def __init__(self, features: DataFrame, k: int = M.DEFAULT_FOLDS, cfg: MLP.MLPConfig = MLP.MLPConfig(),
-                 checkpoint: bool = True):
+                 checkpoint: bool = False):
         self.k, self.cfg = k, cfg
         self.feature_names = FT.model_feature_columns(features)
+        # the feature table is small and cheap to recompute from the suite's
+        # checkpointed rollups; checkpoint it only when it is not
         keep = materialize if checkpoint else (lambda d: d)
         self.folded = keep(M.kfold_assign(features, FT.KEY_COLUMNS, k, cfg.seed))
 

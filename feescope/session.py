@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,7 @@ BASE_CONF = {
     # Accept Parquet TIMESTAMP(NANOS) as a long column (converted in sources.raw).
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -76,11 +78,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss).
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage with a table written under the shared checkpoint folder.
 
-    Used for small, reused intermediates (rollups, feature tables) so that a
-    lost cached block never forces a re-scan of the fact table.
+    Used for small, reused intermediates (rollups, quantiles, model results):
+    the plan runs once, the result survives executor loss, and later jobs
+    read a few files instead of re-scanning the fact table.  (An eager
+    ``DataFrame.checkpoint`` would run the plan twice: once for its count
+    and once more to write the checkpoint files.)
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/materialized/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -22,16 +22,23 @@ def events_as_raw(events: DataFrame) -> DataFrame:
     ts -> block_timestamp; event_id -> hash; event_id div 8 -> block_number;
     user_id -> from_address; event_type -> to_address; value (gwei) -> gas_price
     in wei; props.k -> gas and receipt_gas_used; value -> value_wei.
+
+    ``json_tuple`` parses ``props`` once per row (a generator is not inlined
+    into later filters, unlike ``get_json_object``), and filters on the other
+    columns are pushed below the parse.  ``rint`` gives the same integer as
+    ``round`` here: value x 1e9 is never halfway between two integers for
+    prices with two decimals.
     """
-    k = F.get_json_object("props", "$.k").cast("long")
-    return events.select(
+    parsed = events.select("*", F.json_tuple("props", "k").alias("_k"))
+    k = F.col("_k").cast("long")
+    return parsed.select(
         F.col("ts").alias("block_timestamp"),
         F.expr("event_id div 8").alias("block_number"),
         F.col("event_id").cast("string").alias("hash"),
         F.col("user_id").cast("string").alias("from_address"),
         F.col("event_type").alias("to_address"),
         k.alias("gas"),
-        F.round(F.col("value") * F.lit(1e9)).cast("long").alias("gas_price"),
+        F.rint(F.col("value") * F.lit(1e9)).cast("long").alias("gas_price"),
         k.alias("receipt_gas_used"),
         F.col("value").cast("double").alias("value_wei"),
     )
@@ -51,7 +58,7 @@ def lineitem_as_raw(lineitem: DataFrame) -> DataFrame:
         F.col("l_suppkey").cast("string").alias("from_address"),
         F.col("l_partkey").cast("string").alias("to_address"),
         qty.alias("gas"),
-        F.round(F.col("l_extendedprice") * F.lit(1e9)).cast("long").alias("gas_price"),
+        F.rint(F.col("l_extendedprice") * F.lit(1e9)).cast("long").alias("gas_price"),
         qty.alias("receipt_gas_used"),
         F.col("l_extendedprice").cast("double").alias("value_wei"),
     )
