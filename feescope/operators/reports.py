@@ -93,6 +93,12 @@ def hourly_congestion(
     return _order(add_congestion_score(out, spec), sort, "hour_of_day")
 
 
+def ranked_hours(hourly: DataFrame) -> DataFrame:
+    """Every hour by score, highest first, with its rank (ties by hour)."""
+    w = Window.orderBy(F.col("congestion_score").desc(), F.col("hour_of_day"))
+    return hourly.withColumn("rank", F.row_number().over(w))
+
+
 def global_max(hourly: DataFrame) -> DataFrame:
     """A2: maxima of the hourly table in one pass."""
     return hourly.agg(
@@ -234,15 +240,28 @@ def top20_blocks(clean: DataFrame, spec: ChainSpec = DEFAULT_SPEC, k: int = 20)
 
 
 # ---------------------------------------------------------------- A9 / A10 / A11
-def event_day_filter(day: str) -> Column:
-    """P5: equality on a date given as text (a partition filter on ``date``)."""
-    return F.col("date") == F.lit(day).cast("date")
+def event_day_filter(day: str, df: DataFrame | None = None) -> Column:
+    """P5: equality on a date given as text.
+
+    On a date-partitioned table this is a partition filter.  When the rows
+    still carry ``block_timestamp`` an equivalent half-open timestamp range
+    is added, which Parquet can use for row-group skipping (``to_date(ts) =
+    d`` alone cannot be pushed).
+    """
+    cond = F.col("date") == F.lit(day).cast("date")
+    if df is not None and "block_timestamp" in df.columns:
+        ts_type = df.schema["block_timestamp"].dataType.simpleString()
+        start = F.lit(f"{day} 00:00:00").cast(ts_type)
+        cond = cond & (F.col("block_timestamp") >= start) & (
+            F.col("block_timestamp") < start + F.expr("INTERVAL 1 DAY")
+        )
+    return cond
 
 
 def event_day_hourly(src: DataFrame, spec: ChainSpec = DEFAULT_SPEC, m=ROWS, sort: bool = True) -> DataFrame:
     """The event day's hours - count, avg price, used."""
     out = (
-        src.where(event_day_filter(spec.event_day))
+        src.where(event_day_filter(spec.event_day, src))
         .groupBy("hour_of_day")
         .agg(
             m.tx_count().alias("tx_count"),
@@ -267,16 +286,14 @@ def avg_hourly_month(
     return _order(out, sort, "hour_of_day")
 
 
-def large_transfer_filter(spec: ChainSpec = DEFAULT_SPEC) -> Column:
+def large_transfer_filter(spec: ChainSpec = DEFAULT_SPEC, df: DataFrame | None = None) -> Column:
     """The event day and value strictly above the limit."""
-    return (F.col("date") == F.lit(spec.event_day).cast("date")) & (
-        F.col("value_wei") > F.lit(float(spec.large_value_limit))
-    )
+    return event_day_filter(spec.event_day, df) & (F.col("value_wei") > F.lit(float(spec.large_value_limit)))
 
 
 def event_day_large_transfers(clean: DataFrame, spec: ChainSpec = DEFAULT_SPEC) -> DataFrame:
     """One row - count, avg and total value, avg price of large transfers."""
-    return clean.where(large_transfer_filter(spec)).agg(
+    return clean.where(large_transfer_filter(spec, clean)).agg(
         ROWS.tx_count().alias("large_tx_count"),
         F.avg("value_wei").alias("avg_value_wei"),
         F.sum("value_wei").alias("total_value_wei"),
@@ -285,19 +302,27 @@ def event_day_large_transfers(clean: DataFrame, spec: ChainSpec = DEFAULT_SPEC)
 
 
 # ---------------------------------------------------------------- A12 / W1 / A13
-def rolling_7d(daily: DataFrame, days: int = 7) -> DataFrame:
+def rolling_7d(daily: DataFrame, days: int = 7, calendar: bool = False) -> DataFrame:
     """Trailing averages over the current and 6 preceding *rows* by date.
 
     The input has one row per date (bounded by the calendar), so the
     un-partitioned window is one small partition.  Short windows at the start.
+    ``calendar=True`` averages over the last 7 *calendar days* instead (a
+    RANGE frame on the day number), so missing days shorten the window.
     """
-    w = Window.orderBy("date").rowsBetween(-(days - 1), 0)
+    if calendar:
+        day_no = F.datediff(F.col("date"), F.lit("1970-01-01").cast("date"))
+        w = Window.orderBy(day_no).rangeBetween(-(days - 1), 0)
+    else:
+        w = Window.orderBy("date").rowsBetween(-(days - 1), 0)
     return daily.withColumn("rolling_7d_avg_gas", F.avg("avg_gas_gwei").over(w)).withColumn(
         "rolling_7d_tx_count", F.avg("daily_tx_count").over(w)
     )
 
 
-def daily_volume(src: DataFrame, m=ROWS, with_rolling: bool = True, sort: bool = True) -> DataFrame:
+def daily_volume(
+    src: DataFrame, m=ROWS, with_rolling: bool = True, sort: bool = True, calendar: bool = False
+) -> DataFrame:
     """A12 (+W1): per date - count, avg price, avg cost, used, rolling averages."""
     out = src.groupBy("date").agg(
         m.tx_count().alias("daily_tx_count"),
@@ -306,7 +331,7 @@ def daily_volume(src: DataFrame, m=ROWS, with_rolling: bool = True, sort: bool =
         m.sum_used().alias("total_gas_used"),
     )
     if with_rolling:
-        out = rolling_7d(out)
+        out = rolling_7d(out, calendar=calendar)
     return _order(out, sort, "date")
 
 

@@ -492,3 +492,29 @@ def _load_all() -> None:
 def REGISTRY_ENTRY(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship query used by the smoke check."""
     return q_hourly(spark, sf_dir)
+
+
+@register(
+    "ranked_hours",
+    HOURLY_SQL + f"""SELECT {HOURLY_COLS},
+       CAST(row_number() OVER (ORDER BY congestion_score DESC, hour_of_day) AS INTEGER) AS rank FROM scored""",
+)
+def q_ranked_hours(spark, sf):
+    return rounded(R.ranked_hours(R.hourly_congestion(ev_clean(spark, sf), E, sort=False)))
+
+
+@register(
+    "daily_volume_calendar_lineitem",
+    LW
+    + f""", dv AS (
+  SELECT date, count(hash) AS daily_tx_count, avg(gas_fee_gwei) AS avg_gas_gwei,
+         avg(tx_cost_gwei) AS avg_tx_cost_gwei, CAST(sum(receipt_gas_used) AS BIGINT) AS total_gas_used
+  FROM clean GROUP BY date)
+SELECT date, daily_tx_count, {r6('avg_gas_gwei', 'avg_gas_gwei')}, {r6('avg_tx_cost_gwei', 'avg_tx_cost_gwei')},
+       total_gas_used,
+       {r6("avg(avg_gas_gwei) OVER (ORDER BY (date - DATE '1970-01-01') RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)", 'rolling_7d_avg_gas')},
+       {r6("avg(daily_tx_count) OVER (ORDER BY (date - DATE '1970-01-01') RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)", 'rolling_7d_tx_count')}
+FROM dv""",
+)
+def q_daily_volume_calendar_li(spark, sf):
+    return rounded(R.daily_volume(li_clean(spark, sf), calendar=True))

@@ -111,3 +111,25 @@ def q_scan_features(spark, sf):
     path = K.scratch_path(spark, "features")
     K.write_feature_csv(feats, path, FT.FEATURE_COLUMNS)
     return RS.scan_features(spark, path)
+
+
+@register(
+    "stream_clean",
+    EW
+    + """SELECT hash, block_number, hour_of_day, day_of_week, date, CAST(gas_fee_gwei AS FLOAT) AS gas_fee_gwei,
+       CAST(tx_cost_gwei AS FLOAT) AS tx_cost_gwei FROM clean""",
+)
+def q_stream_clean(spark, sf):
+    """K1 + streaming K2: raw chunks cleaned incrementally into the cleaned zone."""
+    from feescope.streaming.ingest import start_clean_stream
+
+    raw_dir = K.scratch_path(spark, "stream-raw")
+    raw = ev_raw(spark, sf).withColumn("block_timestamp", F.col("block_timestamp").cast("timestamp"))
+    K.write_chunked_parquet(raw, raw_dir, max_records=2000)
+    clean_dir = K.scratch_path(spark, "stream-clean")
+    query = start_clean_stream(spark, raw_dir, clean_dir, K.scratch_path(spark, "stream-ckpt"), E,
+                               max_files_per_trigger=2)
+    query.awaitTermination()
+    back = spark.read.parquet(clean_dir)
+    return rounded(back.select("hash", "block_number", "hour_of_day", "day_of_week", "date",
+                               "gas_fee_gwei", "tx_cost_gwei"))
