@@ -8,7 +8,7 @@ Everything is an aggregate or a narrow projection; per-fold statistics are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feescope.functions.columns import ratio
@@ -71,12 +71,11 @@ def fold_mean_baseline(df: DataFrame, target: str, k: int = DEFAULT_FOLDS) -> Da
     no row is copied.  Adds ``predicted``.
     """
     per_fold = df.groupBy("fold").agg(F.sum(target).alias("s"), F.count(target).alias("n"))
-    totals = per_fold.agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
+    every = Window.partitionBy()  # over k rows
     means = per_fold.select(
         "fold",
-        (totals.select("ts").scalar() - F.col("s")).alias("s"),
-        (totals.select("tn").scalar() - F.col("n")).alias("n"),
-    ).select("fold", ratio("s", "n").alias("predicted"))
+        ratio(F.sum("s").over(every) - F.col("s"), F.sum("n").over(every) - F.col("n")).alias("predicted"),
+    )
     return df.join(F.broadcast(means), "fold", "left")
 
 

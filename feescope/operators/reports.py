@@ -395,8 +395,10 @@ def kpi_row(src: DataFrame, spec: ChainSpec = DEFAULT_SPEC, m=ROWS) -> DataFrame
     """Total transactions, mean price (unweighted over hours and weighted),
     the date with the highest congestion index, the hour with the highest score.
 
-    Both the hourly and the daily side come from one aggregation keyed by
-    (date, hour); ties go to the earliest date / hour (first in table order).
+    One scan: a (date, hour) rollup, then GROUPING SETS over that small rollup
+    yield the hour rows and the date rows together; one window (over <= 24 +
+    days rows) scores the hours and one conditional aggregate folds all into a
+    row.  Ties go to the earliest date / hour (first in table order).
     """
     cells = src.groupBy("date", "hour_of_day").agg(
         m.tx_count().alias("n"),
@@ -404,28 +406,24 @@ def kpi_row(src: DataFrame, spec: ChainSpec = DEFAULT_SPEC, m=ROWS) -> DataFrame
         m.price_count().alias("np"),
         m.sum_used().alias("used"),
     )
-    hourly = cells.groupBy("hour_of_day").agg(
-        F.sum("n").alias("tx_count"), ratio(F.sum("sp"), F.sum("np")).alias("avg_gas_gwei"),
-        F.sum("sp").alias("sp"), F.sum("np").alias("np"),
+    g = cells.groupingSets([["hour_of_day"], ["date"]], "hour_of_day", "date").agg(
+        F.grouping("date").alias("is_hour"),
+        F.sum("n").alias("n"), F.sum("sp").alias("sp"), F.sum("np").alias("np"), F.sum("used").alias("used"),
     )
-    hourly = add_congestion_score(hourly, spec)
-    hour_kpi = hourly.agg(
-        F.avg("avg_gas_gwei").alias("avg_gas_gwei_hourly_mean"),
-        ratio(F.sum("sp"), F.sum("np")).alias("avg_gas_gwei_weighted"),
-        F.min_by("hour_of_day", F.struct(-F.col("congestion_score"), F.col("hour_of_day"))).alias(
+    is_hour = F.col("is_hour") == 1
+    g = g.withColumn("avg_gas_gwei", ratio("sp", "np"))
+    side = Window.partitionBy("is_hour")
+    g = g.withColumn(
+        "score",
+        weighted_score("avg_gas_gwei", F.max("avg_gas_gwei").over(side), "n", F.max("n").over(side), spec),
+    )
+    on_hours, on_days = (lambda c: F.when(is_hour, c)), (lambda c: F.when(~is_hour, c))
+    return g.agg(
+        F.sum(on_days(F.col("n"))).alias("total_transactions"),
+        F.avg(on_hours(F.col("avg_gas_gwei"))).alias("avg_gas_gwei_hourly_mean"),
+        ratio(F.sum(on_hours(F.col("sp"))), F.sum(on_hours(F.col("np")))).alias("avg_gas_gwei_weighted"),
+        F.min_by(on_days(F.col("date")), on_days(F.struct(-F.col("used"), F.col("date")))).alias("peak_day"),
+        F.min_by(on_hours(F.col("hour_of_day")), on_hours(F.struct(-F.col("score"), F.col("hour_of_day")))).alias(
             "peak_hour"
         ),
     )
-    daily = cells.groupBy("date").agg(F.sum("n").alias("tx_count"), F.sum("used").alias("used"))
-    day_kpi = daily.agg(
-        F.sum("tx_count").alias("total_transactions"),
-        F.min_by("date", F.struct(-F.col("used"), F.col("date"))).alias("peak_day"),
-    )
-    # two one-row aggregates side by side: scalar subqueries, no join
-    return hour_kpi.select(
-        day_kpi.select("total_transactions").scalar().alias("total_transactions"),
-        "avg_gas_gwei_hourly_mean",
-        "avg_gas_gwei_weighted",
-        day_kpi.select("peak_day").scalar().alias("peak_day"),
-        "peak_hour",
-    )
