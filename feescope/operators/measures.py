@@ -91,16 +91,22 @@ CELLS = CellMeasures()
 CELL_KEYS = ("date", "hour_of_day", "day_of_week", "bucket")
 
 
-def cell_rollup(clean: DataFrame, spec: ChainSpec = DEFAULT_SPEC) -> DataFrame:
+def cell_rollup(clean: DataFrame, spec: ChainSpec = DEFAULT_SPEC, sketch_k: int | None = None) -> DataFrame:
     """One pass over cleaned rows: decomposable measures per (date, hour, bucket).
 
     The group count is bounded by days x 24 x buckets, independent of the row
     count; partial aggregation runs map-side, so a hot key never reaches a
-    reducer as more than one partial row per map task.
+    reducer as more than one partial row per map task.  With ``sketch_k`` each
+    cell also keeps a mergeable KLL quantile sketch of the price, so hour and
+    date quantiles can be merged from the rollup without another scan.
     """
+    extra = []
+    if sketch_k:
+        extra.append(F.kll_sketch_agg_double("gas_fee_gwei", sketch_k).alias("price_sketch"))
     return clean.groupBy(
         "date", "hour_of_day", "day_of_week", bucket_order("gas_fee_gwei", spec).alias("bucket")
     ).agg(
+        *extra,
         F.count("hash").alias("n_hash"),
         F.count("gas_fee_gwei").alias("n_price"),
         F.sum("gas_fee_gwei").alias("sum_price"),

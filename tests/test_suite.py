@@ -56,3 +56,19 @@ def test_invariants(suite, clean01):
     assert day.congestion_index == pytest.approx(day.total_gas_used / EVENTS_SPEC.daily_capacity)
     assert t["top5_peak_hours"].count() == 5 and t["top_congested_days"].count() == 10
     assert t["top_congested_blocks"].count() == 20
+
+
+def test_sketch_mode_quantiles_close(clean01):
+    sk = ReportSuite(clean01, EVENTS_SPEC, percentile_mode="sketch", sketch_k=2000)
+    ex = ReportSuite(clean01, EVENTS_SPEC, percentile_mode="exact")
+    a = {r.hour_of_day: r.p95_gas_gwei for r in sk.hourly_congestion().collect()}
+    b = {r.hour_of_day: r.p95_gas_gwei for r in ex.hourly_congestion().collect()}
+    prices = sorted(r.gas_fee_gwei for r in clean01.select("gas_fee_gwei").collect())
+    # same value or a neighbour within a small rank distance in the whole price list
+    import bisect
+    for h in b:
+        ra, rb = bisect.bisect_left(prices, a[h]), bisect.bisect_left(prices, b[h])
+        assert abs(ra - rb) <= 0.01 * len(prices)
+    assert "price_sketch" in sk.cells.columns
+    d = sk.daily_index().collect()
+    assert len(d) == 30 and all(r.median_gas_gwei <= r.p95_gas_gwei for r in d)
