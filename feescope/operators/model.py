@@ -102,9 +102,10 @@ def regression_metrics(pred: DataFrame, actual: str, predicted: str, by=()) -> D
     if whole:
         pred, by = pred.withColumn("_all", F.lit(1)), ["_all"]
     e = F.col(actual).cast("double") - F.col(predicted).cast("double")
-    # one row per group: broadcast back onto the rows of that group
+    # one row per group; ``by`` is the caller's, so no size is promised here:
+    # AQE broadcasts it from its measured size when small (k folds, overall)
     means = pred.groupBy(*by).agg(F.avg(actual).alias("_ybar"))
-    base = pred.join(F.broadcast(means), by, "inner")
+    base = pred.join(means, by, "inner")
     sums = base.groupBy(*by).agg(
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),

@@ -118,7 +118,8 @@ def routed_pairs(routed: DataFrame, keys, catalog_df: DataFrame | None = None) -
     ``table_name``) keep only tables present in it (left semi join)."""
     pairs = routed.select(*keys, F.explode("tables").alias("table_name"))
     if catalog_df is not None:
-        pairs = pairs.join(F.broadcast(catalog_df.select("table_name")), "table_name", "left_semi")
+        # one row per result table (a catalog of folders): bounded
+        pairs = pairs.join(F.broadcast(catalog_df.select("table_name").distinct()), "table_name", "left_semi")
     return pairs
 
 
