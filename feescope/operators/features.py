@@ -37,11 +37,6 @@ FEATURE_COLUMNS = (
     *DAY_COLUMNS,
 )
 
-# Row bounds that make the dimension sides safe to broadcast.
-HOUR_ROWS = 24
-WEEKDAY_ROWS = 7
-
-
 def cell_columns(heatmap: DataFrame) -> DataFrame:
     """Heatmap cells renamed to target/cell_ columns."""
     return heatmap.select(

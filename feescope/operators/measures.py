@@ -88,9 +88,6 @@ class CellMeasures:
 ROWS = RowMeasures()
 CELLS = CellMeasures()
 
-CELL_KEYS = ("date", "hour_of_day", "day_of_week", "bucket")
-
-
 def cell_rollup(clean: DataFrame, spec: ChainSpec = DEFAULT_SPEC, sketch_k: int | None = None) -> DataFrame:
     """One pass over cleaned rows: decomposable measures per (date, hour, bucket).
 

@@ -23,7 +23,7 @@ from feescope.functions.columns import (
     weekday_name,
     weighted_score,
 )
-from feescope.operators.measures import CELLS, ROWS
+from feescope.operators.measures import ROWS
 
 PERCENTILE_MODES = ("approx", "exact")
 

@@ -485,8 +485,8 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load_all() -> None:
-    # further query families register themselves on import
-    from feescope.plans import registry_more  # noqa: F401
+    # the other query families register themselves on import
+    from feescope.plans import registry_io, registry_model, registry_more, registry_text  # noqa: F401
 
 
 def REGISTRY_ENTRY(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -290,7 +290,3 @@ def q_value_range(spark, sf):
     return M.value_range(oof)
 
 
-
-from feescope.plans import registry_text  # noqa: E402,F401  (registers the text queries)
-from feescope.plans import registry_io  # noqa: E402,F401  (registers the source / sink queries)
-from feescope.plans import registry_model  # noqa: E402,F401  (registers the model queries)
