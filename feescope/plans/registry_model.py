@@ -38,3 +38,13 @@ def q_loss_history(spark, sf):
 @register("metrics_document")
 def q_metrics_document(spark, sf):
     return ev_run(spark, sf).metrics_document()
+
+
+@register("linear_cv")
+def q_linear_cv(spark, sf):
+    """M6 via Spark ML: least squares per fold on the per-fold scaled rows."""
+    from feescope.operators import model as M
+
+    pred = ev_run(spark, sf).linear_predictions()
+    return M.cv_metrics(pred, "actual", "predicted").select(
+        "scope", "fold", *[F.col(c).cast("float").alias(c) for c in ("mae", "rmse", "r2")])

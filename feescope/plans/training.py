@@ -29,10 +29,20 @@ class TrainingRun:
     def stats(self) -> DataFrame:
         return M.fit_standard_scaler(self.folded, self.feature_names, self.k)
 
+    @cached_property
+    def scaled(self) -> DataFrame:
+        """Every feature row once per model fold (k x the feature table: bounded)."""
+        return materialize(M.scale_by_train_fold(self.folded, self.stats, self.feature_names, self.k), "scaled")
+
     @cached_property
     def result(self) -> DataFrame:
-        scaled = M.scale_by_train_fold(self.folded, self.stats, self.feature_names, self.k)
-        return materialize(MLP.train_cv(scaled, self.feature_names, FT.TARGET_COLUMN, self.cfg))
+        return materialize(MLP.train_cv(self.scaled, self.feature_names, FT.TARGET_COLUMN, self.cfg), "mlp")
+
+    def linear_predictions(self) -> DataFrame:
+        """M6 via Spark ML (least squares per fold) on the same scaled rows."""
+        from feescope.operators.estimators import linear_cv
+
+        return linear_cv(self.scaled, self.feature_names, FT.TARGET_COLUMN, list(FT.KEY_COLUMNS), self.k)
 
     def predictions(self) -> DataFrame:
         return MLP.cv_predictions(self.result)

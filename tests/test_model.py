@@ -79,3 +79,15 @@ def test_mlp_learns_linear_signal(data):
     assert overall.rmse < base_rmse and overall.r2 > 0.5
     es = MLP.early_stopping_summary(res).collect()
     assert all(1 <= r.best_epoch <= r.epochs_run <= 250 for r in es)
+
+
+def test_linear_cv_recovers_signal(data):
+    from feescope.operators.estimators import linear_cv
+
+    feats = ["x1", "x2", "c"]
+    folded = M.kfold_assign(data, ["hour_of_day", "day_of_week"])
+    scaled = M.scale_by_train_fold(folded, M.fit_standard_scaler(folded, feats), feats)
+    pred = linear_cv(scaled, feats, "y", ["hour_of_day", "day_of_week"])
+    assert pred.count() == 168
+    overall = [r for r in M.cv_metrics(pred, "actual", "predicted").collect() if r.scope == "overall"][0]
+    assert overall.rmse < 0.2 and overall.r2 > 0.99
