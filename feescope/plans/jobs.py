@@ -21,7 +21,6 @@ from feescope import sinks as K
 from feescope.config import DEFAULT_SPEC, ChainSpec
 from feescope.operators import features as FT
 from feescope.operators.clean import clean as clean_rows
-from feescope.operators.clean import row_counts
 from feescope.plans.suite import TABLE_GROUPS, ReportSuite
 from feescope.plans.training import TrainingRun
 from feescope.session import build_session
@@ -30,11 +29,14 @@ from feescope.sources import results as RS
 
 
 def clean_job(spark: SparkSession, raw_dir: str, out_dir: str, spec: ChainSpec = DEFAULT_SPEC) -> dict:
-    """Raw zone -> cleaned zone (partitioned by date); returns row counts."""
-    raw = RAW.scan_raw(spark, raw_dir)
-    counts = row_counts(raw).first().asDict()
-    K.write_clean(clean_rows(raw, spec), out_dir)
-    return counts
+    """Raw zone -> cleaned zone (partitioned by date); returns row counts.
+
+    Both counts are observed while the write runs: one pass over the raw data.
+    """
+    raw, raw_obs = K.observed(RAW.scan_raw(spark, raw_dir), "raw")
+    cleaned, clean_obs = K.observed(clean_rows(raw, spec), "clean")
+    K.write_clean(cleaned, out_dir)
+    return {"raw_rows": raw_obs.get["rows"], "clean_rows": clean_obs.get["rows"]}
 
 
 def reports_job(spark: SparkSession, clean_dir: str, out_dir: str, spec: ChainSpec = DEFAULT_SPEC,

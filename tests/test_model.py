@@ -91,3 +91,15 @@ def test_linear_cv_recovers_signal(data):
     assert pred.count() == 168
     overall = [r for r in M.cv_metrics(pred, "actual", "predicted").collect() if r.scope == "overall"][0]
     assert overall.rmse < 0.2 and overall.r2 > 0.99
+
+
+def test_mlp_inner_split_scores_untouched_fold(data):
+    feats = ["x1", "x2", "c"]
+    folded = M.kfold_assign(data, ["hour_of_day", "day_of_week"])
+    scaled = M.scale_by_train_fold(folded, M.fit_standard_scaler(folded, feats), feats)
+    res = MLP.train_cv(scaled, feats, "y", MLP.MLPConfig(inner_fraction=0.2))
+    pred = MLP.cv_predictions(res)
+    assert pred.count() == 168
+    overall = [r for r in M.cv_metrics(pred, "actual_avg_gas_gwei", "predicted_avg_gas_gwei").collect()
+               if r.scope == "overall"][0]
+    assert overall.r2 > 0.5
