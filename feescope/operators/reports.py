@@ -427,3 +427,26 @@ def kpi_row(src: DataFrame, spec: ChainSpec = DEFAULT_SPEC, m=ROWS) -> DataFrame
             "peak_hour"
         ),
     )
+
+
+def kpi_display(kpi: DataFrame) -> DataFrame:
+    """The KPI row as display text: thousands separators, two decimals and a
+    zero-padded hour ("12,482,427", "1.77 gwei", "14:00")."""
+    return kpi.select(
+        F.format_number("total_transactions", 0).alias("total_transactions"),
+        F.format_string("%.2f gwei", "avg_gas_gwei_hourly_mean").alias("avg_gas_price"),
+        F.col("peak_day").cast("string").alias("peak_congestion_day"),
+        F.concat(F.lpad(F.col("peak_hour").cast("string"), 2, "0"), F.lit(":00")).alias("peak_hour_utc"),
+    )
+
+
+def priciest_day(daily: DataFrame) -> DataFrame:
+    """The day with the highest gas prices, under both readings of "highest":
+    the highest daily average and the highest single price (they can differ).
+    Ties go to the earliest date."""
+    return daily.agg(
+        F.min_by("date", F.struct(-F.col("avg_gas_gwei"), F.col("date"))).alias("date_highest_avg_gas"),
+        F.max("avg_gas_gwei").alias("highest_avg_gas_gwei"),
+        F.min_by("date", F.struct(-F.col("max_gas_gwei"), F.col("date"))).alias("date_highest_max_gas"),
+        F.max("max_gas_gwei").alias("highest_max_gas_gwei"),
+    )

@@ -518,3 +518,50 @@ FROM dv""",
 )
 def q_daily_volume_calendar_li(spark, sf):
     return rounded(R.daily_volume(li_clean(spark, sf), calendar=True))
+
+
+KPI_SQL = (
+    EW
+    + """, hourly AS (
+  SELECT hour_of_day, count(hash) AS tx_count, avg(gas_fee_gwei) AS avg_gas_gwei FROM clean GROUP BY 1),
+scored AS (
+  SELECT *, (avg_gas_gwei / max(avg_gas_gwei) OVER () * 0.6
+             + tx_count / max(tx_count) OVER () * 0.4) * 100 AS score FROM hourly),
+daily AS (SELECT date, count(hash) AS tx_count, sum(receipt_gas_used) AS used FROM clean GROUP BY 1)
+"""
+)
+
+
+@register(
+    "kpi_display",
+    KPI_SQL
+    + """SELECT format('{:,}', (SELECT CAST(sum(tx_count) AS BIGINT) FROM daily)) AS total_transactions,
+       printf('%.2f gwei', (SELECT avg(avg_gas_gwei) FROM hourly)) AS avg_gas_price,
+       CAST((SELECT date FROM daily ORDER BY used DESC, date LIMIT 1) AS VARCHAR) AS peak_congestion_day,
+       lpad(CAST((SELECT hour_of_day FROM scored ORDER BY score DESC, hour_of_day LIMIT 1) AS VARCHAR), 2, '0')
+         || ':00' AS peak_hour_utc""",
+)
+def q_kpi_display(spark, sf):
+    return R.kpi_display(R.kpi_row(ev_clean(spark, sf), E))
+
+
+@register(
+    "priciest_day",
+    EW
+    + """, d AS (SELECT date, avg(gas_fee_gwei) AS a, max(gas_fee_gwei) AS m FROM clean GROUP BY date)
+SELECT (SELECT date FROM d ORDER BY a DESC, date LIMIT 1) AS date_highest_avg_gas,
+       (SELECT CAST(max(a) AS FLOAT) FROM d) AS highest_avg_gas_gwei,
+       (SELECT date FROM d ORDER BY m DESC, date LIMIT 1) AS date_highest_max_gas,
+       (SELECT CAST(max(m) AS FLOAT) FROM d) AS highest_max_gas_gwei""",
+)
+def q_priciest_day(spark, sf):
+    return rounded(R.priciest_day(R.daily_index(ev_clean(spark, sf), E, sort=False)))
+
+
+@register(
+    "top5_days",
+    daily_index_sql(E, EW)
+    + f"SELECT {DAILY_COLS}, {S.tier_sql(E)} AS congestion_level FROM di ORDER BY congestion_index DESC, date LIMIT 5",
+)
+def q_top5_days(spark, sf):
+    return _daily_round(R.top_k(R.daily_index(ev_clean(spark, sf), E, sort=False), 5, "congestion_index", "date"))
