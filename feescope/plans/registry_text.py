@@ -116,7 +116,7 @@ def q_chat_history(spark, sf):
 @register("context_assembly")
 def q_context_assembly(spark, sf):
     # rows-only: the rendered text of fourteen tables has no compact SQL form
-    suite = ReportSuite(ev_clean(spark, sf), EVENTS_SPEC)
+    suite = ReportSuite(ev_clean(spark, sf), EVENTS_SPEC, sort=False)  # renders order rows themselves
     renders = RT.table_renders(suite.tables())
     routed = RT.keyword_routing(questions(spark, sf))
     ctx = RT.context_assembly(routed, KEYS, renders)

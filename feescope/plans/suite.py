@@ -55,6 +55,7 @@ class ReportSuite:
         percentile_mode: str = "approx",
         checkpoint: bool = True,
         sketch_k: int = 1000,
+        sort: bool = True,
     ):
         """``percentile_mode``: ``approx`` (percentile_approx, the original's
         choice; one extra pass), ``exact`` (percentile_disc; one extra pass) or
@@ -65,6 +66,8 @@ class ReportSuite:
         self.percentile_mode = percentile_mode
         self.sketch_k = sketch_k if percentile_mode == "sketch" else None
         self._keep = materialize if checkpoint else (lambda df: df)
+        # sorted output for sinks; consumers that re-order anyway pass False
+        self.sort = sort
 
     # ---- shared passes -------------------------------------------------
     @cached_property
@@ -111,47 +114,48 @@ class ReportSuite:
 
     # ---- tables ----------------------------------------------------------
     def hourly_congestion(self) -> DataFrame:
-        return R.hourly_congestion(self.cells, self.spec, p95=self._p95_by_hour(), m=CELLS)
+        return R.hourly_congestion(self.cells, self.spec, p95=self._p95_by_hour(), m=CELLS, sort=self.sort)
 
     def daily_congestion(self) -> DataFrame:
-        return R.weekday_congestion(self.cells, m=CELLS)
+        return R.weekday_congestion(self.cells, m=CELLS, sort=self.sort)
 
     def heatmap_matrix(self) -> DataFrame:
-        return R.heatmap(self.cells, m=CELLS)
+        return R.heatmap(self.cells, m=CELLS, sort=self.sort)
 
     def top5_peak_hours(self, k: int = 5) -> DataFrame:
         hourly = R.hourly_congestion(self.cells, self.spec, p95=self._p95_by_hour(), m=CELLS, sort=False)
         return R.top_k(hourly, k, "congestion_score", "hour_of_day")
 
-    def daily_index(self, sort: bool = True) -> DataFrame:
+    def daily_index(self, sort: bool | None = None) -> DataFrame:
+        sort = self.sort if sort is None else sort
         return R.daily_index(self.cells, self.spec, quantiles=self._quantiles_by_date(), m=CELLS, sort=sort)
 
     def top_congested_days(self, k: int = 10) -> DataFrame:
         return R.top_k(self.daily_index(sort=False), k, "congestion_index", "date")
 
     def gas_distribution(self) -> DataFrame:
-        return R.price_distribution(self.cells, self.spec, m=CELLS)
+        return R.price_distribution(self.cells, self.spec, m=CELLS, sort=self.sort)
 
     def weekly_summary(self, iso_year: bool = False) -> DataFrame:
-        return R.weekly_summary(self.cells, m=CELLS, iso_year=iso_year)
+        return R.weekly_summary(self.cells, m=CELLS, iso_year=iso_year, sort=self.sort)
 
     def top_congested_blocks(self, k: int = 20) -> DataFrame:
         return R.top_k(self.blocks, k, "avg_gas_gwei", "block_number", "date")
 
     def ath_day_hourly(self) -> DataFrame:
-        return R.event_day_hourly(self.cells, self.spec, m=CELLS)
+        return R.event_day_hourly(self.cells, self.spec, m=CELLS, sort=self.sort)
 
     def avg_hourly_august(self) -> DataFrame:
-        return R.avg_hourly_month(self.cells, self.spec, m=CELLS)
+        return R.avg_hourly_month(self.cells, self.spec, m=CELLS, sort=self.sort)
 
     def ath_high_value_txns(self) -> DataFrame:
         return R.event_day_large_transfers(self.clean, self.spec)
 
     def daily_volume_trend(self) -> DataFrame:
-        return R.daily_volume(self.cells, m=CELLS)
+        return R.daily_volume(self.cells, m=CELLS, sort=self.sort)
 
     def fee_paradox(self) -> DataFrame:
-        return R.fee_paradox(self.cells, self.spec, m=CELLS)
+        return R.fee_paradox(self.cells, self.spec, m=CELLS, sort=self.sort)
 
     def tables(self) -> dict[str, DataFrame]:
         """All fourteen tables by their published names."""
