@@ -450,3 +450,15 @@ def priciest_day(daily: DataFrame) -> DataFrame:
         F.min_by("date", F.struct(-F.col("max_gas_gwei"), F.col("date"))).alias("date_highest_max_gas"),
         F.max("max_gas_gwei").alias("highest_max_gas_gwei"),
     )
+
+
+# fixed values: the column subsets shown for two reports
+DISPLAY_COLUMNS = {
+    "daily_index": ("date", "tx_count", "avg_gas_gwei", "congestion_index", "congestion_level"),
+    "fee_paradox": ("date", "tx_count", "avg_gas_gwei", "avg_cost_gwei", "avg_block_utilization"),
+}
+
+
+def display_projection(df: DataFrame, report: str) -> DataFrame:
+    """The column subset shown for a report (pruned further by Catalyst)."""
+    return df.select(*DISPLAY_COLUMNS[report])

@@ -565,3 +565,13 @@ def q_priciest_day(spark, sf):
 )
 def q_top5_days(spark, sf):
     return _daily_round(R.top_k(R.daily_index(ev_clean(spark, sf), E, sort=False), 5, "congestion_index", "date"))
+
+
+@register(
+    "daily_index_display",
+    daily_index_sql(E, EW)
+    + f"SELECT date, tx_count, {r6('avg_gas_gwei', 'avg_gas_gwei')}, {r6('congestion_index', 'congestion_index')}, "
+    f"{S.tier_sql(E)} AS congestion_level FROM di",
+)
+def q_daily_index_display(spark, sf):
+    return rounded(R.display_projection(R.daily_index(ev_clean(spark, sf), E), "daily_index"))

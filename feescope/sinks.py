@@ -110,3 +110,11 @@ def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]
     """K8: a row count gathered while the next action runs (no extra scan)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def preview(df: DataFrame, n: int = 20) -> int:
+    """K8: print the schema and the first ``n`` rows (bounded), return the
+    row count (one counting job; use :func:`observed` to count during a write)."""
+    df.printSchema()
+    df.show(n, truncate=False)
+    return df.count()
