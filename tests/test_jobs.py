@@ -36,3 +36,10 @@ def test_clean_reports_features_train(spark):
     assert preds.count() == 168
     model = spark.read.parquet(f"{out_dir}/models/mlp").first()
     assert model.fold == doc.best_checkpoint_fold and len(model.scaler_mean) == 16
+
+
+def test_cli_parses_steps():
+    import pytest
+
+    with pytest.raises(SystemExit):
+        jobs.main(["reports", "--help"])
