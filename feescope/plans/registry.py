@@ -486,7 +486,13 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # the other query families register themselves on import
-    from feescope.plans import registry_io, registry_model, registry_more, registry_text  # noqa: F401
+    from feescope.plans import (  # noqa: F401
+        registry_io,
+        registry_model,
+        registry_more,
+        registry_suite,
+        registry_text,
+    )
 
 
 def REGISTRY_ENTRY(spark: SparkSession, sf_dir: str) -> DataFrame:
