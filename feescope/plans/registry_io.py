@@ -10,6 +10,7 @@ from feescope.config import EVENTS_SPEC
 from feescope.operators import features as FT
 from feescope.operators import reports as R
 from feescope.operators.catalog import table_profile
+from feescope.plans import sql as S
 from feescope.plans.registry import EW, ev_clean, ev_raw, register, rounded
 from feescope.plans.suite import TABLE_GROUPS, ReportSuite
 from feescope.sources import raw as RAW
@@ -74,7 +75,31 @@ def _written_suite(spark, sf):
     return suite, root
 
 
-@register("result_catalog")
+def _catalog_sql() -> str:
+    counts = {
+        "hourly_congestion": "SELECT count(DISTINCT hour_of_day) FROM clean",
+        "daily_congestion": "SELECT count(DISTINCT day_of_week) FROM clean",
+        "heatmap_matrix": "SELECT count(*) FROM (SELECT DISTINCT hour_of_day, day_of_week FROM clean)",
+        "top5_peak_hours": "SELECT least(5, count(DISTINCT hour_of_day)) FROM clean",
+        "daily_index": "SELECT count(DISTINCT date) FROM clean",
+        "top_congested_days": "SELECT least(10, count(DISTINCT date)) FROM clean",
+        "gas_distribution": f"SELECT count(DISTINCT {S.bucket_sql(E)}) FROM clean",
+        "weekly_summary": "SELECT count(DISTINCT weekofyear(date)) FROM clean",
+        "top_congested_blocks": "SELECT least(20, count(*)) FROM (SELECT DISTINCT block_number, date FROM clean)",
+        "ath_day_hourly": f"SELECT count(DISTINCT hour_of_day) FROM clean WHERE date = DATE '{E.event_day}'",
+        "avg_hourly_august": "SELECT count(DISTINCT hour_of_day) FROM clean",
+        "ath_high_value_txns": "SELECT 1",
+        "daily_volume_trend": "SELECT count(DISTINCT date) FROM clean",
+        "fee_paradox": "SELECT count(DISTINCT date) FROM clean",
+    }
+    parts = [
+        f"SELECT '{name}' AS table_name, CAST(1 AS BIGINT) AS n_files, CAST(({q}) AS BIGINT) AS n_rows"
+        for name, q in counts.items()
+    ]
+    return EW + "\nUNION ALL\n".join(parts)
+
+
+@register("result_catalog", _catalog_sql())
 def q_result_catalog(spark, sf):
     """K3 + S6: write all fourteen tables as CSV, rediscover them in one scan."""
     _, root = _written_suite(spark, sf)
@@ -104,13 +129,20 @@ def q_table_profile(spark, sf):
     return table_profile(RS.load_result_tables(spark, root))
 
 
-@register("scan_features")
+def _feature_sql() -> str:
+    from feescope.plans.registry_more import FEATURE_SELECT, FEATURES_SQL
+
+    return FEATURES_SQL + f"SELECT {FEATURE_SELECT} FROM feat"
+
+
+@register("scan_features", _feature_sql())
 def q_scan_features(spark, sf):
-    """K4 + S8: the feature CSV written in fixed column order, read back typed."""
+    """K4 + S8: the feature CSV written in fixed column order, read back typed
+    (doubles round-trip exactly through Spark's CSV text)."""
     feats = ReportSuite(ev_clean(spark, sf), E).feature_table()
     path = K.scratch_path(spark, "features")
     K.write_feature_csv(feats, path, FT.FEATURE_COLUMNS)
-    return RS.scan_features(spark, path)
+    return rounded(RS.scan_features(spark, path))
 
 
 @register(

@@ -33,3 +33,14 @@ def test_observed_count(spark):
     df, obs = K.observed(spark.range(7))
     df.collect()
     assert obs.get["rows"] == 7
+
+
+def test_table_profile(spark):
+    from feescope.operators.catalog import table_profile
+
+    a = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b"), (4, "d")], "k int, v string")
+    b = spark.createDataFrame([], "x double")
+    p = {r.table_name: r for r in table_profile({"a": a, "b": b}).collect()}
+    assert (p["a"].row_count, p["a"].n_columns, p["a"].columns) == (4, 2, "k,v")
+    assert p["a"].sample.split("\n") == ["1 | a", "2 | b", "3 | c"]
+    assert p["b"].row_count == 0 and p["b"].sample == ""

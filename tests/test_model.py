@@ -103,3 +103,13 @@ def test_mlp_inner_split_scores_untouched_fold(data):
     overall = [r for r in M.cv_metrics(pred, "actual_avg_gas_gwei", "predicted_avg_gas_gwei").collect()
                if r.scope == "overall"][0]
     assert overall.r2 > 0.5
+
+
+def test_loss_history_and_best(spark):
+    rows = [(1, 3, 2, 0.9, [], [(1, 2.0, 1.0), (2, 1.0, 0.5), (3, 0.8, 0.6)], [0.0]),
+            (2, 2, 1, 0.4, [], [(1, 1.5, 0.4), (2, 1.2, 0.45)], [0.0])]
+    res = spark.createDataFrame(rows, MLP.RESULT_SCHEMA)
+    h = MLP.loss_history(res, fold=1).orderBy("epoch").collect()
+    assert [r.epoch for r in h] == [1, 2, 3] and h[1].val_loss == 0.5
+    es = {r.fold: r for r in MLP.early_stopping_summary(res).collect()}
+    assert es[2].best_epoch == 1 and es[1].epochs_run == 3
