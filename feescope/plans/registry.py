@@ -474,32 +474,6 @@ def q_kpi_row(spark, sf):
     return rounded(R.kpi_row(ev_clean(spark, sf), E))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    _load_all()
-    return {name: q.fn for name, q in REGISTRY.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    _load_all()
-    return {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
-
-
-def _load_all() -> None:
-    # the other query families register themselves on import
-    from feescope.plans import (  # noqa: F401
-        registry_io,
-        registry_model,
-        registry_more,
-        registry_suite,
-        registry_text,
-    )
-
-
-def REGISTRY_ENTRY(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship query used by the smoke check."""
-    return q_hourly(spark, sf_dir)
-
-
 @register(
     "ranked_hours",
     HOURLY_SQL + f"""SELECT {HOURLY_COLS},
@@ -581,3 +555,29 @@ def q_top5_days(spark, sf):
 )
 def q_daily_index_display(spark, sf):
     return rounded(R.display_projection(R.daily_index(ev_clean(spark, sf), E), "daily_index"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load_all()
+    return {name: q.fn for name, q in REGISTRY.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    _load_all()
+    return {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
+
+
+def _load_all() -> None:
+    # the other query families register themselves on import
+    from feescope.plans import (  # noqa: F401
+        registry_io,
+        registry_model,
+        registry_more,
+        registry_suite,
+        registry_text,
+    )
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship query used by the smoke check."""
+    return q_hourly(spark, sf_dir)
