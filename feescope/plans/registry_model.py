@@ -48,3 +48,15 @@ def q_linear_cv(spark, sf):
     pred = ev_run(spark, sf).linear_predictions()
     return M.cv_metrics(pred, "actual", "predicted").select(
         "scope", "fold", *[F.col(c).cast("float").alias(c) for c in ("mae", "rmse", "r2")])
+
+
+@register("regressor_cv_data_parallel")
+def q_regressor_cv_data_parallel(spark, sf):
+    """M6 data-parallel: one job per epoch for all folds, parameters averaged across partitions."""
+    from feescope.operators import features as FT
+    from feescope.operators import model as M
+
+    run = ev_run(spark, sf)
+    _, pred, _ = MLP.train_cv_averaged(run.scaled, run.feature_names, FT.TARGET_COLUMN, FT.KEY_COLUMNS, run.cfg, run.k)
+    return M.cv_metrics(pred, "actual_avg_gas_gwei", "predicted_avg_gas_gwei").select(
+        "scope", "fold", *[F.col(c).cast("float").alias(c) for c in ("mae", "rmse", "r2")])

@@ -113,3 +113,18 @@ def test_loss_history_and_best(spark):
     assert [r.epoch for r in h] == [1, 2, 3] and h[1].val_loss == 0.5
     es = {r.fold: r for r in MLP.early_stopping_summary(res).collect()}
     assert es[2].best_epoch == 1 and es[1].epochs_run == 3
+
+
+def test_mlp_data_parallel_averaging(data):
+    feats = ["x1", "x2", "c"]
+    folded = M.kfold_assign(data, ["hour_of_day", "day_of_week"])
+    scaled = M.scale_by_train_fold(folded, M.fit_standard_scaler(folded, feats), feats).repartition(3).cache()
+    summary, pred, hist = MLP.train_cv_averaged(scaled, feats, "y", cfg=MLP.MLPConfig(epochs=60, patience=10))
+    assert pred.count() == 168 and summary.count() == 5
+    overall = [r for r in M.cv_metrics(pred, "actual_avg_gas_gwei", "predicted_avg_gas_gwei").collect()
+               if r.scope == "overall"][0]
+    base = M.fold_mean_baseline(folded, "y")
+    base_rmse = [r for r in M.cv_metrics(base, "y", "predicted").collect() if r.scope == "overall"][0].rmse
+    assert overall.rmse < base_rmse  # it learns, with parameters averaged over 3 partitions
+    h = hist.where("fold = 1").orderBy("epoch").collect()
+    assert h[0].epoch == 1 and h[-1].val_loss < h[0].val_loss
