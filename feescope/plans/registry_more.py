@@ -12,6 +12,7 @@ from feescope.operators import quality as Q
 from feescope.operators import reports as R
 from feescope.plans.registry import EW, LW, ev_clean, li_clean, r6, register, rounded
 from feescope.plans.suite import ReportSuite
+from feescope.sources.standins import read_table
 
 E = EVENTS_SPEC
 FEATURES = [c for c in FT.FEATURE_COLUMNS if c not in (*FT.KEY_COLUMNS, FT.TARGET_COLUMN)]
@@ -160,7 +161,7 @@ def q_one_hot(spark, sf):
 FROM events""",
 )
 def q_lenient_int(spark, sf):
-    ev = spark.read.parquet(f"{sf}/events.parquet")
+    ev = read_table(spark, sf, "events")
     return ev.select(
         "event_id",
         lenient_int(F.col("value").cast("string")).alias("value_int"),

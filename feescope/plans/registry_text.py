@@ -8,6 +8,7 @@ from feescope.config import EVENTS_SPEC
 from feescope.operators import routing as RT
 from feescope.plans.registry import ev_clean, register
 from feescope.plans.suite import ReportSuite
+from feescope.sources.standins import read_table
 
 KEYS = ["conv_id", "turn"]
 
@@ -27,7 +28,7 @@ PARTIAL_CATALOG = tuple(t for t in RT.ALL_TABLES if t not in ("top5_peak_hours",
 
 
 def questions(spark, sf):
-    conv = spark.read.parquet(f"{sf}/conversations.parquet")
+    conv = read_table(spark, sf, "conversations")
     return conv.where(F.col("role") == "user").select("conv_id", "turn", "text")
 
 
@@ -110,7 +111,7 @@ def q_routed_tables(spark, sf):
 FROM conversations""",
 )
 def q_chat_history(spark, sf):
-    return RT.chat_history(spark.read.parquet(f"{sf}/conversations.parquet"))
+    return RT.chat_history(read_table(spark, sf, "conversations"))
 
 
 @register("context_assembly")
