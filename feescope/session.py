@@ -91,4 +91,4 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/materialized/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # the schema is known: no footer inference
