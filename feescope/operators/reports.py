@@ -48,6 +48,16 @@ def percentile(column: str, p, spec: ChainSpec = DEFAULT_SPEC, mode: str = "appr
     raise ValueError(f"percentile mode must be one of {PERCENTILE_MODES}")
 
 
+def percentiles(column: str, ps, spec: ChainSpec = DEFAULT_SPEC, mode: str = "approx") -> list[Column]:
+    """Several percentiles of one column; in ``approx`` mode from a single
+    sketch (one ``percentile_approx`` over an array of percentages), so the
+    shuffle carries one sketch per group instead of one per percentile."""
+    if mode == "approx":
+        both = F.percentile_approx(column, [float(p) for p in ps], spec.percentile_accuracy)
+        return [both[i] for i in range(len(ps))]
+    return [percentile(column, p, spec, mode) for p in ps]
+
+
 def _order(df: DataFrame, sort: bool, *cols) -> DataFrame:
     return df.orderBy(*cols) if sort else df
 
@@ -148,10 +158,8 @@ def daily_index(
         m.min_price().alias("min_gas_gwei"),
     ]
     if quantiles is None:
-        aggs += [
-            percentile("gas_fee_gwei", 0.5, spec, percentile_mode).alias("median_gas_gwei"),
-            percentile("gas_fee_gwei", 0.95, spec, percentile_mode).alias("p95_gas_gwei"),
-        ]
+        median, p95 = percentiles("gas_fee_gwei", (0.5, 0.95), spec, percentile_mode)
+        aggs += [median.alias("median_gas_gwei"), p95.alias("p95_gas_gwei")]
     aggs += [
         m.sum_used().alias("total_gas_used"),
         m.avg_cost().alias("avg_tx_cost_gwei"),
