@@ -102,8 +102,12 @@ def cell_rollup(clean: DataFrame, spec: ChainSpec = DEFAULT_SPEC, sketch_k: int
         extra.append(F.kll_sketch_agg_double("gas_fee_gwei", sketch_k).alias("price_sketch"))
     return clean.groupBy(
         "date", "hour_of_day", "day_of_week", bucket_order("gas_fee_gwei", spec).alias("bucket")
-    ).agg(
-        *extra,
+    ).agg(*extra, *cell_measures())
+
+
+def cell_measures() -> list:
+    """The decomposable measures a rollup row carries (see :class:`CellMeasures`)."""
+    return [
         F.count("hash").alias("n_hash"),
         F.count("gas_fee_gwei").alias("n_price"),
         F.sum("gas_fee_gwei").alias("sum_price"),
@@ -112,4 +116,4 @@ def cell_rollup(clean: DataFrame, spec: ChainSpec = DEFAULT_SPEC, sketch_k: int
         F.count("tx_cost_gwei").alias("n_cost"),
         F.sum("tx_cost_gwei").alias("sum_cost"),
         F.sum("receipt_gas_used").alias("sum_used"),
-    )
+    ]

@@ -4,12 +4,12 @@ Computing the fourteen result tables one query at a time scans the cleaned
 fact table fourteen times.  Here:
 
 1. one pass builds the (date, hour, price bucket) rollup of decomposable
-   measures (a few thousand rows per month) and checkpoints it;
+   measures (a few thousand rows per month) and, in the same pass through
+   GROUPING SETS, the (block, date) aggregate; both are checkpointed together;
 2. one pass computes the percentiles for hours and dates together
    (GROUPING SETS: one scan, one bounded sketch per group) - or none, with
    ``percentile_mode="sketch"``: KLL sketches kept per rollup cell are merged;
-3. one pass aggregates blocks (high cardinality, decomposable measures);
-4. the large-transfer report reads only the event day (partition filter on a
+3. the large-transfer report reads only the event day (partition filter on a
    date-partitioned table).
 
 Every other table - hour, weekday, heatmap, daily index, buckets, weeks,
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from feescope.config import DEFAULT_SPEC, ChainSpec
 from feescope.operators import features as FT
 from feescope.operators import reports as R
-from feescope.operators.measures import CELLS, cell_rollup
+from feescope.functions.columns import bucket_order, ratio
+from feescope.operators.measures import CELLS, cell_measures, cell_rollup
 from feescope.session import materialize
 
 # fixed values: result table names (one folder each), grouped as published
@@ -70,9 +71,28 @@ class ReportSuite:
         self.sort = sort
 
     # ---- shared passes -------------------------------------------------
+    @cached_property
+    def _rollup(self) -> DataFrame | None:
+        """Cells and blocks from one scan: GROUPING SETS over (date, hour,
+        weekday, bucket) and (block, date), decomposable measures only.
+
+        Expand doubles the rows in memory instead of reading the fact table
+        twice.  Not used with sketches (a sketch per block would be waste).
+        """
+        if self.sketch_k:
+            return None
+        keyed = self.clean.withColumn("bucket", bucket_order("gas_fee_gwei", self.spec))
+        g = keyed.groupingSets(
+            [["date", "hour_of_day", "day_of_week", "bucket"], ["block_number", "date"]],
+            "date", "hour_of_day", "day_of_week", "bucket", "block_number",
+        ).agg(F.grouping("block_number").alias("is_cell"), *cell_measures())
+        return self._keep(g)
+
     @cached_property
     def cells(self) -> DataFrame:
-        return self._keep(cell_rollup(self.clean, self.spec, self.sketch_k))
+        if self._rollup is None:
+            return self._keep(cell_rollup(self.clean, self.spec, self.sketch_k))
+        return self._rollup.where(F.col("is_cell") == 1).drop("is_cell", "block_number")
 
     @cached_property
     def quantiles(self) -> DataFrame:
@@ -110,7 +130,18 @@ class ReportSuite:
 
     @cached_property
     def blocks(self) -> DataFrame:
-        return R.block_activity(self.clean, self.spec)
+        if self._rollup is None:
+            return R.block_activity(self.clean, self.spec)
+        # one row per (block, date) already: a projection, no re-aggregation
+        return self._rollup.where(F.col("is_cell") == 0).select(
+            "block_number",
+            "date",
+            F.col("n_hash").alias("tx_count"),
+            ratio("sum_price", "n_price").alias("avg_gas_gwei"),
+            F.col("sum_used").alias("block_gas_used"),
+            F.col("max_price").alias("max_gas_gwei"),
+            (F.col("sum_used") / F.lit(float(self.spec.block_gas_limit))).alias("block_utilization"),
+        )
 
     # ---- tables ----------------------------------------------------------
     def hourly_congestion(self) -> DataFrame:

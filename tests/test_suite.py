@@ -35,6 +35,7 @@ def test_suite_matches_direct(suite, clean01):
     assert same(suite.daily_volume_trend(), R.daily_volume(clean01))
     assert same(suite.weekly_summary(), R.weekly_summary(clean01))
     assert same(suite.fee_paradox(), R.fee_paradox(clean01, EVENTS_SPEC))
+    assert same(suite.blocks, R.block_activity(clean01, EVENTS_SPEC))  # from the same grouping-sets pass
 
 
 def test_invariants(suite, clean01):
