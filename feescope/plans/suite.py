@@ -67,6 +67,7 @@ class ReportSuite:
         self.percentile_mode = percentile_mode
         self.sketch_k = sketch_k if percentile_mode == "sketch" else None
         self._keep = materialize if checkpoint else (lambda df: df)
+        self._checkpoint = checkpoint
         # sorted output for sinks; consumers that re-order anyway pass False
         self.sort = sort
 
@@ -86,7 +87,8 @@ class ReportSuite:
             [["date", "hour_of_day", "day_of_week", "bucket"], ["block_number", "date"]],
             "date", "hour_of_day", "day_of_week", "bucket", "block_number",
         ).agg(F.grouping("block_number").alias("is_cell"), *cell_measures())
-        return self._keep(g)
+        # partitioned by the set, so reading the small cell part prunes the block part
+        return materialize(g, "rollup", "is_cell") if self._checkpoint else g
 
     @cached_property
     def cells(self) -> DataFrame:

@@ -78,7 +78,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Cut lineage with a table written under the shared checkpoint folder.
 
     Used for small, reused intermediates (rollups, quantiles, model results):
@@ -90,5 +90,12 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/materialized/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)  # the schema is known: no footer inference
+    writer = df.write.mode("overwrite")
+    if partition_by:  # later filters on it become partition pruning
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    # the schema is known: no footer inference (partition column last, as Spark reads it back)
+    schema = df.schema
+    if partition_by:
+        schema = df.select(*[c for c in df.columns if c != partition_by], partition_by).schema
+    return spark.read.schema(schema).parquet(path)
