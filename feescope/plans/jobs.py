@@ -23,7 +23,7 @@ from feescope.operators import features as FT
 from feescope.operators.clean import clean as clean_rows
 from feescope.plans.suite import TABLE_GROUPS, ReportSuite
 from feescope.plans.training import TrainingRun
-from feescope.session import build_session
+from feescope.session import build_session, input_bytes, size_for_input
 from feescope.sources import raw as RAW
 from feescope.sources import results as RS
 
@@ -95,6 +95,8 @@ def main(argv=None) -> None:
             p.add_argument("--percentiles", default="approx", choices=["approx", "exact", "sketch"])
     args = ap.parse_args(argv)
     spark = build_session(args.master, app_name=f"feescope-{args.step}")
+    source = {"clean": "raw", "reports": "clean", "features": "results", "train": "features"}[args.step]
+    size_for_input(spark, input_bytes(spark, getattr(args, source)))
     if args.step == "clean":
         print(clean_job(spark, args.raw, args.out, _spec(args)))
     elif args.step == "reports":

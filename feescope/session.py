@@ -99,3 +99,30 @@ def materialize(df: DataFrame, name: str = "table", partition_by: str | None = N
     if partition_by:
         schema = df.select(*[c for c in df.columns if c != partition_by], partition_by).schema
     return spark.read.schema(schema).parquet(path)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below ``path`` (Hadoop FileSystem summary, no scan)."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hadoop_path).getLength())
+
+
+def size_for_input(spark: SparkSession, nbytes: int, per_partition: int = 256 << 20,
+                   max_partitions: int = 20000) -> int:
+    """Size shuffles for a job that reads ``nbytes``.
+
+    One shuffle partition per 256 MB of input (at least two per core, at most
+    ``max_partitions``) so the largest shuffle - the block aggregate - spills
+    little; AQE coalesces the small aggregate shuffles back to a few
+    partitions of ``advisoryPartitionSizeInBytes``.  Above 1 TB of input, scan
+    splits grow to 512 MB to keep the task count manageable.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = int(min(max_partitions, max(2 * cores, nbytes // per_partition)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+    if nbytes > 1 << 40:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 << 20))
+    return n

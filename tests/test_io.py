@@ -44,3 +44,19 @@ def test_table_profile(spark):
     assert (p["a"].row_count, p["a"].n_columns, p["a"].columns) == (4, 2, "k,v")
     assert p["a"].sample.split("\n") == ["1 | a", "2 | b", "3 | c"]
     assert p["b"].row_count == 0 and p["b"].sample == ""
+
+
+def test_size_for_input(spark):
+    from feescope.session import input_bytes, size_for_input
+
+    n = input_bytes(spark, "/root/testdata/sf0.01/events.parquet")
+    assert n > 100_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for_input(spark, n) == 2 * spark.sparkContext.defaultParallelism
+        assert size_for_input(spark, 10 << 40) == 20000
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(512 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
