@@ -96,3 +96,10 @@ def test_exact_percentile_mode(spark):
     df = spark.range(100).select(F.lit(1).alias("hour_of_day"), F.col("id").cast("double").alias("gas_fee_gwei"))
     r = df.groupBy("hour_of_day").agg(R.percentile("gas_fee_gwei", 0.95, mode="exact").alias("p")).first()
     assert r.p == 94.0
+
+
+def test_sketch_percentile_mode(spark):
+    df = spark.range(10000).select(F.lit(1).alias("hour_of_day"), F.col("id").cast("double").alias("gas_fee_gwei"))
+    r = df.groupBy("hour_of_day").agg(*[c.alias(f"q{i}") for i, c in enumerate(
+        R.percentiles("gas_fee_gwei", (0.5, 0.95), mode="sketch"))]).first()
+    assert abs(r.q0 - 5000) < 100 and abs(r.q1 - 9500) < 100
