@@ -58,3 +58,13 @@ def test_unsupported_timestamp_type(spark):
 def test_extract_range_is_closed_and_pushed(raw_df):
     out = extract_range(raw_df, "2025-08-24", "2025-08-24")
     assert {r.hash for r in out.collect()} == {"h1", "h2", None, "h5"}
+
+
+def test_scan_raw_contract(spark, tmp_path_factory):
+    from feescope import sinks as K
+    from feescope.sources.raw import scan_raw
+
+    path = K.scratch_path(spark, "t-raw-missing")
+    spark.createDataFrame([(1, "h")], "block_number long, hash string").write.parquet(path)
+    with pytest.raises(ContractError, match=r"\['block_timestamp', 'from_address', 'gas'"):
+        scan_raw(spark, path)

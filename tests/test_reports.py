@@ -103,3 +103,19 @@ def test_sketch_percentile_mode(spark):
     r = df.groupBy("hour_of_day").agg(*[c.alias(f"q{i}") for i, c in enumerate(
         R.percentiles("gas_fee_gwei", (0.5, 0.95), mode="sketch"))]).first()
     assert abs(r.q0 - 5000) < 100 and abs(r.q1 - 9500) < 100
+
+
+def test_kpi_display_formats(spark):
+    kpi = spark.createDataFrame([(12482427, 1.76994, dt.date(2025, 8, 24), 7)],
+                                "total_transactions long, avg_gas_gwei_hourly_mean double, peak_day date, peak_hour int")
+    r = R.kpi_display(kpi).first()
+    assert (r.total_transactions, r.avg_gas_price, r.peak_congestion_day, r.peak_hour_utc) == (
+        "12,482,427", "1.77 gwei", "2025-08-24", "07:00")
+
+
+def test_priciest_day_both_readings(spark):
+    daily = spark.createDataFrame([(dt.date(2025, 8, 1), 2.0, 9.0), (dt.date(2025, 8, 2), 3.0, 4.0),
+                                   (dt.date(2025, 8, 3), 3.0, 1.0)],
+                                  "date date, avg_gas_gwei double, max_gas_gwei double")
+    r = R.priciest_day(daily).first()
+    assert (str(r.date_highest_avg_gas), str(r.date_highest_max_gas)) == ("2025-08-02", "2025-08-01")
