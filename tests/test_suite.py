@@ -73,3 +73,14 @@ def test_sketch_mode_quantiles_close(clean01):
     assert "price_sketch" in sk.cells.columns
     d = sk.daily_index().collect()
     assert len(d) == 30 and all(r.median_gas_gwei <= r.p95_gas_gwei for r in d)
+
+
+def test_event_vs_month_matches_separate_reports(clean01):
+    ev = {r.hour_of_day: r for r in R.event_vs_month(clean01, EVENTS_SPEC).collect()}
+    day = {r.hour_of_day: r for r in R.event_day_hourly(clean01, EVENTS_SPEC).collect()}
+    per = {r.hour_of_day: r for r in R.avg_hourly_month(clean01, EVENTS_SPEC).collect()}
+    for h, r in ev.items():
+        assert r.event_tx_count == day[h].tx_count
+        assert r.event_avg_gas_gwei == pytest.approx(day[h].avg_gas_gwei)
+        assert r.period_avg_tx_per_hour == pytest.approx(per[h].avg_tx_per_hour)
+        assert r.gas_diff_gwei == pytest.approx(day[h].avg_gas_gwei - per[h].avg_gas_gwei_august)
