@@ -22,3 +22,20 @@ def test_stream_resumes_from_checkpoint(spark, raw_df):
     assert back.count() == C.clean(raw_df).count()
     assert sorted(r.hash or "" for r in back.select("hash").collect()) == sorted(
         r.hash or "" for r in C.clean(raw_df).select("hash").collect())
+
+
+def test_stream_accepts_nanosecond_timestamps(spark, raw_df):
+    from pyspark.sql import types as T
+
+    from feescope.sources.raw import RAW_SCHEMA
+
+    raw_dir = K.scratch_path(spark, "s-raw-ns")
+    out_dir, ckpt = K.scratch_path(spark, "s-clean-ns"), K.scratch_path(spark, "s-ckpt-ns")
+    ns = raw_df.withColumn("block_timestamp", F.unix_micros("block_timestamp") * 1000)
+    ns.write.parquet(raw_dir)
+    schema = T.StructType([T.StructField("block_timestamp", T.LongType())] + RAW_SCHEMA.fields[1:])
+    start_clean_stream(spark, raw_dir, out_dir, ckpt, schema=schema).awaitTermination()
+    got = {r.hash: r for r in spark.read.parquet(out_dir).collect()}
+    want = {r.hash: r for r in C.clean(raw_df).collect()}
+    assert set(got) == set(want)
+    assert all(got[h].hour_of_day == want[h].hour_of_day and got[h].date == want[h].date for h in want)
