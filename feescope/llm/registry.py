@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feescope.llm import language_id, mixing, packing, secret_scan, simhash_dedup
+from feescope.llm import (
+    ann_search, hnsw_dedup, html_extract, language_id, mixing, packing, secret_scan, simhash_dedup, toxicity, warc,
+)
 from feescope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,14 +26,40 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract_main_text(pages, html_extract.train(pages))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    model = toxicity.train(docs.where(~held_out), labels.where(~held_out))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann_search.nearest_neighbours(vectors.where("vec_id % 100 = 0"), vectors, k=10)
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"), words_per_shingle=3, max_bits=2)
 
@@ -41,7 +69,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_language_id, op4_secret_scan, op6_source_mixing, op9_simhash_dedup, op10_packing)}
+    op1_language_id, op2_html_extraction, op3_toxicity, op4_secret_scan, op5_warc, op6_source_mixing,
+    op7_nearest_neighbours, op8_embedding_dedup, op9_simhash_dedup, op10_packing)}
 
 ORACLES: dict[str, str] = {}
 
