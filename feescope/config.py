@@ -7,7 +7,7 @@ code runs on other chains, months or stand-in tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 # --- fixed values (must equal the original analysis for identical results) ---
@@ -59,7 +59,6 @@ class ChainSpec:
     count_weight: float = COUNT_WEIGHT
     # percentile_approx accuracy; the original used Spark's default
     percentile_accuracy: int = 10000
-    extra: dict = field(default_factory=dict)
 
     @property
     def daily_capacity(self) -> float:

@@ -81,11 +81,14 @@ def one_hot(column, value) -> Column:
     return (_c(column) == F.lit(value)).cast("int")
 
 
-def lenient_int(text) -> Column:
-    """Text -> double -> int, truncating toward zero; bad text raises (ANSI)."""
-    return _c(text).cast("double").cast("int")
+def lenient_int(text, name: str = "value") -> Column:
+    """Text -> double -> long, truncating toward zero.
 
-
-def try_lenient_int(text) -> Column:
-    """P12 quarantine variant: bad text gives null instead of an error."""
-    return _c(text).try_cast("double").try_cast("int")
+    Text that is no number, or none that a long holds, raises an error that
+    names the column; null stays null.
+    """
+    text = _c(text)
+    number = text.try_cast("double").try_cast("long")
+    bad = text.isNotNull() & number.isNull()
+    message = F.concat(F.lit(f"column {name}: not an integer: "), F.coalesce(text.cast("string"), F.lit("")))
+    return F.when(bad, F.raise_error(message).cast("long")).otherwise(number)

@@ -6,8 +6,8 @@ DataFrames.  ``build_session`` is for scripts, tests and the bench.
 
 from __future__ import annotations
 
+import math
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,23 +61,55 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder must be shared storage named in
     ``spark.checkpoint.dir``; only a local-mode session without one (tests,
-    the bench) gets a fresh folder of its own.
+    the bench) gets a folder below its own warehouse.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; name a shared folder for reliable checkpoints"
-        )
-    path = tempfile.mkdtemp(prefix="feescope-ckpt-")
-    sc.setCheckpointDir(path)
+    if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; name a shared folder for reliable checkpoints"
+            )
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder, for intermediate tables.
+
+    It goes with :func:`release_scratch`, or at the latest when the driver's
+    JVM closes its file systems.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+    fs, p = _hadoop(spark, path)
+    fs.deleteOnExit(p)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
+def release_scratch(spark: SparkSession, keep=()) -> None:
+    """Delete the scratch folders made so far (all but ``keep``).
+
+    Call it once the results that read them are written.
+    """
+    app = spark.sparkContext.applicationId
+    for path in _SCRATCH.get(app, []):
+        if path not in keep:
+            fs, p = _hadoop(spark, path)
+            fs.delete(p, True)
+    _SCRATCH[app] = [p for p in _SCRATCH.get(app, []) if p in keep]
+
+
 def materialize(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Cut lineage with a table written under the shared checkpoint folder.
 
@@ -88,8 +120,7 @@ def materialize(df: DataFrame, name: str = "table", partition_by: str | None = N
     and once more to write the checkpoint files.)
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/materialized/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name)
     writer = df.write.mode("overwrite")
     if partition_by:  # later filters on it become partition pruning
         writer = writer.partitionBy(partition_by)
@@ -109,20 +140,14 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hadoop_path).getLength())
 
 
-def size_for_input(spark: SparkSession, nbytes: int, per_partition: int = 256 << 20,
-                   max_partitions: int = 20000) -> int:
-    """Size shuffles for a job that reads ``nbytes``.
+def size_for_input(spark: SparkSession, nbytes: int, per_partition: int = 256 << 20) -> int:
+    """Size shuffles for a job that reads ``nbytes``: one partition per
+    ``per_partition`` bytes, and at least two per core.
 
-    One shuffle partition per 256 MB of input (at least two per core, at most
-    ``max_partitions``) so the largest shuffle - the block aggregate - spills
-    little; AQE coalesces the small aggregate shuffles back to a few
-    partitions of ``advisoryPartitionSizeInBytes``.  Above 1 TB of input, scan
-    splits grow to 512 MB to keep the task count manageable.
+    One formula at every size; AQE coalesces the small aggregate shuffles back
+    to partitions of ``advisoryPartitionSizeInBytes``.
     """
-    cores = spark.sparkContext.defaultParallelism
-    n = int(min(max_partitions, max(2 * cores, nbytes // per_partition)))
+    n = max(2 * spark.sparkContext.defaultParallelism, math.ceil(nbytes / per_partition))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
-    if nbytes > 1 << 40:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 << 20))
     return n

@@ -6,18 +6,10 @@ task; ``coalesce(1)`` is used only for aggregate-sized result tables.
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from feescope.session import ensure_checkpoint_dir
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+from feescope.session import scratch_path  # noqa: F401  (round-trip queries and jobs)
 
 
 def write_chunked_parquet(df: DataFrame, path: str, max_records: int = 1_000_000, mode: str = "overwrite") -> None:
@@ -28,12 +20,13 @@ def write_chunked_parquet(df: DataFrame, path: str, max_records: int = 1_000_000
 def write_clean(df: DataFrame, path: str, max_records: int = 5_000_000, mode: str = "overwrite") -> None:
     """K2: the cleaned zone, partitioned by ``date`` for partition pruning.
 
-    No shuffle: each task sorts its own rows by date and writes one file per
-    date it holds (scan order is time order, so that is a few dates per task).
-    Repartitioning by date instead would put a whole busy day in one task.
+    Rows are rebalanced by date: AQE splits a busy day over several tasks and
+    merges small days into one, so files follow the advisory partition size
+    whatever the order of the raw rows (writing in scan order would give a
+    file per task and date).
     """
     (
-        df.sortWithinPartitions("date")
+        df.hint("rebalance", "date")
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records)
         .partitionBy("date")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feescope.operators.features import FEATURE_COLUMNS
+from feescope.sources.raw import ContractError
 
 
 def catalog_files(spark: SparkSession, root: str) -> DataFrame:
@@ -48,11 +51,67 @@ def load_part_csv(spark: SparkSession, folder: str, schema: T.StructType | None
     return df
 
 
+def part_files(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """folder -> its ``part-*.csv`` files, sorted, for every folder below ``root`` (a listing, no job)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, files = {}, fs.listFiles(path, True)
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        folder, _, leaf = name.rpartition("/")
+        if leaf.startswith("part-") and leaf.endswith(".csv"):
+            found.setdefault(folder, []).append(name)
+    return {k: sorted(v) for k, v in sorted(found.items())}
+
+
+def readable_parts(spark: SparkSession, files: list[str]) -> tuple[list[str], list[tuple[str, str]]]:
+    """(readable part files, [(unreadable part file, reason)]) of one folder.
+
+    A part file is unreadable if it has no header (an empty file, say) or one
+    that is not the folder's (that of its first readable file).
+    """
+    good, bad, header = [], [], None
+    for path in files:
+        try:
+            columns = spark.read.option("header", True).csv(path).columns
+            reason = "" if columns else "no header"
+        except AnalysisException as exc:
+            columns, reason = [], str(exc).split("\n", 1)[0]
+        if columns and header not in (None, columns):
+            reason = f"its header is {columns}, not {header}"
+        if reason:
+            bad.append((path, reason))
+        else:
+            header = columns
+            good.append(path)
+    return good, bad
+
+
 def load_result_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Every result table below ``root`` by name, each read with its own
-    inferred schema.  The folder list is one row per table (bounded)."""
-    folders = catalog_files(spark, root).select("table_name", "folder").collect()
-    return {r.table_name: load_part_csv(spark, r.folder) for r in sorted(folders)}
+    inferred schema.  The folder list is one row per table (bounded).
+
+    Unreadable part files are reported (a warning each) and skipped.  Folders
+    of one name are one table: they are united if their columns agree and are
+    an error if not.
+    """
+    tables: dict[str, DataFrame] = {}
+    for folder, files in part_files(spark, root).items():
+        name = folder.rpartition("/")[2]
+        good, bad = readable_parts(spark, files)
+        for path, reason in bad:
+            warnings.warn(f"skipped unreadable part file {path}: {reason}", stacklevel=2)
+        if not good:
+            continue
+        df = spark.read.option("header", True).option("inferSchema", True).csv(good)
+        if name not in tables:
+            tables[name] = df
+        elif sorted(tables[name].columns) == sorted(df.columns):
+            tables[name] = tables[name].unionByName(df)
+        else:
+            raise ContractError(f"folders named {name} have different columns: "
+                                f"{tables[name].columns} and, in {folder}, {df.columns}")
+    return tables
 
 
 FEATURE_SCHEMA = T.StructType(

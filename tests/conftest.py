@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -9,23 +8,24 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from feescope.session import BASE_CONF  # noqa: E402
+from feescope.session import BASE_CONF, ensure_checkpoint_dir, release_scratch  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[4]").appName("feescope-tests")
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", "4")
+    builder = builder.config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="feescope-test-ckpt-"))
+    ensure_checkpoint_dir(s)
     yield s
+    release_scratch(s)
 
 
 RAW_DDL = (

@@ -28,12 +28,12 @@ def test_weekday_name(spark):
 
 
 def test_lenient_int(spark):
-    df = spark.createDataFrame([("3.9",), ("-2.5",), ("7",)], "t string")
-    assert [r.v for r in df.select(X.lenient_int("t").alias("v")).collect()] == [3, -2, 7]
-    bad = spark.createDataFrame([("abc",)], "t string")
-    assert bad.select(X.try_lenient_int("t").alias("v")).first().v is None
-    with pytest.raises(Exception):
-        bad.select(X.lenient_int("t")).collect()
+    df = spark.createDataFrame([("3.9",), ("-2.5",), ("7",), ("3000000000.5",), (None,)], "t string")
+    assert [r.v for r in df.select(X.lenient_int("t", "t").alias("v")).collect()] == [3, -2, 7, 3000000000, None]
+    for text in ("abc", "1e30", ""):
+        bad = spark.createDataFrame([(text,)], "t string")
+        with pytest.raises(Exception, match="column tx_count: not an integer"):
+            bad.select(X.lenient_int("t", "tx_count")).collect()
 
 
 def test_weighted_score_identity(spark):

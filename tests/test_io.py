@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from feescope import sinks as K
 from feescope.operators import clean as C
+from feescope.session import _hadoop
 from feescope.sources import raw as RAW
 from feescope.sources import results as RS
 
@@ -29,6 +30,58 @@ def test_catalog_and_part_csv(spark):
         RS.load_part_csv(spark, root + "/does-not-exist")
 
 
+def test_same_named_folders_unite_or_raise(spark):
+    root = K.scratch_path(spark, "t-same")
+    one = spark.range(3).select(F.col("id").alias("a"), F.lit("x").alias("b"))
+    K.write_result_csv(one, f"{root}/g1/t")
+    K.write_result_csv(spark.range(5).select(F.lit("y").alias("b"), F.col("id").alias("a")), f"{root}/g2/t")
+    tables = RS.load_result_tables(spark, root)
+    assert {k: v.count() for k, v in tables.items()} == {"t": 8}
+    K.write_result_csv(spark.range(5).select(F.col("id").alias("other")), f"{root}/g3/t")
+    with pytest.raises(RAW.ContractError, match="named t have different columns"):
+        RS.load_result_tables(spark, root)
+
+
+def test_unreadable_part_file_is_reported_and_skipped(spark):
+    root = K.scratch_path(spark, "t-bad")
+    K.write_result_csv(spark.range(4), f"{root}/good")
+    fs, p = _hadoop(spark, f"{root}/good/part-bad.csv")
+    fs.create(p).close()
+    fs.create(_hadoop(spark, f"{root}/empty/part-0.csv")[1]).close()
+    out = fs.create(_hadoop(spark, f"{root}/good/part-zzz.csv")[1])
+    out.write(bytearray(b"other,header\n1,2\n"))
+    out.close()
+    with pytest.warns(UserWarning, match="skipped unreadable part file") as said:
+        tables = RS.load_result_tables(spark, root)
+    assert sum("skipped" in str(w.message) for w in said) == 3
+    assert sorted(tables) == ["good"] and tables["good"].count() == 4
+
+
+def test_clean_files_follow_days_not_tasks(spark):
+    """Shuffled raw rows: a file per day (rebalanced), not one per task and day."""
+    from feescope.config import EVENTS_SPEC
+    from feescope.sources.standins import events_raw
+
+    path = K.scratch_path(spark, "t-files")
+    clean = C.clean(events_raw(spark, "/root/testdata/sf0.01").repartition(16), EVENTS_SPEC)
+    K.write_clean(clean, path)
+    back = spark.read.parquet(path)
+    files = back.select(F.col("_metadata.file_path").alias("f"), "date").distinct().groupBy("date").count()
+    assert files.count() == 30 and files.agg(F.max("count")).first()[0] == 1
+    assert back.count() == 9907
+
+
+def test_scratch_is_released(spark):
+    from feescope.session import materialize, release_scratch
+
+    df = materialize(spark.range(3), "t-release")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    fs, p = _hadoop(spark, path)
+    assert fs.exists(p)
+    release_scratch(spark)
+    assert not fs.exists(p)
+
+
 def test_observed_count(spark):
     df, obs = K.observed(spark.range(7))
     df.collect()
@@ -44,6 +97,8 @@ def test_table_profile(spark):
     assert (p["a"].row_count, p["a"].n_columns, p["a"].columns) == (4, 2, "k,v")
     assert p["a"].sample.split("\n") == ["1 | a", "2 | b", "3 | c"]
     assert p["b"].row_count == 0 and p["b"].sample == ""
+    stored = {r.table_name: r for r in table_profile({"a": a}, orders={"a": ("-k",)}).collect()}
+    assert stored["a"].sample.split("\n") == ["4 | d", "3 | c", "2 | b"]
 
 
 def test_size_for_input(spark):
@@ -54,9 +109,9 @@ def test_size_for_input(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert size_for_input(spark, n) == 2 * spark.sparkContext.defaultParallelism
-        assert size_for_input(spark, 10 << 40) == 20000
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(512 << 20)
+        # one formula at any size: no cap, no switch
+        assert size_for_input(spark, 10 << 40) == (10 << 40) // (256 << 20)
+        assert size_for_input(spark, 100 << 40) == (100 << 40) // (256 << 20)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
