@@ -24,8 +24,9 @@ from feescope.functions.columns import (
     weighted_score,
 )
 from feescope.operators.measures import ROWS
+from feescope.operators.percentile import exact_percentiles
 
-PERCENTILE_MODES = ("approx", "exact", "sketch")
+PERCENTILE_MODES = ("exact", "approx", "sketch")
 SKETCH_K = 1000  # KLL sketch size for percentile_mode="sketch" (rank error about 1.7 / k)
 
 # Windows over one row per key of a bounded domain (24 hours, days of the
@@ -34,35 +35,21 @@ def _whole():
     return Window.partitionBy()
 
 
-def percentile(column: str, p, spec: ChainSpec = DEFAULT_SPEC, mode: str = "approx") -> Column:
-    """A percentile aggregate.
+def percentiles(column: str, ps, spec: ChainSpec = DEFAULT_SPEC, mode: str = "approx") -> list[Column]:
+    """Several approximate percentiles of one column, from one sketch per group.
 
-    ``approx`` is ``percentile_approx`` (the original's choice): a bounded
-    sketch per group, merged map-side.  ``exact`` is ``percentile_disc``, the
-    smallest value whose cumulative share reaches ``p``; its buffer holds one
-    entry per distinct value in the group.  ``sketch`` is a KLL sketch: about
-    a sixth of the GK sketch's shuffle on hot groups (see the README).
+    ``approx`` is ``percentile_approx`` (the original's choice); ``sketch`` is a
+    KLL sketch, about a sixth of its shuffle on hot groups (see the README).
+    Exact percentiles are no aggregate function:
+    :func:`feescope.operators.percentile.exact_percentiles`.
     """
-    if mode == "approx":
-        return F.percentile_approx(column, p, spec.percentile_accuracy)
-    if mode == "exact":
-        return F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY {column})")
-    if mode == "sketch":
-        return F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(column, SKETCH_K), F.lit(float(p)))
-    raise ValueError(f"percentile mode must be one of {PERCENTILE_MODES}")
-
-
-def percentiles(column: str, ps, spec: ChainSpec = DEFAULT_SPEC, mode: str = "approx") -> list[Column]:
-    """Several percentiles of one column; in ``approx`` mode from a single
-    sketch (one ``percentile_approx`` over an array of percentages), so the
-    shuffle carries one sketch per group instead of one per percentile."""
     if mode == "approx":
         both = F.percentile_approx(column, [float(p) for p in ps], spec.percentile_accuracy)
         return [both[i] for i in range(len(ps))]
     if mode == "sketch":
         sketch = F.kll_sketch_agg_double(column, SKETCH_K)
         return [F.kll_sketch_get_quantile_double(sketch, F.lit(float(p))) for p in ps]
-    return [percentile(column, p, spec, mode) for p in ps]
+    raise ValueError(f"percentile mode must be one of {PERCENTILE_MODES}")
 
 
 def _order(df: DataFrame, sort: bool, *cols) -> DataFrame:
@@ -87,19 +74,23 @@ def add_congestion_score(hourly: DataFrame, spec: ChainSpec = DEFAULT_SPEC) -> D
 def hourly_congestion(
     src: DataFrame,
     spec: ChainSpec = DEFAULT_SPEC,
-    percentile_mode: str = "approx",
+    percentile_mode: str = "exact",
     p95: DataFrame | None = None,
     m=ROWS,
     sort: bool = True,
 ) -> DataFrame:
     """A1: per hour - count, avg price, p95 price, avg cost, total used, score.
 
-    Over cells the p95 cannot be re-combined; pass it as ``p95`` (hour_of_day,
-    p95_gas_gwei), e.g. from :func:`hour_day_percentiles`.
+    The p95 is exact by default (two more aggregations, no group in one task);
+    ``approx`` and ``sketch`` take it from a sketch in the same aggregation.
+    Over cells it cannot be re-combined; pass it as ``p95`` (hour_of_day,
+    p95_gas_gwei).
     """
     aggs = [m.tx_count().alias("tx_count"), m.avg_price().alias("avg_gas_gwei")]
-    if p95 is None:
-        aggs.append(percentile("gas_fee_gwei", 0.95, spec, percentile_mode).alias("p95_gas_gwei"))
+    if p95 is None and percentile_mode == "exact":
+        p95 = exact_percentiles(src, ["hour_of_day"], "gas_fee_gwei", {"p95_gas_gwei": 0.95})
+    elif p95 is None:
+        aggs.append(percentiles("gas_fee_gwei", (0.95,), spec, percentile_mode)[0].alias("p95_gas_gwei"))
     aggs += [m.avg_cost().alias("avg_tx_cost_gwei"), m.sum_used().alias("total_gas_used")]
     out = src.groupBy("hour_of_day").agg(*aggs)
     if p95 is not None:
@@ -148,7 +139,7 @@ def heatmap(src: DataFrame, m=ROWS, sort: bool = True) -> DataFrame:
 def daily_index(
     src: DataFrame,
     spec: ChainSpec = DEFAULT_SPEC,
-    percentile_mode: str = "approx",
+    percentile_mode: str = "exact",
     quantiles: DataFrame | None = None,
     m=ROWS,
     sort: bool = True,
@@ -164,7 +155,9 @@ def daily_index(
         m.max_price().alias("max_gas_gwei"),
         m.min_price().alias("min_gas_gwei"),
     ]
-    if quantiles is None:
+    if quantiles is None and percentile_mode == "exact":
+        quantiles = exact_percentiles(src, ["date"], "gas_fee_gwei", {"median_gas_gwei": 0.5, "p95_gas_gwei": 0.95})
+    elif quantiles is None:
         median, p95 = percentiles("gas_fee_gwei", (0.5, 0.95), spec, percentile_mode)
         aggs += [median.alias("median_gas_gwei"), p95.alias("p95_gas_gwei")]
     aggs += [

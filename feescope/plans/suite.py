@@ -6,9 +6,9 @@ fact table fourteen times.  Here:
 1. one pass builds the (date, hour, price bucket) rollup of decomposable
    measures (a few thousand rows per month) and, in the same pass through
    GROUPING SETS, the (block, date) aggregate; both are checkpointed together;
-2. one pass computes the percentiles for hours and dates together
-   (GROUPING SETS: one scan, one bounded sketch per group) - or none, with
-   ``percentile_mode="sketch"``: KLL sketches kept per rollup cell are merged;
+2. the percentiles for hours and dates are exact (two narrowing passes each),
+   or come from one pass of bounded sketches (``approx``), or from none
+   (``sketch``: KLL sketches kept per rollup cell are merged);
 3. the large-transfer report reads only the event day (partition filter on a
    date-partitioned table).
 
@@ -29,6 +29,7 @@ from feescope.operators import features as FT
 from feescope.operators import reports as R
 from feescope.functions.columns import bucket_order, ratio
 from feescope.operators.measures import CELLS, cell_measures, cell_rollup
+from feescope.operators.percentile import exact_percentiles
 from feescope.session import materialize
 
 # fixed values: result table names (one folder each), grouped as published
@@ -45,6 +46,24 @@ TABLE_GROUPS = {
     ),
 }
 
+# the order in which each table is stored and shown ("-": descending)
+TABLE_ORDER = {
+    "hourly_congestion": ("hour_of_day",),
+    "daily_congestion": ("day_of_week",),
+    "heatmap_matrix": ("day_of_week", "hour_of_day"),
+    "top5_peak_hours": ("-congestion_score", "hour_of_day"),
+    "daily_index": ("date",),
+    "top_congested_days": ("-congestion_index", "date"),
+    "gas_distribution": ("gas_bucket",),
+    "weekly_summary": ("week",),
+    "top_congested_blocks": ("-avg_gas_gwei", "block_number", "date"),
+    "ath_day_hourly": ("hour_of_day",),
+    "avg_hourly_august": ("hour_of_day",),
+    "ath_high_value_txns": ("large_tx_count",),
+    "daily_volume_trend": ("date",),
+    "fee_paradox": ("date",),
+}
+
 
 class ReportSuite:
     """All result tables of one cleaned fact table, computed with shared scans."""
@@ -53,21 +72,24 @@ class ReportSuite:
         self,
         clean: DataFrame,
         spec: ChainSpec = DEFAULT_SPEC,
-        percentile_mode: str = "approx",
+        percentile_mode: str = "exact",
         checkpoint: bool = True,
         sketch_k: int = 1000,
         sort: bool = True,
+        with_blocks: bool = False,
     ):
-        """``percentile_mode``: ``approx`` (percentile_approx, the original's
-        choice; one extra pass), ``exact`` (percentile_disc; one extra pass) or
+        """``percentile_mode``: ``exact`` (narrowing passes), ``approx``
+        (percentile_approx, the original's choice; one extra pass) or
         ``sketch`` (KLL sketches kept in the rollup and merged: no extra pass,
-        rank error about 1.7 / ``sketch_k``)."""
+        rank error about 1.7 / ``sketch_k``).  ``with_blocks``: the block table
+        will be asked for too, so take it from the rollup's scan."""
         self.clean = clean
         self.spec = spec
         self.percentile_mode = percentile_mode
         self.sketch_k = sketch_k if percentile_mode == "sketch" else None
         self._keep = materialize if checkpoint else (lambda df: df)
         self._checkpoint = checkpoint
+        self.with_blocks = with_blocks
         # sorted output for sinks; consumers that re-order anyway pass False
         self.sort = sort
 
@@ -78,9 +100,10 @@ class ReportSuite:
         weekday, bucket) and (block, date), decomposable measures only.
 
         Expand doubles the rows in memory instead of reading the fact table
-        twice.  Not used with sketches (a sketch per block would be waste).
+        twice.  Only if the blocks are wanted, and not with sketches (a sketch
+        per block would be waste).
         """
-        if self.sketch_k:
+        if self.sketch_k or not self.with_blocks:
             return None
         keyed = self.clean.withColumn("bucket", bucket_order("gas_fee_gwei", self.spec))
         g = keyed.groupingSets(
@@ -109,14 +132,14 @@ class ReportSuite:
                 F.kll_sketch_get_quantile_double("_s", F.lit(0.95)).alias("p95_gas_gwei"),
             )
             return self._keep(q)
-        if self.percentile_mode == "approx":
-            pct = F.percentile_approx("gas_fee_gwei", [0.5, 0.95], self.spec.percentile_accuracy)
-            aggs = [pct[0].alias("median_gas_gwei"), pct[1].alias("p95_gas_gwei")]
-        else:
-            aggs = [
-                R.percentile("gas_fee_gwei", 0.5, self.spec, "exact").alias("median_gas_gwei"),
-                R.percentile("gas_fee_gwei", 0.95, self.spec, "exact").alias("p95_gas_gwei"),
-            ]
+        if self.percentile_mode == "exact":
+            ps = {"median_gas_gwei": 0.5, "p95_gas_gwei": 0.95}
+            hours = exact_percentiles(self.clean, ["hour_of_day"], "gas_fee_gwei", ps)
+            dates = exact_percentiles(self.clean, ["date"], "gas_fee_gwei", ps)
+            return self._keep(hours.withColumn("date", F.lit(None).cast("date")).unionByName(
+                dates.withColumn("hour_of_day", F.lit(None).cast("int"))))
+        pct = F.percentile_approx("gas_fee_gwei", [0.5, 0.95], self.spec.percentile_accuracy)
+        aggs = [pct[0].alias("median_gas_gwei"), pct[1].alias("p95_gas_gwei")]
         q = self.clean.groupingSets([["hour_of_day"], ["date"]], "hour_of_day", "date").agg(*aggs)
         return self._keep(q)
 
@@ -198,5 +221,5 @@ class ReportSuite:
     def feature_table(self, checked: bool = True) -> DataFrame:
         heat, hourly, weekday = self.heatmap_matrix(), self.hourly_congestion(), self.daily_congestion()
         if checked:
-            return FT.checked_feature_table(heat, hourly, weekday)
+            return FT.guarded_feature_table(heat, hourly, weekday)
         return FT.feature_join(heat, hourly, weekday)

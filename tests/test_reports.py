@@ -93,9 +93,13 @@ def test_kpi_ties_first(spark):
 
 
 def test_exact_percentile_mode(spark):
+    from feescope.operators.percentile import exact_percentiles
+
     df = spark.range(100).select(F.lit(1).alias("hour_of_day"), F.col("id").cast("double").alias("gas_fee_gwei"))
-    r = df.groupBy("hour_of_day").agg(R.percentile("gas_fee_gwei", 0.95, mode="exact").alias("p")).first()
-    assert r.p == 94.0
+    r = exact_percentiles(df, ["hour_of_day"], "gas_fee_gwei", {"p": 0.95}).first()
+    assert (r.hour_of_day, r.p) == (1, 94.0)
+    approx = df.groupBy("hour_of_day").agg(R.percentiles("gas_fee_gwei", (0.95,))[0].alias("p")).first()
+    assert approx.p == 94.0
 
 
 def test_sketch_percentile_mode(spark):

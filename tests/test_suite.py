@@ -20,7 +20,7 @@ def clean01(spark):
 
 @pytest.fixture(scope="module")
 def suite(clean01):
-    return ReportSuite(clean01, EVENTS_SPEC)
+    return ReportSuite(clean01, EVENTS_SPEC, with_blocks=True)
 
 
 def same(a, b):
@@ -75,6 +75,26 @@ def test_sketch_mode_quantiles_close(clean01):
     assert len(d) == 30 and all(r.median_gas_gwei <= r.p95_gas_gwei for r in d)
 
 
+def test_approximate_percentiles_by_rank(clean01):
+    """percentile_approx and the KLL sketch, each within its rank error of the exact value."""
+    import bisect
+
+    prices = {}
+    for r in clean01.select("hour_of_day", "gas_fee_gwei").collect():
+        prices.setdefault(r.hour_of_day, []).append(r.gas_fee_gwei)
+    for mode, error in (("approx", 1e-3), ("sketch", 1e-2)):
+        for r in R.hourly_congestion(clean01, EVENTS_SPEC, percentile_mode=mode).collect():
+            own = sorted(prices[r.hour_of_day])
+            lo, hi = bisect.bisect_left(own, r.p95_gas_gwei), bisect.bisect_right(own, r.p95_gas_gwei)
+            rank = 0.95 * len(own)
+            assert lo - 1 - error * len(own) <= rank <= hi + 1 + error * len(own), (mode, r.hour_of_day)
+
+
+def test_feature_rollup_leaves_blocks_out(clean01):
+    suite = ReportSuite(clean01, EVENTS_SPEC)
+    assert suite._rollup is None and "block_number" not in suite.cells.columns
+
+
 def test_event_vs_month_matches_separate_reports(clean01):
     ev = {r.hour_of_day: r for r in R.event_vs_month(clean01, EVENTS_SPEC).collect()}
     day = {r.hour_of_day: r for r in R.event_day_hourly(clean01, EVENTS_SPEC).collect()}
