@@ -2,29 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def head_rows(df: DataFrame, n: int = 3, order_cols=None, sep: str = " | ") -> DataFrame:
-    """The first ``n`` rows in table order as text (a distributed top-k)."""
-    order = [F.col(c) for c in (order_cols or df.columns)]
-    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
-    top = df.orderBy(*order).limit(n).select(line.alias("line"), F.row_number().over(Window.orderBy(*order)).alias("_p"))
+def order_columns(order, reverse: bool = False) -> list[Column]:
+    """Sort columns of an order spec: names, ``-name`` for descending."""
+    out = []
+    for name in order:
+        down = name.startswith("-") != reverse
+        c = F.col(name.removeprefix("-"))
+        out.append(c.desc() if down else c.asc())
+    return out
+
+
+def row_text(df: DataFrame, sep: str = " | ") -> Column:
+    """A row as shown to a reader: its values as text, nulls empty."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+
+
+def head_rows(df: DataFrame, n: int = 3, order=None, sep: str = " | ") -> DataFrame:
+    """The first ``n`` rows as stored, as text (a distributed top-k).
+
+    ``order`` is the table's stored order (names, ``-name`` for descending);
+    without one all columns, ascending.
+    """
+    by = order_columns(order or df.columns)
+    top = df.orderBy(*by).limit(n).select(row_text(df, sep).alias("line"), F.row_number().over(Window.orderBy(*by)).alias("_p"))
     return top.agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_p", "line"))), lambda x: x["line"]), "\n")
         .alias("sample")
     )
 
 
-def table_profile(tables: dict[str, DataFrame], sample_rows: int = 3) -> DataFrame:
-    """Per table - row count, column count and names, first rows.
+def table_profile(tables: dict[str, DataFrame], sample_rows: int = 3, orders: dict | None = None) -> DataFrame:
+    """Per table - row count, column count and names, first rows as stored.
 
-    One small aggregate per table, unioned into one job.
+    One small aggregate and one top-k per table, unioned into one job.
     """
     parts = []
     for name, df in tables.items():
-        sample = head_rows(df, sample_rows)
+        sample = head_rows(df, sample_rows, (orders or {}).get(name))
         parts.append(
             df.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(name).alias("table_name"),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feescope.operators.catalog import order_columns, row_text
+
 # fixed values: keyword rules (keyword -> tables) in their original order
 KEYWORD_RULES = (
     ("peak", ("hourly_congestion", "top5_peak_hours", "heatmap_matrix")),
@@ -98,7 +100,7 @@ def keyword_routing(
     that exist in the catalog.  Adds ``keywords``, ``tables`` (both sorted)
     and ``fallback``.
     """
-    lowered = F.lower(F.col(text_col))
+    lowered = F.lower(F.coalesce(F.col(text_col), F.lit("")))  # a null question matches nothing
     matched = matched_tables(lowered, rules, intents)
     cat = _str_array(catalog)
     tables = F.when(F.size(matched) == 0, cat).otherwise(
@@ -118,62 +120,43 @@ def routed_pairs(routed: DataFrame, keys, catalog_df: DataFrame | None = None) -
     ``table_name``) keep only tables present in it (left semi join)."""
     pairs = routed.select(*keys, F.explode("tables").alias("table_name"))
     if catalog_df is not None:
-        # one row per result table (a catalog of folders): bounded
-        pairs = pairs.join(F.broadcast(catalog_df.select("table_name").distinct()), "table_name", "left_semi")
+        pairs = pairs.join(catalog_df.select("table_name").distinct(), "table_name", "left_semi")
     return pairs
 
 
 # ---------------------------------------------------------------- X1 / T8
-def render_rows(df: DataFrame, order_cols, max_rows: int = 50, sep: str = " | ", bounded: bool = False) -> DataFrame:
+def render_rows(df: DataFrame, order=None, max_rows: int = 50, sep: str = " | ") -> DataFrame:
     """The text of a table as shown to a reader: header line and at most
-    ``max_rows`` rows (the first and last halves when longer), in table order.
+    ``max_rows`` rows (the first and last halves when longer), as stored.
 
-    Generic path: only bounded pieces are gathered - the first ``max_rows``
-    and the last ``max_rows // 2`` rows come from two distributed top-k scans
+    ``order`` is the table's stored order (names, ``-name`` for descending).
+    Only bounded pieces are gathered: the first ``max_rows`` and the last
+    ``max_rows // 2`` rows come from two distributed top-k scans
     (TakeOrderedAndProject) and the row count is a scalar subquery.
-    ``bounded=True`` is for tables whose size is bounded by their key domain
-    (the result tables: hours, weekdays, days of the period): one aggregate
-    gathers the rows and slices head and tail, so all renders of a catalog
-    run as a single job.
     """
-    asc = [F.col(c).asc() for c in order_cols]
-    desc = [F.col(c).desc() for c in order_cols]
-    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    asc, desc = order_columns(order or df.columns), order_columns(order or df.columns, reverse=True)
+    line = row_text(df, sep)
     head_n, tail_n = (max_rows + 1) // 2, max_rows // 2
-    header = F.lit(sep.join(df.columns) + "\n")
-    if bounded:
-        every = F.sort_array(F.collect_list(F.struct(F.struct(*order_cols).alias("k"), line.alias("line"))))
-        shown = F.when(F.col("n_rows") <= max_rows, F.col("_all")).otherwise(
-            F.concat(F.slice("_all", 1, head_n), F.slice("_all", -tail_n, tail_n))
-        )
-        return df.agg(F.count(F.lit(1)).alias("n_rows"), every.alias("_all")).select(
-            "n_rows", F.concat(header, F.array_join(F.transform(shown, lambda x: x["line"]), "\n")).alias("body")
-        )
     n = df.agg(F.count(F.lit(1))).scalar()
     first = df.orderBy(*asc).limit(max_rows).select(
-        line.alias("line"), F.row_number().over(Window.orderBy(*asc)).alias("_pos")
+        line.alias("line"), F.row_number().over(Window.orderBy(*asc)).cast("long").alias("_pos")
     )
     first = first.where((n <= F.lit(max_rows)) | (F.col("_pos") <= F.lit(head_n)))
     last = df.orderBy(*desc).limit(tail_n).select(
         line.alias("line"), (n - F.row_number().over(Window.orderBy(*desc)) + 1).alias("_pos")
     )
-    last = last.where(n > F.lit(max_rows))
-    rows = first.unionByName(last)
-    return rows.agg(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("_pos", "line"))), lambda x: x["line"]), "\n"
-        ).alias("body"),
-    ).select(n.alias("n_rows"), F.concat(header, F.col("body")).alias("body"))
-
+    rows = first.unionByName(last.where(n > F.lit(max_rows)))
+    body = F.array_join(
+        F.transform(F.sort_array(F.collect_list(F.struct("_pos", "line"))), lambda x: x["line"]), "\n")
+    return rows.agg(body.alias("body")).select(
+        n.alias("n_rows"), F.concat(F.lit(sep.join(df.columns) + "\n"), F.col("body")).alias("body"))
 
-def table_renders(tables: dict, max_rows: int = 50, bounded: bool = True) -> DataFrame:
-    """X1 helper: one row per table - name, row count, rendered text.
 
-    The result tables are bounded by their key domains, hence ``bounded``.
-    """
+def table_renders(tables: dict, max_rows: int = 50, orders: dict | None = None) -> DataFrame:
+    """X1 helper: one row per table - name, row count, rendered text."""
     parts = []
     for name, df in tables.items():
-        r = render_rows(df, df.columns, max_rows, bounded=bounded)
+        r = render_rows(df, (orders or {}).get(name), max_rows)
         parts.append(r.select(F.lit(name).alias("table_name"), "n_rows", "body"))
     out = parts[0]
     for p in parts[1:]:
@@ -183,21 +166,32 @@ def table_renders(tables: dict, max_rows: int = 50, bounded: bool = True) -> Dat
 
 def context_assembly(routed: DataFrame, keys, renders: DataFrame) -> DataFrame:
     """Per question, "Table 'name' (n rows):" and the rendered rows of every
-    routed table, in table-name order.  ``renders`` is one row per catalog
-    table (bounded), so it is broadcast; a question gathers at most one entry
-    per catalog table."""
-    pairs = routed_pairs(routed, keys).join(F.broadcast(renders), "table_name", "inner")
+    routed table that exists, in table-name order.
+
+    The text is put together once per distinct set of tables and joined to the
+    questions by the set, so no rendered text is shuffled per question.  A
+    question whose tables are all absent keeps its row, with an empty context.
+    """
+    sets = routed.select(F.array_join(F.sort_array("tables"), "\n").alias("_set")).distinct()
     block = F.concat(
         F.lit("\nTable '"), F.col("table_name"), F.lit("' ("), F.col("n_rows").cast("string"),
         F.lit(" rows):\n"), F.col("body"), F.lit("\n"),
     )
-    return pairs.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_tables"),
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("table_name", block.alias("b")))), lambda x: x["b"]),
-            "",
-        ).alias("context"),
+    texts = (
+        sets.select("_set", F.explode(F.split("_set", "\n")).alias("table_name"))
+        .join(renders, "table_name")
+        .groupBy("_set")
+        .agg(
+            F.count(F.lit(1)).alias("n_tables"),
+            F.array_join(
+                F.transform(F.sort_array(F.collect_list(F.struct("table_name", block.alias("b")))), lambda x: x["b"]),
+                "",
+            ).alias("context"),
+        )
     )
+    asked = routed.select(*keys, F.array_join(F.sort_array("tables"), "\n").alias("_set"))
+    return asked.join(texts, "_set", "left").select(
+        *keys, F.coalesce("n_tables", F.lit(0).cast("long")).alias("n_tables"), F.coalesce("context", F.lit("")).alias("context"))
 
 
 # ---------------------------------------------------------------- X2
@@ -205,21 +199,24 @@ def position_in_group(df: DataFrame, group: str, order: str, block: int = 4096)
     """1-based position of each row within its group, ordered by ``order``
     (unique within a group), without ranking a whole group in one task.
 
-    Rows are cut into blocks of ``block`` consecutive order values; a window
+    Rows whose group or order is null are kept: nulls form a group, and null
+    orders come last.  Rows are cut into blocks of ``block`` consecutive order values; a window
     over the per-block counts (rows / block entries) gives each block's
     offset, and a window inside each block (at most ``block`` rows) the rest.
     A conversation holding a third of all rows is spread over many tasks.
     """
-    blk = F.floor(F.col(order) / F.lit(block)).alias("_blk")
+    blk = F.floor(F.col(order) / F.lit(block))
     keyed = df.withColumn("_blk", blk)
     counts = keyed.groupBy(group, "_blk").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(group, "_blk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    within = Window.partitionBy(group, "_blk").orderBy(order)
+    before = Window.partitionBy(group).orderBy(F.col("_blk").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(group).alias("_g"), F.col("_blk").alias("_b"),
+                            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy(group, "_blk").orderBy(F.col(order).asc_nulls_last())
+    same = F.col(group).eqNullSafe(F.col("_g")) & F.col("_blk").eqNullSafe(F.col("_b"))
     return (
-        keyed.join(offsets, [group, "_blk"], "inner")
+        keyed.join(offsets, same, "inner")
         .withColumn("position", (F.col("_off") + F.row_number().over(within)).cast("long"))
-        .drop("_blk", "_off")
+        .drop("_blk", "_off", "_g", "_b")
     )
 
 

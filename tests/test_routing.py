@@ -49,3 +49,32 @@ def test_render_and_context(spark, qs):
     c = ctx[(1, 0)]
     assert c.n_tables == 2 and c.context.index("'heatmap_matrix'") < c.context.index("'hourly_congestion'")
     assert "Table 'heatmap_matrix' (1 rows):" in c.context
+
+
+def test_question_without_existing_tables_keeps_its_row(spark, qs):
+    small = spark.createDataFrame([(1, "a")], "x int, y string")
+    renders = RT.table_renders({"hourly_congestion": small})
+    routed = RT.keyword_routing(qs, catalog=("hourly_congestion",))
+    ctx = {(x.conv_id, x.turn): x for x in RT.context_assembly(routed, ["conv_id", "turn"], renders).collect()}
+    assert len(ctx) == 5
+    assert (ctx[(1, 1)].n_tables, ctx[(1, 1)].context) == (0, "")
+    assert ctx[(1, 0)].n_tables == 1
+
+
+def test_null_question_falls_back(spark):
+    q = spark.createDataFrame([(1, 0, None)], "conv_id long, turn long, text string")
+    r = RT.keyword_routing(q).first()
+    assert r.fallback and r.tables == sorted(RT.ALL_TABLES) and r.keywords == []
+
+
+def test_null_conversation_and_turn_survive(spark):
+    rows = [(1, 0, "user", "a"), (1, None, "user", "b"), (None, 5, "user", "c"), (None, None, "user", "d"), (1, 9, "user", "e")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.text: r.position for r in RT.chat_history(df, block=2).collect()}
+    assert got == {"a": 1, "e": 2, "b": 3, "c": 1, "d": 2}
+
+
+def test_render_follows_the_stored_order(spark):
+    t = spark.createDataFrame([(14, 9.0), (9, 8.0), (4, 7.0), (19, 6.0)], "hour int, score double")
+    body = RT.render_rows(t, ("-score", "hour")).first().body
+    assert [x.split(" | ")[0] for x in body.split("\n")[1:]] == ["14", "9", "4", "19"]
