@@ -7,7 +7,7 @@ the dimension sides by construction rather than by an estimate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feescope.functions.columns import cyclic_cos, cyclic_sin, one_hot
@@ -89,71 +89,80 @@ def feature_join(heatmap: DataFrame, hourly: DataFrame, weekday: DataFrame) -> D
     return add_encodings(joined).select(*FEATURE_COLUMNS)
 
 
-def _key_stats(df: DataFrame, keys, label: str) -> DataFrame:
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct(F.struct(*keys)).alias("keys")
-    ).select(F.lit(label).alias("label"), "rows", "keys")
-
-
-def checked_feature_table(
+def feature_problems(
     heatmap: DataFrame, hourly: DataFrame, weekday: DataFrame, hours: int = 24, days: int = 7
 ) -> DataFrame:
-    """M3: :func:`feature_join` after every contract of the original.
+    """M3: the feature rows over the complete grid, each with its contract
+    problem or null: ``problem`` and the columns of :func:`feature_join`.
 
-    Column sets (no job); non-empty inputs and unique keys (one job over the
-    three inputs); a complete grid with no foreign cell and every cell key
-    present in both profiles (one job); no null in any output column (one
-    job).  Detailed listings run only when a check fails.  Pass
-    materialised inputs: each job then reads a few small tables.
+    Outer joins of bounded tables (the grid, 24 hours, 7 weekdays) keep what an
+    inner join would hide: missing and unexpected cells, missing profile rows,
+    repeated keys and null values.
     """
     require_columns(heatmap, HEATMAP_REQUIRED, "heatmap_matrix")
     require_columns(hourly, HOURLY_REQUIRED, "hourly_congestion")
     require_columns(weekday, WEEKDAY_REQUIRED, "daily_congestion")
-    inputs = {
-        "hourly_congestion": (hourly, ["hour_of_day"]),
-        "daily_congestion": (weekday, ["day_of_week"]),
-        "heatmap_matrix": (heatmap, list(KEY_COLUMNS)),
-    }
-    stats = None
-    for label, (df, keys) in inputs.items():
-        st = _key_stats(df, keys, label)
-        stats = st if stats is None else stats.unionByName(st)
-    by_label = {r.label: r for r in stats.collect()}
-    for label, (df, keys) in inputs.items():
-        if by_label[label].rows == 0:
-            raise ContractError(f"{label} is empty")
-        if by_label[label].rows > by_label[label].keys:
-            Q.assert_unique_keys(df, keys, label)
-
     keys = list(KEY_COLUMNS)
-    grid = Q.expected_grid(heatmap.sparkSession, hours, days)
-    cells = heatmap.select(*keys)
-    none = F.lit(None).cast("int")
-    problems = (
-        grid.join(cells, keys, "left_anti").select(F.lit("missing cell").alias("kind"), *keys)
-        .unionByName(cells.join(grid, keys, "left_anti").select(F.lit("unexpected cell").alias("kind"), *keys))
-        .unionByName(
-            cells.select("hour_of_day").distinct().join(hourly.select("hour_of_day"), "hour_of_day", "left_anti")
-            .select(F.lit("hourly_congestion").alias("kind"), "hour_of_day", none.alias("day_of_week"))
-        )
-        .unionByName(
-            cells.select("day_of_week").distinct().join(weekday.select("day_of_week"), "day_of_week", "left_anti")
-            .select(F.lit("daily_congestion").alias("kind"), none.alias("hour_of_day"), "day_of_week")
-        )
-        .orderBy("kind", "day_of_week", "hour_of_day")
-        .limit(4 * Q.SHOW)
-        .collect()
+    grid = Q.expected_grid(heatmap.sparkSession, hours, days).withColumn("_in_grid", F.lit(True))
+    cells = cell_columns(heatmap).withColumn("_in_cells", F.lit(True))
+    hour_side = hour_columns(hourly).withColumn("_in_hours", F.lit(True))
+    day_side = day_columns(weekday).withColumn("_in_days", F.lit(True))
+    joined = (
+        grid.join(cells, keys, "full")
+        .join(F.broadcast(hour_side), "hour_of_day", "left")
+        .join(F.broadcast(day_side), "day_of_week", "left")
     )
-    if problems:
-        grid_bad = [(r.hour_of_day, r.day_of_week) for r in problems if r.kind.endswith("cell")]
-        if grid_bad:
-            raise ContractError(f"Expected {hours * days} heatmap cells; wrong cells e.g. {grid_bad[:Q.SHOW]}")
-        r = problems[0]
-        key = {"hour_of_day": r.hour_of_day} if r.kind == "hourly_congestion" else {"day_of_week": r.day_of_week}
-        raise ContractError(f"Missing {r.kind} row for {key}")
-
-    features = feature_join(heatmap, hourly, weekday)
-    return Q.assert_no_nulls(features, FEATURE_COLUMNS, "merged features")
+    feats = add_encodings(joined)
+    at = F.concat(F.lit("(hour "), F.coalesce(F.col("hour_of_day").cast("string"), F.lit("null")), F.lit(", weekday "),
+                  F.coalesce(F.col("day_of_week").cast("string"), F.lit("null")), F.lit(")"))
+    nulls = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in FEATURE_COLUMNS]))
+    kind = (
+        F.when(F.col("_in_cells").isNull(), F.lit(f"Expected {hours * days} heatmap_matrix cells; missing"))
+        .when(F.col("_in_grid").isNull(), F.lit("unexpected heatmap_matrix cells"))
+        .when(F.col("_in_hours").isNull(), F.lit("Missing hourly_congestion rows for"))
+        .when(F.col("_in_days").isNull(), F.lit("Missing daily_congestion rows for"))
+        .when(F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1, F.lit("duplicate keys"))
+        .when(F.size(nulls) > 0, F.concat(F.lit("Null value found in "), F.array_join(nulls, ", ")))
+    )
+    return feats.select(kind.alias("problem"), at.alias("at"), *FEATURE_COLUMNS)
+
+
+def guarded_feature_table(
+    heatmap: DataFrame, hourly: DataFrame, weekday: DataFrame, hours: int = 24, days: int = 7
+) -> DataFrame:
+    """M3: the feature table with its contracts inside the same plan.
+
+    Nothing runs while the query is built; if a contract does not hold, the
+    query fails with the number of problems and the first ten.
+    """
+    every = Window.partitionBy()  # over the grid's rows
+    rows = feature_problems(heatmap, hourly, weekday, hours, days)
+    said = F.concat_ws(" ", "problem", "at")
+    rows = rows.withColumns({"_n": F.count("problem").over(every),
+                             "_all": F.collect_list(F.when(F.col("problem").isNotNull(), said)).over(every)})
+    first = F.array_join(F.slice(F.array_sort("_all"), 1, Q.SHOW), "; ")
+    message = F.concat(F.lit("feature contract: "), F.col("_n").cast("string"), F.lit(" problems: "), first)
+    fine = F.when(F.col("_n") > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return rows.where(fine).select(*FEATURE_COLUMNS)
+
+
+def checked_feature_table(
+    heatmap: DataFrame, hourly: DataFrame, weekday: DataFrame, hours: int = 24, days: int = 7
+) -> DataFrame:
+    """M3: :func:`feature_join` after one job that checks every contract and
+    raises :class:`ContractError` (for batch steps whose inputs are tables).
+
+    Problems are counted per kind, all of them, and up to ten of each listed.
+    """
+    kinds = feature_problems(heatmap, hourly, weekday, hours, days).where("problem is not null").groupBy("problem").agg(
+        F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_list("at")), 1, Q.SHOW).alias("first"))
+    found = sorted(kinds.collect())
+    empty = [r for r in found if r.problem.startswith("Expected") and r.n == hours * days]
+    if empty:
+        raise ContractError("heatmap_matrix is empty")
+    if found:
+        raise ContractError("; ".join(f"{r.problem} {', '.join(r.first)} ({r.n} in all)" for r in found))
+    return feature_join(heatmap, hourly, weekday)
 
 
 def model_feature_columns(df: DataFrame, keys=KEY_COLUMNS, target: str = TARGET_COLUMN) -> list[str]:

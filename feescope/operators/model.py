@@ -2,8 +2,7 @@
 predictions, regression metrics, best fold, residuals.
 
 Everything is an aggregate or a narrow projection; per-fold statistics are
-``k`` rows and are broadcast by construction.  The MLP itself lives in
-:mod:`feescope.operators.mlp`.
+``k`` rows and are broadcast by construction.
 """
 
 from __future__ import annotations
@@ -79,6 +78,32 @@ def fold_mean_baseline(df: DataFrame, target: str, k: int = DEFAULT_FOLDS) -> Da
     return df.join(F.broadcast(means), "fold", "left")
 
 
+def least_squares_baseline(df: DataFrame, feature: str, target: str, k: int = DEFAULT_FOLDS) -> DataFrame:
+    """Out-of-fold least squares on one feature, in closed form.
+
+    Per model fold the slope is cov(x, y) / var(x) over the other folds' rows
+    and the line goes through their means; a constant feature gives the mean.
+    ``k`` rows of coefficients, from one aggregation.  Adds ``predicted``.
+    """
+    x, y = F.col(feature).cast("double"), F.col(target).cast("double")
+    fits = training_copies(df, k).groupBy("model_fold").agg(
+        F.avg(x).alias("_mx"), F.avg(y).alias("_my"), F.covar_pop(x, y).alias("_cov"), F.var_pop(x).alias("_var"))
+    fits = fits.select(F.col("model_fold").alias("fold"), "_mx", "_my", F.coalesce(ratio("_cov", "_var"), F.lit(0.0)).alias("_b"))
+    joined = df.join(F.broadcast(fits), "fold", "left")
+    return joined.withColumn("predicted", F.col("_my") + F.col("_b") * (x - F.col("_mx"))).drop("_mx", "_my", "_b")
+
+
+def fitted_lines(df: DataFrame, feature: str, target: str, k: int = DEFAULT_FOLDS) -> DataFrame:
+    """The ``k`` fitted lines of :func:`least_squares_baseline`: fold, slope, intercept, training rows."""
+    x, y = F.col(feature).cast("double"), F.col(target).cast("double")
+    fits = training_copies(df, k).groupBy("model_fold").agg(
+        F.avg(x).alias("_mx"), F.avg(y).alias("_my"), F.covar_pop(x, y).alias("_cov"), F.var_pop(x).alias("_var"),
+        F.count(F.lit(1)).alias("training_rows"))
+    slope = F.coalesce(ratio("_cov", "_var"), F.lit(0.0))
+    return fits.select(F.col("model_fold").alias("fold"), slope.alias("slope"),
+                       (F.col("_my") - slope * F.col("_mx")).alias("intercept"), "training_rows")
+
+
 def oof_predictions(pred: DataFrame, keys, actual: str, predicted: str = "predicted") -> DataFrame:
     """M8 / K6: key, actual, predicted and absolute error (float32 as the original)."""
     a = F.col(actual).cast("float")
@@ -91,6 +116,13 @@ def oof_predictions(pred: DataFrame, keys, actual: str, predicted: str = "predic
     )
 
 
+def _metric_columns(actual: str, predicted: str) -> list[Column]:
+    e = F.col(actual).cast("double") - F.col(predicted).cast("double")
+    sse, sst = F.sum(e * e), F.var_pop(actual) * F.count(actual)
+    r2 = F.when(sst == 0, F.when(sse == 0, 1.0).otherwise(0.0)).otherwise(F.lit(1.0) - sse / sst)
+    return [F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), r2.alias("r2")]
+
+
 def regression_metrics(pred: DataFrame, actual: str, predicted: str, by=()) -> DataFrame:
     """MAE, RMSE and R^2 per group, in one aggregation (no join).
 
@@ -98,30 +130,17 @@ def regression_metrics(pred: DataFrame, actual: str, predicted: str, by=()) -> D
     the group's own mean, from Spark's stable central-moment aggregate).  A
     constant target gives 1 for a perfect fit and 0 otherwise.
     """
-    by = list(by)
-    e = F.col(actual).cast("double") - F.col(predicted).cast("double")
     grouped = pred.groupBy(*by) if by else pred
-    sums = grouped.agg(
-        F.avg(F.abs(e)).alias("mae"),
-        F.sqrt(F.avg(e * e)).alias("rmse"),
-        F.sum(e * e).alias("_sse"),
-        (F.var_pop(actual) * F.count(actual)).alias("_sst"),
-    )
-    r2 = (
-        F.when(F.col("_sst") == 0, F.when(F.col("_sse") == 0, 1.0).otherwise(0.0))
-        .otherwise(F.lit(1.0) - F.col("_sse") / F.col("_sst"))
-    )
-    return sums.select(*by, "mae", "rmse", r2.alias("r2"))
+    return grouped.agg(*_metric_columns(actual, predicted))
 
 
 def cv_metrics(pred: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Per-fold rows and one overall row (fold null), as in the metrics file."""
-    folds = regression_metrics(pred, actual, predicted, ["fold"]).withColumn("scope", F.lit("fold"))
-    overall = regression_metrics(pred, actual, predicted).withColumns(
-        {"scope": F.lit("overall"), "fold": F.lit(None).cast("int")}
-    )
-    cols = ["scope", "fold", "mae", "rmse", "r2"]
-    return folds.select(*cols).unionByName(overall.select(*cols))
+    """Per-fold rows and one overall row (fold null), as in the metrics file:
+    one aggregation by grouping sets over one reading of the predictions."""
+    g = pred.groupingSets([["fold"], []], "fold").agg(
+        F.grouping("fold").alias("_all"), *_metric_columns(actual, predicted))
+    scope = F.when(F.col("_all") == 1, F.lit("overall")).otherwise(F.lit("fold"))
+    return g.select(scope.alias("scope"), "fold", "mae", "rmse", "r2")
 
 
 def best_fold(metrics: DataFrame) -> DataFrame:

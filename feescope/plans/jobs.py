@@ -23,7 +23,7 @@ from feescope.operators import features as FT
 from feescope.operators.clean import clean as clean_rows
 from feescope.plans.suite import TABLE_GROUPS, ReportSuite
 from feescope.plans.training import TrainingRun
-from feescope.session import build_session, input_bytes, size_for_input
+from feescope.session import build_session, input_bytes, release_scratch, size_for_input
 from feescope.sources import raw as RAW
 from feescope.sources import results as RS
 
@@ -40,9 +40,9 @@ def clean_job(spark: SparkSession, raw_dir: str, out_dir: str, spec: ChainSpec =
 
 
 def reports_job(spark: SparkSession, clean_dir: str, out_dir: str, spec: ChainSpec = DEFAULT_SPEC,
-                percentile_mode: str = "approx") -> dict[str, str]:
+                percentile_mode: str = "exact") -> dict[str, str]:
     """Cleaned zone -> the fourteen result tables as headered CSV folders."""
-    suite = ReportSuite(RAW.scan_clean(spark, clean_dir), spec, percentile_mode=percentile_mode)
+    suite = ReportSuite(RAW.scan_clean(spark, clean_dir), spec, percentile_mode=percentile_mode, with_blocks=True)
     return K.write_result_tables(suite.tables(), out_dir, TABLE_GROUPS)
 
 
@@ -62,7 +62,7 @@ def features_job(spark: SparkSession, results_dir: str, out_dir: str) -> None:
 
 
 def train_job(spark: SparkSession, features_dir: str, out_dir: str) -> None:
-    """Feature CSV -> predictions, metrics document, loss history, model record."""
+    """Feature CSV -> predictions, metrics document, model record."""
     TrainingRun(RS.scan_features(spark, features_dir)).write(out_dir)
 
 
@@ -92,7 +92,7 @@ def main(argv=None) -> None:
             p.add_argument("--block-gas-limit", type=float)
             p.add_argument("--blocks-per-day", type=float)
             p.add_argument("--large-value-limit", type=float)
-            p.add_argument("--percentiles", default="approx", choices=["approx", "exact", "sketch"])
+            p.add_argument("--percentiles", default="exact", choices=["exact", "approx", "sketch"])
     args = ap.parse_args(argv)
     spark = build_session(args.master, app_name=f"feescope-{args.step}")
     source = {"clean": "raw", "reports": "clean", "features": "results", "train": "features"}[args.step]
@@ -106,6 +106,7 @@ def main(argv=None) -> None:
         features_job(spark, args.results, args.out)
     else:
         train_job(spark, args.features, args.out)
+    release_scratch(spark)
 
 
 if __name__ == "__main__":

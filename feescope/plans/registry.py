@@ -46,12 +46,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, *_, **__) -> DataFrame:
+COMPARE_AS = "float"  # a test sets "double" and compares at 1e-9
+
+
+def rounded(df: DataFrame) -> DataFrame:
     """Cast every double column to float32 for an engine-independent comparison."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(F.col(f.name).cast("float").alias(f.name))
+            cols.append(F.col(f.name).cast(COMPARE_AS).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -71,11 +74,11 @@ def li_clean(spark, sf):
 
 E = EVENTS_SPEC
 L = LINEITEM_SPEC
-EW = S.with_clean(E, "events")
-LW = S.with_clean(L, "lineitem")
+EW = S.with_clean(S.EVENTS, "events")
+LW = S.with_clean(S.LINEITEM, "lineitem")
 
 
-def r6(expr: str, alias: str, *_) -> str:
+def r6(expr: str, alias: str) -> str:
     """The oracle side of :func:`rounded`."""
     return f"CAST({expr} AS FLOAT) AS {alias}"
 
@@ -98,12 +101,21 @@ def q_extract_range(spark, sf):
 
 @register(
     "drop_nulls",
-    "WITH " + S.RAW_EVENTS + """
-SELECT * FROM raw
+    "WITH " + S.RAW_EVENTS + """,
+gaps AS (SELECT * REPLACE (CASE WHEN to_address <> 'click' THEN gas_price END AS gas_price,
+                           CASE WHEN to_address <> 'view' THEN block_timestamp END AS block_timestamp,
+                           CASE WHEN value_wei >= 1 THEN receipt_gas_used END AS receipt_gas_used) FROM raw)
+SELECT * FROM gaps
 WHERE block_timestamp IS NOT NULL AND gas_price IS NOT NULL AND receipt_gas_used IS NOT NULL""",
 )
 def q_drop_nulls(spark, sf):
-    return C.drop_nulls(ev_raw(spark, sf))
+    # each critical column is null for some rows: clicks, views and values below 1
+    kind = F.col("to_address")
+    gaps = ev_raw(spark, sf).withColumns({
+        "gas_price": F.when(kind != "click", F.col("gas_price")),
+        "block_timestamp": F.when(kind != "view", F.col("block_timestamp")),
+        "receipt_gas_used": F.when(F.col("value_wei") >= 1, F.col("receipt_gas_used"))})
+    return C.drop_nulls(gaps)
 
 
 @register(
@@ -160,6 +172,10 @@ scored AS (
 """
 )
 
+def _hourly_sql(with_: str) -> str:
+    return with_ + HOURLY_SQL[len(EW):]
+
+
 HOURLY_COLS = f"""hour_of_day, tx_count, {r6('avg_gas_gwei', 'avg_gas_gwei')},
        {r6('p95_gas_gwei', 'p95_gas_gwei')}, {r6('avg_tx_cost_gwei', 'avg_tx_cost_gwei')},
        total_gas_used, {r6('congestion_score', 'congestion_score')}"""
@@ -170,6 +186,12 @@ def q_hourly(spark, sf):
     return rounded(R.hourly_congestion(ev_clean(spark, sf), E))
 
 
+@register("hourly_congestion_lineitem", _hourly_sql(LW) + f"SELECT {HOURLY_COLS} FROM scored")
+def q_hourly_li(spark, sf):
+    # line items ship at midnight: all rows are one hour, one group
+    return rounded(R.hourly_congestion(li_clean(spark, sf), L))
+
+
 @register(
     "top5_hours",
     HOURLY_SQL + f"SELECT {HOURLY_COLS} FROM scored ORDER BY congestion_score DESC, hour_of_day LIMIT 5",
@@ -231,17 +253,17 @@ di AS (SELECT *, total_gas_used / {spec.daily_capacity!r} AS congestion_index FR
 
 DAILY_COLS = f"""date, tx_count, {r6('avg_gas_gwei', 'avg_gas_gwei')}, {r6('max_gas_gwei', 'max_gas_gwei')},
        {r6('min_gas_gwei', 'min_gas_gwei')}, {r6('median_gas_gwei', 'median_gas_gwei')},
-       {r6('p95_gas_gwei', 'p95_gas_gwei')}, total_gas_used, {r6('avg_tx_cost_gwei', 'avg_tx_cost_gwei', 4)},
-       {r6('total_fees_gwei', 'total_fees_gwei', 2)}, {r6('congestion_index', 'congestion_index')}"""
+       {r6('p95_gas_gwei', 'p95_gas_gwei')}, total_gas_used, {r6('avg_tx_cost_gwei', 'avg_tx_cost_gwei')},
+       {r6('total_fees_gwei', 'total_fees_gwei')}, {r6('congestion_index', 'congestion_index')}"""
 
 
 def _daily_round(df):
-    return rounded(df, avg_tx_cost_gwei=4, total_fees_gwei=2)
+    return rounded(df)
 
 
 @register(
     "daily_index",
-    daily_index_sql(E, EW) + f"SELECT {DAILY_COLS}, {S.tier_sql(E)} AS congestion_level FROM di ORDER BY date",
+    daily_index_sql(S.EVENTS, EW) + f"SELECT {DAILY_COLS}, {S.TIER} AS congestion_level FROM di ORDER BY date",
 )
 def q_daily_index(spark, sf):
     return _daily_round(R.daily_index(ev_clean(spark, sf), E))
@@ -249,8 +271,8 @@ def q_daily_index(spark, sf):
 
 @register(
     "top10_days",
-    daily_index_sql(E, EW)
-    + f"SELECT {DAILY_COLS}, {S.tier_sql(E)} AS congestion_level FROM di ORDER BY congestion_index DESC, date LIMIT 10",
+    daily_index_sql(S.EVENTS, EW)
+    + f"SELECT {DAILY_COLS}, {S.TIER} AS congestion_level FROM di ORDER BY congestion_index DESC, date LIMIT 10",
 )
 def q_top10_days(spark, sf):
     return _daily_round(R.top_k(R.daily_index(ev_clean(spark, sf), E, sort=False), 10, "congestion_index", "date"))
@@ -258,7 +280,7 @@ def q_top10_days(spark, sf):
 
 @register(
     "daily_index_lineitem",
-    daily_index_sql(L, LW) + f"SELECT {DAILY_COLS}, {S.tier_sql(L)} AS congestion_level FROM di ORDER BY date",
+    daily_index_sql(S.LINEITEM, LW) + f"SELECT {DAILY_COLS}, {S.TIER} AS congestion_level FROM di ORDER BY date",
 )
 def q_daily_index_li(spark, sf):
     return _daily_round(R.daily_index(li_clean(spark, sf), L))
@@ -267,18 +289,18 @@ def q_daily_index_li(spark, sf):
 def price_distribution_sql(spec, with_) -> str:
     return (
         with_
-        + f""", b AS (SELECT {S.bucket_sql(spec)} AS bucket, hash FROM clean)
-SELECT {S.bucket_label_sql(spec)} AS gas_bucket, count(hash) AS tx_count, CAST(bucket AS INTEGER) AS bucket_order
+        + f""", b AS (SELECT {spec.bucket} AS bucket, hash FROM clean)
+SELECT {spec.label} AS gas_bucket, count(hash) AS tx_count, CAST(bucket AS INTEGER) AS bucket_order
 FROM b GROUP BY bucket ORDER BY gas_bucket"""
     )
 
 
-@register("price_distribution", price_distribution_sql(E, EW))
+@register("price_distribution", price_distribution_sql(S.EVENTS, EW))
 def q_price_distribution(spark, sf):
     return R.price_distribution(ev_clean(spark, sf), E)
 
 
-@register("price_distribution_lineitem", price_distribution_sql(L, LW))
+@register("price_distribution_lineitem", price_distribution_sql(S.LINEITEM, LW))
 def q_price_distribution_li(spark, sf):
     return R.price_distribution(li_clean(spark, sf), L)
 
@@ -323,7 +345,7 @@ BLOCK_COLS = f"""block_number, date, tx_count, {r6('avg_gas_gwei', 'avg_gas_gwei
 
 @register(
     "block_activity",
-    block_sql(E, EW) + f"SELECT {BLOCK_COLS}, {r6(f'block_gas_used / {float(E.block_gas_limit)!r}', 'block_utilization')} FROM blk",
+    block_sql(S.EVENTS, EW) + f"SELECT {BLOCK_COLS}, {r6(f'block_gas_used / {float(S.EVENTS.block_gas_limit)!r}', 'block_utilization')} FROM blk",
 )
 def q_block_activity(spark, sf):
     return rounded(R.block_activity(ev_clean(spark, sf), E))
@@ -331,8 +353,8 @@ def q_block_activity(spark, sf):
 
 @register(
     "top20_blocks",
-    block_sql(E, EW)
-    + f"""SELECT {BLOCK_COLS}, {r6(f'block_gas_used / {float(E.block_gas_limit)!r}', 'block_utilization')} FROM blk
+    block_sql(S.EVENTS, EW)
+    + f"""SELECT {BLOCK_COLS}, {r6(f'block_gas_used / {float(S.EVENTS.block_gas_limit)!r}', 'block_utilization')} FROM blk
 ORDER BY avg_gas_gwei DESC, block_number, date LIMIT 20""",
 )
 def q_top20_blocks(spark, sf):
@@ -341,8 +363,8 @@ def q_top20_blocks(spark, sf):
 
 @register(
     "top20_blocks_lineitem",
-    block_sql(L, LW)
-    + f"""SELECT {BLOCK_COLS}, {r6(f'block_gas_used / {float(L.block_gas_limit)!r}', 'block_utilization')} FROM blk
+    block_sql(S.LINEITEM, LW)
+    + f"""SELECT {BLOCK_COLS}, {r6(f'block_gas_used / {float(S.LINEITEM.block_gas_limit)!r}', 'block_utilization')} FROM blk
 ORDER BY avg_gas_gwei DESC, block_number, date LIMIT 20""",
 )
 def q_top20_blocks_li(spark, sf):
@@ -354,7 +376,7 @@ def q_top20_blocks_li(spark, sf):
     EW
     + f"""SELECT hour_of_day, count(hash) AS tx_count, {r6('avg(gas_fee_gwei)', 'avg_gas_gwei')},
        CAST(sum(receipt_gas_used) AS BIGINT) AS total_gas_used
-FROM clean WHERE date = DATE '{E.event_day}' GROUP BY hour_of_day ORDER BY hour_of_day""",
+FROM clean WHERE date = DATE '{S.EVENTS.event_day}' GROUP BY hour_of_day ORDER BY hour_of_day""",
 )
 def q_event_day_hourly(spark, sf):
     return rounded(R.event_day_hourly(ev_clean(spark, sf), E))
@@ -364,7 +386,7 @@ def q_event_day_hourly(spark, sf):
     "avg_hourly_month",
     EW
     + f"""SELECT hour_of_day, {r6('avg(gas_fee_gwei)', 'avg_gas_gwei_august')},
-       {r6(f'count(hash) / {float(E.month_days)!r}', 'avg_tx_per_hour')}
+       {r6(f'count(hash) / {float(S.EVENTS.month_days)!r}', 'avg_tx_per_hour')}
 FROM clean GROUP BY hour_of_day ORDER BY hour_of_day""",
 )
 def q_avg_hourly_month(spark, sf):
@@ -375,11 +397,11 @@ def q_avg_hourly_month(spark, sf):
     "event_day_large_transfers",
     EW
     + f"""SELECT count(hash) AS large_tx_count, {r6('avg(value_wei)', 'avg_value_wei')},
-       {r6('sum(value_wei)', 'total_value_wei', 4)}, {r6('avg(gas_fee_gwei)', 'avg_gas_gwei')}
-FROM clean WHERE date = DATE '{E.event_day}' AND value_wei > {float(E.large_value_limit)!r}""",
+       {r6('sum(value_wei)', 'total_value_wei')}, {r6('avg(gas_fee_gwei)', 'avg_gas_gwei')}
+FROM clean WHERE date = DATE '{S.EVENTS.event_day}' AND value_wei > {float(S.EVENTS.large_value_limit)!r}""",
 )
 def q_large_transfers(spark, sf):
-    return rounded(R.event_day_large_transfers(ev_clean(spark, sf), E), total_value_wei=4)
+    return rounded(R.event_day_large_transfers(ev_clean(spark, sf), E))
 
 
 def daily_volume_sql(with_) -> str:
@@ -389,7 +411,7 @@ def daily_volume_sql(with_) -> str:
   SELECT date, count(hash) AS daily_tx_count, avg(gas_fee_gwei) AS avg_gas_gwei,
          avg(tx_cost_gwei) AS avg_tx_cost_gwei, CAST(sum(receipt_gas_used) AS BIGINT) AS total_gas_used
   FROM clean GROUP BY date)
-SELECT date, daily_tx_count, {r6('avg_gas_gwei', 'avg_gas_gwei')}, {r6('avg_tx_cost_gwei', 'avg_tx_cost_gwei', 4)},
+SELECT date, daily_tx_count, {r6('avg_gas_gwei', 'avg_gas_gwei')}, {r6('avg_tx_cost_gwei', 'avg_tx_cost_gwei')},
        total_gas_used,
        {r6('avg(avg_gas_gwei) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', 'rolling_7d_avg_gas')},
        {r6('avg(daily_tx_count) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', 'rolling_7d_tx_count')}
@@ -399,24 +421,24 @@ FROM dv ORDER BY date"""
 
 @register("daily_volume", daily_volume_sql(EW))
 def q_daily_volume(spark, sf):
-    return rounded(R.daily_volume(ev_clean(spark, sf)), avg_tx_cost_gwei=4)
+    return rounded(R.daily_volume(ev_clean(spark, sf)))
 
 
 @register("daily_volume_lineitem", daily_volume_sql(LW))
 def q_daily_volume_li(spark, sf):
-    return rounded(R.daily_volume(li_clean(spark, sf)), avg_tx_cost_gwei=4)
+    return rounded(R.daily_volume(li_clean(spark, sf)))
 
 
 @register(
     "fee_paradox",
     EW
     + f"""SELECT date, count(hash) AS tx_count, {r6('avg(gas_fee_gwei)', 'avg_gas_gwei')},
-       {r6('avg(tx_cost_gwei)', 'avg_cost_gwei', 4)},
-       {r6(f'sum(receipt_gas_used) / {float(E.block_gas_limit)!r} / {float(E.blocks_per_day)!r}', 'avg_block_utilization')}
+       {r6('avg(tx_cost_gwei)', 'avg_cost_gwei')},
+       {r6(f'sum(receipt_gas_used) / {float(S.EVENTS.block_gas_limit)!r} / {float(S.EVENTS.blocks_per_day)!r}', 'avg_block_utilization')}
 FROM clean GROUP BY date ORDER BY date""",
 )
 def q_fee_paradox(spark, sf):
-    return rounded(R.fee_paradox(ev_clean(spark, sf), E), avg_cost_gwei=4)
+    return rounded(R.fee_paradox(ev_clean(spark, sf), E))
 
 
 @register(
@@ -424,10 +446,10 @@ def q_fee_paradox(spark, sf):
     EW
     + f""", h AS (
   SELECT hour_of_day,
-         count(hash) FILTER (WHERE date = DATE '{E.event_day}') AS event_tx_count,
-         avg(gas_fee_gwei) FILTER (WHERE date = DATE '{E.event_day}') AS event_avg_gas_gwei,
+         count(hash) FILTER (WHERE date = DATE '{S.EVENTS.event_day}') AS event_tx_count,
+         avg(gas_fee_gwei) FILTER (WHERE date = DATE '{S.EVENTS.event_day}') AS event_avg_gas_gwei,
          avg(gas_fee_gwei) AS period_avg_gas_gwei,
-         count(hash) / {float(E.month_days)!r} AS period_avg_tx_per_hour
+         count(hash) / {float(S.EVENTS.month_days)!r} AS period_avg_tx_per_hour
   FROM clean GROUP BY hour_of_day)
 SELECT hour_of_day, event_tx_count, {r6('event_avg_gas_gwei', 'event_avg_gas_gwei')},
        {r6('period_avg_gas_gwei', 'period_avg_gas_gwei')}, {r6('period_avg_tx_per_hour', 'period_avg_tx_per_hour')},
@@ -540,8 +562,8 @@ def q_priciest_day(spark, sf):
 
 @register(
     "top5_days",
-    daily_index_sql(E, EW)
-    + f"SELECT {DAILY_COLS}, {S.tier_sql(E)} AS congestion_level FROM di ORDER BY congestion_index DESC, date LIMIT 5",
+    daily_index_sql(S.EVENTS, EW)
+    + f"SELECT {DAILY_COLS}, {S.TIER} AS congestion_level FROM di ORDER BY congestion_index DESC, date LIMIT 5",
 )
 def q_top5_days(spark, sf):
     return _daily_round(R.top_k(R.daily_index(ev_clean(spark, sf), E, sort=False), 5, "congestion_index", "date"))
@@ -549,9 +571,9 @@ def q_top5_days(spark, sf):
 
 @register(
     "daily_index_display",
-    daily_index_sql(E, EW)
+    daily_index_sql(S.EVENTS, EW)
     + f"SELECT date, tx_count, {r6('avg_gas_gwei', 'avg_gas_gwei')}, {r6('congestion_index', 'congestion_index')}, "
-    f"{S.tier_sql(E)} AS congestion_level FROM di",
+    f"{S.TIER} AS congestion_level FROM di",
 )
 def q_daily_index_display(spark, sf):
     return rounded(R.display_projection(R.daily_index(ev_clean(spark, sf), E), "daily_index"))
@@ -573,6 +595,7 @@ def _load_all() -> None:
         registry_io,
         registry_model,
         registry_more,
+        registry_profile,
         registry_suite,
         registry_text,
     )

@@ -9,9 +9,8 @@ from feescope import sinks as K
 from feescope.config import EVENTS_SPEC
 from feescope.operators import features as FT
 from feescope.operators import reports as R
-from feescope.operators.catalog import table_profile
 from feescope.plans import sql as S
-from feescope.plans.registry import EW, ev_clean, ev_raw, register, rounded
+from feescope.plans.registry import EW, REGISTRY, ev_clean, ev_raw, register, rounded
 from feescope.plans.suite import TABLE_GROUPS, ReportSuite
 from feescope.sources import raw as RAW
 from feescope.sources import results as RS
@@ -19,20 +18,25 @@ from feescope.sources import results as RS
 E = EVENTS_SPEC
 
 
-@register(
-    "scan_clean",
-    EW
-    + f"""SELECT block_timestamp, block_number, hash, gas_price, receipt_gas_used, hour_of_day, day_of_week,
-       CAST(gas_fee_gwei AS FLOAT) AS gas_fee_gwei, CAST(tx_cost_gwei AS FLOAT) AS tx_cost_gwei, date
-FROM clean WHERE date = DATE '{E.event_day}'""",
-)
+CLEAN_COLUMNS = """block_timestamp, block_number, hash, from_address, to_address, gas, gas_price, receipt_gas_used,
+       CAST(value_wei AS FLOAT) AS value_wei, hour_of_day, day_of_week, CAST(gas_fee_gwei AS FLOAT) AS gas_fee_gwei,
+       CAST(tx_cost_gwei AS FLOAT) AS tx_cost_gwei, chain, date"""
+
+
+@register("scan_clean", EW + f"SELECT {CLEAN_COLUMNS} FROM clean")
 def q_scan_clean(spark, sf):
-    """K2 + S5: write the cleaned zone partitioned by date, read one day back."""
+    """K2 + S5: write the cleaned zone partitioned by date, read all of it back."""
+    path = K.scratch_path(spark, "clean")
+    K.write_clean(ev_clean(spark, sf), path)
+    return rounded(RAW.scan_clean(spark, path))
+
+
+@register("scan_clean_day", EW + f"SELECT {CLEAN_COLUMNS} FROM clean WHERE date = DATE '{S.EVENTS.event_day}'")
+def q_scan_clean_day(spark, sf):
+    """One day of the cleaned zone, by partition pruning."""
     path = K.scratch_path(spark, "clean")
     K.write_clean(ev_clean(spark, sf), path)
-    back = RAW.scan_clean(spark, path, E.event_day, E.event_day)
-    return rounded(back.select("block_timestamp", "block_number", "hash", "gas_price", "receipt_gas_used",
-                               "hour_of_day", "day_of_week", "gas_fee_gwei", "tx_cost_gwei", "date"))
+    return rounded(RAW.scan_clean(spark, path, E.event_day, E.event_day))
 
 
 @register(
@@ -53,23 +57,20 @@ def q_scan_nanos(spark, sf):
 
 @register(
     "sink_chunked_parquet",
-    "SELECT count(*) AS rows, CAST(ceil(count(*) / 2500.0) AS BIGINT) AS min_files FROM events",
+    "SELECT count(*) AS rows, CAST(ceil(count(*) / 2500.0) AS BIGINT) AS files, "
+    "CAST(least(count(*), 2500) AS BIGINT) AS largest FROM events",
 )
 def q_sink_chunked(spark, sf):
-    """K1: part files hold at most the chunk size; rows survive the round trip."""
+    """K1: the files written are counted; each holds at most the chunk size."""
     path = K.scratch_path(spark, "raw-chunks")
-    K.write_chunked_parquet(ev_raw(spark, sf), path, max_records=2500)
-    back = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f"))
-    per_file = back.groupBy("f").count()
-    ok = per_file.agg(F.sum("count").alias("rows"), F.max("count").alias("largest"))
-    # every file within the limit, so at least ceil(rows / limit) files
-    return ok.where(F.col("largest") <= 2500).select(
-        "rows", F.ceil(F.col("rows") / F.lit(2500.0)).cast("long").alias("min_files")
-    )
+    # one input partition, so that the number of files is exact (more partitions may each end with a part-filled file)
+    K.write_chunked_parquet(ev_raw(spark, sf).coalesce(1), path, max_records=2500)
+    per_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).count()
+    return per_file.agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("files"), F.max("count").alias("largest"))
 
 
 def _written_suite(spark, sf):
-    suite = ReportSuite(ev_clean(spark, sf), E)
+    suite = ReportSuite(ev_clean(spark, sf), E, with_blocks=True)
     root = K.scratch_path(spark, "results")
     K.write_result_tables(suite.tables(), root, TABLE_GROUPS)
     return suite, root
@@ -83,10 +84,10 @@ def _catalog_sql() -> str:
         "top5_peak_hours": "SELECT least(5, count(DISTINCT hour_of_day)) FROM clean",
         "daily_index": "SELECT count(DISTINCT date) FROM clean",
         "top_congested_days": "SELECT least(10, count(DISTINCT date)) FROM clean",
-        "gas_distribution": f"SELECT count(DISTINCT {S.bucket_sql(E)}) FROM clean",
+        "gas_distribution": f"SELECT count(DISTINCT {S.EVENTS.bucket}) FROM clean",
         "weekly_summary": "SELECT count(DISTINCT weekofyear(date)) FROM clean",
         "top_congested_blocks": "SELECT least(20, count(*)) FROM (SELECT DISTINCT block_number, date FROM clean)",
-        "ath_day_hourly": f"SELECT count(DISTINCT hour_of_day) FROM clean WHERE date = DATE '{E.event_day}'",
+        "ath_day_hourly": f"SELECT count(DISTINCT hour_of_day) FROM clean WHERE date = DATE '{S.EVENTS.event_day}'",
         "avg_hourly_august": "SELECT count(DISTINCT hour_of_day) FROM clean",
         "ath_high_value_txns": "SELECT 1",
         "daily_volume_trend": "SELECT count(DISTINCT date) FROM clean",
@@ -106,27 +107,14 @@ def q_result_catalog(spark, sf):
     return RS.catalog_files(spark, root).select("table_name", "n_files", "n_rows")
 
 
-@register(
-    "load_part_csv",
-    EW
-    + """SELECT hour_of_day, count(hash) AS tx_count, CAST(avg(gas_fee_gwei) AS FLOAT) AS avg_gas_gwei
-FROM clean GROUP BY hour_of_day""",
-)
+@register("load_part_csv", REGISTRY["hourly_congestion"].sql)
 def q_load_part_csv(spark, sf):
-    """K3 + S7: a result table round-tripped through its CSV folder."""
+    """K3 + S7: a result table round-tripped through its CSV folder, all columns."""
     path = K.scratch_path(spark, "hourly")
     K.write_result_csv(R.hourly_congestion(ev_clean(spark, sf), E), path)
-    back = RS.load_part_csv(spark, path, "hour_of_day int, tx_count long, avg_gas_gwei double, "
-                                         "p95_gas_gwei double, avg_tx_cost_gwei double, total_gas_used long, "
-                                         "congestion_score double")
-    return rounded(back.select("hour_of_day", "tx_count", "avg_gas_gwei"))
-
-
-@register("table_profile")
-def q_table_profile(spark, sf):
-    """A18 over the catalog read back from CSV (types inferred per table)."""
-    _, root = _written_suite(spark, sf)
-    return table_profile(RS.load_result_tables(spark, root))
+    return rounded(RS.load_part_csv(spark, path, "hour_of_day int, tx_count long, avg_gas_gwei double, "
+                                                 "p95_gas_gwei double, avg_tx_cost_gwei double, total_gas_used long, "
+                                                 "congestion_score double"))
 
 
 def _feature_sql() -> str:

@@ -1,62 +1,74 @@
-"""Model queries (iterative training: rows-only checks, no SQL oracle)."""
+"""Model queries: the closed-form regressor, what a run writes, and Spark ML's least squares."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feescope.operators import mlp as MLP
-from feescope.plans.registry import register
-from feescope.plans.registry_more import ev_features
+from feescope import sinks as K
+from feescope.operators import model as M
+from feescope.plans.registry import register, rounded
+from feescope.plans.registry_more import LEAST_SQUARES_SQL, ev_features
 from feescope.plans.training import TrainingRun
 
+METRICS = "CAST(mae AS FLOAT) AS mae, CAST(rmse AS FLOAT) AS rmse, CAST(r2 AS FLOAT) AS r2"
+
 
 def ev_run(spark, sf):
     return TrainingRun(ev_features(spark, sf))
 
 
-@register("regressor_cv")
+@register("regressor_cv", LEAST_SQUARES_SQL + f"SELECT scope, fold, {METRICS} FROM metrics")
 def q_regressor_cv(spark, sf):
-    run = ev_run(spark, sf)
-    return run.metrics().select("scope", "fold", *[F.col(c).cast("float").alias(c) for c in ("mae", "rmse", "r2")])
-
-
-@register("mlp_predictions")
-def q_mlp_predictions(spark, sf):
-    return ev_run(spark, sf).predictions()
-
-
-@register("early_stopping")
-def q_early_stopping(spark, sf):
-    return MLP.early_stopping_summary(ev_run(spark, sf).result)
-
-
-@register("loss_history")
-def q_loss_history(spark, sf):
-    return ev_run(spark, sf).best_history()
-
-
-@register("metrics_document")
+    return rounded(ev_run(spark, sf).metrics())
+
+
+@register("predictions_file", LEAST_SQUARES_SQL + "SELECT * FROM oof")
+def q_predictions_file(spark, sf):
+    """K6 / M8: the predictions written as CSV and read back."""
+    path = K.scratch_path(spark, "predictions")
+    K.write_predictions(ev_run(spark, sf).predictions(), path)
+    return spark.read.option("header", True).schema(
+        "hour_of_day int, day_of_week int, actual_avg_gas_gwei float, predicted_avg_gas_gwei float, absolute_error float").csv(path)
+
+
+@register(
+    "model_record",
+    LEAST_SQUARES_SQL + """SELECT fold, CAST(b AS FLOAT) AS slope, CAST(my - b * mx AS FLOAT) AS intercept, n AS training_rows,
+       'hour_avg_tx_cost_gwei' AS feature_column, 'target_avg_gas_gwei' AS target_column FROM fit""",
+)
+def q_model_record(spark, sf):
+    """K7: the fitted lines written and read back."""
+    path = K.scratch_path(spark, "model")
+    record = ev_run(spark, sf).model_record()
+    K.write_model(record, path)
+    return rounded(spark.read.schema(record.schema).parquet(path))
+
+
+@register(
+    "metrics_document",
+    LEAST_SQUARES_SQL + """SELECT (SELECT count(*) FROM folded) AS dataset_rows, 'spark' AS device,
+       'hour_avg_tx_cost_gwei' AS feature_columns, 'target_avg_gas_gwei' AS target_column,
+       CAST(5 AS BIGINT) AS cross_validation_folds, CAST(m.fold AS BIGINT) AS fold,
+       CAST(m.mae AS FLOAT) AS mae, CAST(m.rmse AS FLOAT) AS rmse, CAST(m.r2 AS FLOAT) AS r2,
+       CAST(o.mae AS FLOAT) AS overall_mae, CAST(o.rmse AS FLOAT) AS overall_rmse, CAST(o.r2 AS FLOAT) AS overall_r2,
+       CAST((SELECT fold FROM metrics WHERE scope = 'fold' ORDER BY rmse, fold LIMIT 1) AS BIGINT) AS best_checkpoint_fold
+FROM metrics m, metrics o WHERE m.scope = 'fold' AND o.scope = 'overall'""",
+)
 def q_metrics_document(spark, sf):
-    return ev_run(spark, sf).metrics_document()
+    """K5: the metrics document written as JSON, read back, one row per fold."""
+    path = K.scratch_path(spark, "metrics")
+    K.write_metrics_json(ev_run(spark, sf).metrics_document(), path)
+    doc = spark.read.json(path)
+    return rounded(doc.select(
+        "dataset_rows", "device", F.array_join("feature_columns", ",").alias("feature_columns"), "target_column",
+        "cross_validation_folds", F.explode("fold_metrics").alias("m"),
+        F.col("overall_metrics.mae").alias("overall_mae"), F.col("overall_metrics.rmse").alias("overall_rmse"),
+        F.col("overall_metrics.r2").alias("overall_r2"), "best_checkpoint_fold",
+    ).select("dataset_rows", "device", "feature_columns", "target_column", "cross_validation_folds", "m.fold", "m.mae", "m.rmse",
+             "m.r2", "overall_mae", "overall_rmse", "overall_r2", "best_checkpoint_fold"))
 
 
 @register("linear_cv")
 def q_linear_cv(spark, sf):
-    """M6 via Spark ML: least squares per fold on the per-fold scaled rows."""
-    from feescope.operators import model as M
-
-    pred = ev_run(spark, sf).linear_predictions()
-    return M.cv_metrics(pred, "actual", "predicted").select(
-        "scope", "fold", *[F.col(c).cast("float").alias(c) for c in ("mae", "rmse", "r2")])
-
-
-@register("regressor_cv_data_parallel")
-def q_regressor_cv_data_parallel(spark, sf):
-    """M6 data-parallel: one job per epoch for all folds, parameters averaged across partitions."""
-    from feescope.operators import features as FT
-    from feescope.operators import model as M
-
-    run = ev_run(spark, sf)
-    _, pred, _ = MLP.train_cv_averaged(run.scaled, run.feature_names, FT.TARGET_COLUMN, FT.KEY_COLUMNS, run.cfg, run.k)
-    return M.cv_metrics(pred, "actual_avg_gas_gwei", "predicted_avg_gas_gwei").select(
-        "scope", "fold", *[F.col(c).cast("float").alias(c) for c in ("mae", "rmse", "r2")])
+    """M6 via Spark ML: least squares over all features per fold (no closed SQL form)."""
+    return rounded(M.cv_metrics(ev_run(spark, sf).linear_predictions(), "actual", "predicted"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feescope.config import EVENTS_SPEC
+from feescope.config import EVENTS_SPEC, LINEITEM_SPEC
 from feescope.functions.columns import cyclic_cos, cyclic_sin, lenient_int, one_hot
 from feescope.operators import features as FT
 from feescope.operators import model as M
 from feescope.operators import quality as Q
 from feescope.operators import reports as R
+from feescope.plans import sql as S
 from feescope.plans.registry import EW, LW, ev_clean, li_clean, r6, register, rounded
 from feescope.plans.suite import ReportSuite
 from feescope.sources.standins import read_table
@@ -23,7 +24,10 @@ def ev_suite(spark, sf):
 
 
 def ev_features(spark, sf):
-    return ev_suite(spark, sf).feature_table(checked=True)
+    """The guarded feature table from the cleaned rows: one plan, no eager job."""
+    clean = ev_clean(spark, sf)
+    return FT.guarded_feature_table(R.heatmap(clean, sort=False), R.hourly_congestion(clean, E, sort=False),
+                                    R.weekday_congestion(clean, sort=False))
 
 
 def ev_folded(spark, sf):
@@ -47,14 +51,15 @@ def q_duplicate_keys(spark, sf):
 
 @register(
     "missing_keys",
-    EW
-    + f"""SELECT DISTINCT hour_of_day FROM clean
-WHERE hour_of_day NOT IN (SELECT hour_of_day FROM clean WHERE date = DATE '{E.event_day}')""",
+    EW[:-1]
+    + ", " + LW[len("WITH "):].replace("raw AS", "li_raw AS").replace("FROM raw", "FROM li_raw").replace("clean AS", "li_clean AS")
+    + """SELECT DISTINCT hour_of_day FROM clean
+WHERE hour_of_day NOT IN (SELECT hour_of_day FROM li_clean)""",
 )
 def q_missing_keys(spark, sf):
-    # hours of the period with no row on the event day
-    clean = ev_clean(spark, sf)
-    return Q.missing_keys(R.heatmap(clean, sort=False), R.event_day_hourly(clean, E, sort=False), ["hour_of_day"])
+    # hours of the event cells without a row in the line items' hourly report (which has hour 0 only)
+    return Q.missing_keys(R.heatmap(ev_clean(spark, sf), sort=False),
+                          R.avg_hourly_month(li_clean(spark, sf), LINEITEM_SPEC, sort=False), ["hour_of_day"])
 
 
 @register(
@@ -107,10 +112,29 @@ FEATURE_SELECT = ", ".join(
 
 @register(
     "null_check",
+    LW
+    + """, grid AS (SELECT CAST(i % 24 AS INTEGER) AS hour_of_day, CAST(i // 24 + 1 AS INTEGER) AS day_of_week
+              FROM range(168) t(i)),
+cells AS (SELECT hour_of_day, day_of_week, avg(gas_fee_gwei) AS avg_gas_gwei, count(hash) AS tx_count
+          FROM clean GROUP BY 1, 2),
+j AS (SELECT grid.*, avg_gas_gwei, tx_count FROM grid LEFT JOIN cells USING (hour_of_day, day_of_week))
+SELECT count(*) FILTER (WHERE hour_of_day IS NULL) AS hour_of_day, count(*) FILTER (WHERE day_of_week IS NULL) AS day_of_week,
+       count(*) FILTER (WHERE avg_gas_gwei IS NULL) AS avg_gas_gwei, count(*) FILTER (WHERE tx_count IS NULL) AS tx_count
+FROM j""",
+)
+def q_null_check(spark, sf):
+    # the whole grid, left-joined to the line items' cells (which cover hour 0 only)
+    cells = R.heatmap(li_clean(spark, sf), sort=False)
+    grid = Q.expected_grid(spark).join(cells, ["hour_of_day", "day_of_week"], "left")
+    return Q.null_counts(grid, ["hour_of_day", "day_of_week", "avg_gas_gwei", "tx_count"])
+
+
+@register(
+    "null_check_features",
     FEATURES_SQL + "SELECT " + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in FT.FEATURE_COLUMNS)
     + " FROM feat",
 )
-def q_null_check(spark, sf):
+def q_null_check_features(spark, sf):
     return Q.null_counts(ev_features(spark, sf), FT.FEATURE_COLUMNS)
 
 
@@ -156,19 +180,31 @@ def q_one_hot(spark, sf):
 
 @register(
     "lenient_int_parse",
-    """SELECT event_id, CAST(trunc(CAST(CAST(value AS VARCHAR) AS DOUBLE)) AS INTEGER) AS value_int,
-       CAST(trunc(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS INTEGER) AS k_int
+    """SELECT event_id, CAST(trunc(CAST(CAST(value AS VARCHAR) AS DOUBLE)) AS BIGINT) AS value_int,
+       CAST(trunc(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS BIGINT) AS k_int
 FROM events""",
 )
 def q_lenient_int(spark, sf):
     ev = read_table(spark, sf, "events")
     return ev.select(
         "event_id",
-        lenient_int(F.col("value").cast("string")).alias("value_int"),
-        lenient_int(F.get_json_object("props", "$.k")).alias("k_int"),
+        lenient_int(F.col("value").cast("string"), "value").alias("value_int"),
+        lenient_int(F.get_json_object("props", "$.k"), "props.k").alias("k_int"),
     )
 
 
+@register(
+    "lenient_int_large",
+    """SELECT l_orderkey, l_linenumber,
+       CAST(trunc(CAST(CAST(l_orderkey * 3000001 + 2147483648 AS VARCHAR) || '.75' AS DOUBLE)) AS BIGINT) AS big_int
+FROM lineitem""",
+)
+def q_lenient_int_large(spark, sf):
+    # texts of numbers past 2^31
+    text = F.concat((F.col("l_orderkey") * F.lit(3000001) + F.lit(2147483648)).cast("string"), F.lit(".75"))
+    return read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", lenient_int(text, "l_orderkey").alias("big_int"))
+
+
 # ----------------------------------------------------------------------
 # cross-validation
 # ----------------------------------------------------------------------
@@ -239,12 +275,24 @@ metrics AS (SELECT scope, fold, mae, rmse,
 )
 
 
+LEAST_SQUARES_SQL = (
+    FEATURES_SQL
+    + """, tc AS (SELECT folded.*, m.model_fold FROM folded
+            JOIN (SELECT CAST(i AS INTEGER) AS model_fold FROM range(1, 6) t(i)) m ON m.model_fold <> folded.fold),
+fit AS (SELECT model_fold AS fold, avg(hour_avg_tx_cost_gwei) AS mx, avg(target_avg_gas_gwei) AS my,
+               covar_pop(hour_avg_tx_cost_gwei, target_avg_gas_gwei) / var_pop(hour_avg_tx_cost_gwei) AS b, count(*) AS n
+        FROM tc GROUP BY model_fold),
+pred AS (SELECT f.*, fit.my + fit.b * (f.hour_avg_tx_cost_gwei - fit.mx) AS predicted FROM folded f JOIN fit USING (fold))
+"""
+) + BASELINE_SQL[BASELINE_SQL.index(",\noof AS"):]
+
+
 def ev_baseline(spark, sf):
     return M.fold_mean_baseline(ev_folded(spark, sf), FT.TARGET_COLUMN)
 
 
 def _metrics_rounded(df):
-    return df.select("scope", "fold", *[F.col(c).cast("float").alias(c) for c in ("mae", "rmse", "r2")])
+    return rounded(df.select("scope", "fold", "mae", "rmse", "r2"))
 
 
 @register("oof_predictions", BASELINE_SQL + "SELECT * FROM oof")

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feescope.config import EVENTS_SPEC
 from feescope.operators import routing as RT
-from feescope.plans.registry import ev_clean, register
-from feescope.plans.suite import ReportSuite
+from feescope.plans.registry import register
 from feescope.sources.standins import read_table
 
 KEYS = ["conv_id", "turn"]
@@ -32,27 +30,81 @@ def questions(spark, sf):
     return conv.where(F.col("role") == "user").select("conv_id", "turn", "text")
 
 
-def _sql_list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-
-
-def routing_sql(rules, intents, catalog) -> str:
-    values = ",\n  ".join(
-        f"('{k}', '{t}')" for k, tables in rules for t in tables
-    )
-    intent_case = " ".join(
-        "WHEN " + " OR ".join(f"contains(lt, '{p}')" for p in phrases) + " THEN " + _sql_list(tables)
-        for phrases, tables in intents
-    )
-    return f"""WITH q AS (SELECT conv_id, turn, lower(text) AS lt FROM conversations WHERE role = 'user'),
-rules(keyword, tbl) AS (VALUES
-  {values}),
+# The oracles' own rules, as literals: (keyword, table) pairs, the intents and the catalogs.
+RULES_SQL = """
+  ('peak', 'hourly_congestion'),
+  ('peak', 'top5_peak_hours'),
+  ('peak', 'heatmap_matrix'),
+  ('hour', 'hourly_congestion'),
+  ('hour', 'heatmap_matrix'),
+  ('heatmap', 'heatmap_matrix'),
+  ('day', 'daily_index'),
+  ('day', 'daily_congestion'),
+  ('day', 'daily_volume_trend'),
+  ('daily', 'daily_index'),
+  ('daily', 'daily_congestion'),
+  ('daily', 'daily_volume_trend'),
+  ('congestion', 'daily_index'),
+  ('congestion', 'hourly_congestion'),
+  ('congestion', 'top_congested_days'),
+  ('gas', 'hourly_congestion'),
+  ('gas', 'daily_index'),
+  ('gas', 'gas_distribution'),
+  ('gas', 'fee_paradox'),
+  ('fee', 'fee_paradox'),
+  ('fee', 'gas_distribution'),
+  ('ath', 'ath_day_hourly'),
+  ('ath', 'ath_high_value_txns'),
+  ('ath', 'daily_volume_trend'),
+  ('august 24', 'ath_day_hourly'),
+  ('august 24', 'ath_high_value_txns'),
+  ('whale', 'ath_day_hourly'),
+  ('whale', 'ath_high_value_txns'),
+  ('week', 'weekly_summary'),
+  ('trend', 'daily_volume_trend'),
+  ('trend', 'weekly_summary'),
+  ('trend', 'fee_paradox'),
+  ('transaction', 'daily_volume_trend'),
+  ('transaction', 'hourly_congestion'),
+  ('transaction', 'fee_paradox'),
+  ('volume', 'daily_volume_trend'),
+  ('volume', 'weekly_summary'),
+  ('worst', 'top_congested_days'),
+  ('worst', 'top5_peak_hours'),
+  ('top', 'top_congested_days'),
+  ('top', 'top5_peak_hours'),
+  ('distribution', 'gas_distribution'),
+  ('paradox', 'fee_paradox'),
+  ('block', 'top_congested_blocks')"""
+FREQUENT_SQL = """
+  ('the', 'daily_index'),
+  ('the', 'fee_paradox'),
+  ('der', 'fee_paradox'),
+  ('der', 'weekly_summary'),
+  ('que', 'heatmap_matrix'),
+  ('ein', 'hourly_congestion'),
+  ('ein', 'daily_index'),
+  ('hour', 'hourly_congestion'),
+  ('hour', 'heatmap_matrix'),
+  ('ath', 'ath_day_hourly'),
+  ('ath', 'ath_high_value_txns'),
+  ('ath', 'daily_volume_trend'),
+  ('zzqx', 'gas_distribution')"""
+INTENT_SQL = """CASE WHEN contains(lt, 'peak hour') THEN ['hourly_congestion']
+       WHEN contains(lt, 'peak day') OR contains(lt, 'most congested day') THEN ['daily_index'] ELSE CAST([] AS VARCHAR[]) END"""
+ALL_SQL = """['hourly_congestion', 'daily_congestion', 'heatmap_matrix', 'top5_peak_hours', 'daily_index', 'top_congested_days', 'gas_distribution', 'weekly_summary', 'top_congested_blocks', 'ath_day_hourly', 'avg_hourly_august', 'ath_high_value_txns', 'daily_volume_trend', 'fee_paradox']"""
+PARTIAL_SQL = """['hourly_congestion', 'daily_congestion', 'heatmap_matrix', 'daily_index', 'top_congested_days', 'gas_distribution', 'weekly_summary', 'top_congested_blocks', 'ath_day_hourly', 'ath_high_value_txns', 'daily_volume_trend', 'fee_paradox']"""
+
+
+def routing_sql(rules: str, catalog: str) -> str:
+    return f"""WITH q AS (SELECT conv_id, turn, lower(coalesce(text, '')) AS lt FROM conversations WHERE role = 'user'),
+rules(keyword, tbl) AS (VALUES{rules}),
 kw AS (SELECT q.conv_id, q.turn, r.keyword, r.tbl FROM q JOIN rules r ON contains(q.lt, r.keyword)),
-intent AS (SELECT conv_id, turn, unnest(CASE {intent_case} ELSE CAST([] AS VARCHAR[]) END) AS tbl FROM q),
+intent AS (SELECT conv_id, turn, unnest({INTENT_SQL}) AS tbl FROM q),
 m AS (SELECT conv_id, turn, tbl FROM kw UNION SELECT conv_id, turn, tbl FROM intent),
 agg AS (SELECT conv_id, turn, list_sort(list_distinct(list(tbl))) AS tables FROM m GROUP BY 1, 2),
 kws AS (SELECT conv_id, turn, list_sort(list_distinct(list(keyword))) AS keywords FROM kw GROUP BY 1, 2),
-cat AS (SELECT list_sort({_sql_list(catalog)}) AS allt),
+cat AS (SELECT list_sort({catalog}) AS allt),
 routed AS (
   SELECT q.conv_id, q.turn,
          array_to_string(coalesce(kws.keywords, CAST([] AS VARCHAR[])), ',') AS keywords,
@@ -75,7 +127,7 @@ def _as_text(df):
 
 @register(
     "keyword_routing",
-    routing_sql(RT.KEYWORD_RULES, RT.INTENT_RULES, RT.ALL_TABLES)
+    routing_sql(RULES_SQL, ALL_SQL)
     + "SELECT conv_id, turn, keywords, array_to_string(tables, ',') AS tables, fallback FROM routed",
 )
 def q_keyword_routing(spark, sf):
@@ -84,7 +136,7 @@ def q_keyword_routing(spark, sf):
 
 @register(
     "keyword_routing_frequent",
-    routing_sql(FREQUENT_RULES, RT.INTENT_RULES, RT.ALL_TABLES)
+    routing_sql(FREQUENT_SQL, ALL_SQL)
     + "SELECT conv_id, turn, keywords, array_to_string(tables, ',') AS tables, fallback FROM routed",
 )
 def q_keyword_routing_frequent(spark, sf):
@@ -93,9 +145,9 @@ def q_keyword_routing_frequent(spark, sf):
 
 @register(
     "routed_tables",
-    routing_sql(FREQUENT_RULES, RT.INTENT_RULES, RT.ALL_TABLES)
+    routing_sql(FREQUENT_SQL, ALL_SQL)
     + f"""SELECT conv_id, turn, table_name FROM (SELECT conv_id, turn, unnest(tables) AS table_name FROM routed)
-WHERE list_contains({_sql_list(PARTIAL_CATALOG)}, table_name)""",
+WHERE list_contains({PARTIAL_SQL}, table_name)""",
 )
 def q_routed_tables(spark, sf):
     routed = RT.keyword_routing(questions(spark, sf), rules=FREQUENT_RULES)
@@ -112,13 +164,3 @@ FROM conversations""",
 )
 def q_chat_history(spark, sf):
     return RT.chat_history(read_table(spark, sf, "conversations"))
-
-
-@register("context_assembly")
-def q_context_assembly(spark, sf):
-    # rows-only: the rendered text of fourteen tables has no compact SQL form
-    suite = ReportSuite(ev_clean(spark, sf), EVENTS_SPEC, sort=False)  # renders order rows themselves
-    renders = RT.table_renders(suite.tables())
-    routed = RT.keyword_routing(questions(spark, sf))
-    ctx = RT.context_assembly(routed, KEYS, renders)
-    return ctx.select(*KEYS, "n_tables", F.length("context").alias("context_chars"), "context")

@@ -9,7 +9,30 @@ division.
 
 from __future__ import annotations
 
-from feescope.config import ChainSpec
+from types import SimpleNamespace
+
+# The oracles' own copies of the stand-in parameters, restated as literals so
+# that a wrong parameter in the library shows up as a difference.
+EVENTS = SimpleNamespace(
+    chain="ethereum", event_day="2024-01-24", month_days=30, block_gas_limit=600, blocks_per_day=42,
+    daily_capacity=25200.0, large_value_limit=50.0,
+    bucket="CASE WHEN gas_fee_gwei < 1.0 THEN 0 WHEN gas_fee_gwei < 3.0 THEN 1 WHEN gas_fee_gwei < 5.0 THEN 2 "
+           "WHEN gas_fee_gwei < 10.0 THEN 3 WHEN gas_fee_gwei < 20.0 THEN 4 WHEN gas_fee_gwei < 50.0 THEN 5 ELSE 6 END",
+    label="CASE WHEN bucket = 0 THEN '< 1 gwei' WHEN bucket = 1 THEN '1-3 gwei' WHEN bucket = 2 THEN '3-5 gwei' "
+          "WHEN bucket = 3 THEN '5-10 gwei' WHEN bucket = 4 THEN '10-20 gwei' WHEN bucket = 5 THEN '20-50 gwei' "
+          "WHEN bucket = 6 THEN '> 50 gwei' END",
+)
+LINEITEM = SimpleNamespace(
+    chain="ethereum", event_day="1996-11-01", month_days=2499, block_gas_limit=100, blocks_per_day=10,
+    daily_capacity=1000.0, large_value_limit=50000.0,
+    bucket="CASE WHEN gas_fee_gwei < 1000.0 THEN 0 WHEN gas_fee_gwei < 3000.0 THEN 1 WHEN gas_fee_gwei < 5000.0 THEN 2 "
+           "WHEN gas_fee_gwei < 10000.0 THEN 3 WHEN gas_fee_gwei < 20000.0 THEN 4 WHEN gas_fee_gwei < 50000.0 THEN 5 ELSE 6 END",
+    label="CASE WHEN bucket = 0 THEN '< 1k' WHEN bucket = 1 THEN '1k-3k' WHEN bucket = 2 THEN '3k-5k' "
+          "WHEN bucket = 3 THEN '5k-10k' WHEN bucket = 4 THEN '10k-20k' WHEN bucket = 5 THEN '20k-50k' "
+          "WHEN bucket = 6 THEN '> 50k' END",
+)
+TIER = ("CASE WHEN congestion_index >= 0.85 THEN 'critical' WHEN congestion_index >= 0.65 THEN 'high' "
+        "WHEN congestion_index >= 0.4 THEN 'medium' ELSE 'low' END")
 
 RAW_EVENTS = """raw AS (
   SELECT ts AS block_timestamp,
@@ -36,7 +59,7 @@ RAW_LINEITEM = """raw AS (
   FROM lineitem)"""
 
 
-def clean_cte(spec: ChainSpec) -> str:
+def clean_cte(lit: SimpleNamespace) -> str:
     return f"""clean AS (
   SELECT *,
          CAST(hour(block_timestamp) AS INTEGER) AS hour_of_day,
@@ -44,28 +67,13 @@ def clean_cte(spec: ChainSpec) -> str:
          CAST(block_timestamp AS DATE) AS date,
          CAST(gas_price AS DOUBLE) / 1e9 AS gas_fee_gwei,
          CAST(gas_price AS DOUBLE) * CAST(receipt_gas_used AS DOUBLE) / 1e9 AS tx_cost_gwei,
-         '{spec.chain}' AS chain
+         '{lit.chain}' AS chain
   FROM raw
   WHERE block_timestamp IS NOT NULL AND gas_price IS NOT NULL AND receipt_gas_used IS NOT NULL
     AND gas_price > 0 AND receipt_gas_used > 0)"""
 
 
-def with_clean(spec: ChainSpec, source: str = "events", *more: str) -> str:
+def with_clean(lit: SimpleNamespace, source: str = "events", *more: str) -> str:
     raw = RAW_EVENTS if source == "events" else RAW_LINEITEM
-    ctes = [raw, clean_cte(spec), *more]
+    ctes = [raw, clean_cte(lit), *more]
     return "WITH " + ",\n".join(ctes) + "\n"
-
-
-def bucket_sql(spec: ChainSpec, col: str = "gas_fee_gwei") -> str:
-    parts = [f"WHEN {col} < {edge!r} THEN {i}" for i, edge in enumerate(spec.bucket_edges)]
-    return f"CASE {' '.join(parts)} ELSE {len(spec.bucket_edges)} END"
-
-
-def bucket_label_sql(spec: ChainSpec, col: str = "bucket") -> str:
-    parts = [f"WHEN {col} = {i} THEN '{label}'" for i, label in enumerate(spec.bucket_labels)]
-    return f"CASE {' '.join(parts)} END"
-
-
-def tier_sql(spec: ChainSpec, col: str = "congestion_index") -> str:
-    parts = [f"WHEN {col} >= {bound!r} THEN '{label}'" for bound, label in spec.tiers]
-    return f"CASE {' '.join(parts)} ELSE '{spec.tier_else}' END"

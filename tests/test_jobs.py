@@ -34,8 +34,8 @@ def test_clean_reports_features_train(spark):
     assert doc.dataset_rows == 168 and len(doc.fold_metrics) == 5 and 1 <= doc.best_checkpoint_fold <= 5
     preds = spark.read.option("header", True).csv(f"{out_dir}/output/predictions")
     assert preds.count() == 168
-    model = spark.read.parquet(f"{out_dir}/models/mlp").first()
-    assert model.fold == doc.best_checkpoint_fold and len(model.scaler_mean) == 16
+    model = {r.fold: r for r in spark.read.parquet(f"{out_dir}/models/least_squares").collect()}
+    assert sorted(model) == [1, 2, 3, 4, 5] and model[doc.best_checkpoint_fold].training_rows > 100
 
 
 def test_cli_parses_steps():

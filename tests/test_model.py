@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feescope.operators import mlp as MLP
 from feescope.operators import model as M
 
 
@@ -64,21 +63,21 @@ def test_baseline_is_training_mean(data):
         assert pred[pred.fold == f].predicted.iloc[0] == pytest.approx(want)
 
 
-def test_mlp_learns_linear_signal(data):
-    feats = ["x1", "x2", "c"]
+def test_least_squares_matches_numpy(data):
     folded = M.kfold_assign(data, ["hour_of_day", "day_of_week"])
-    stats = M.fit_standard_scaler(folded, feats)
-    scaled = M.scale_by_train_fold(folded, stats, feats)
-    res = MLP.train_cv(scaled, feats, "y", MLP.MLPConfig(epochs=250)).cache()
-    pred = MLP.cv_predictions(res)
-    assert pred.count() == 168
-    overall = [r for r in M.cv_metrics(pred, "actual_avg_gas_gwei", "predicted_avg_gas_gwei").collect()
-               if r.scope == "overall"][0]
-    base = M.fold_mean_baseline(folded, "y")
-    base_rmse = [r for r in M.cv_metrics(base, "y", "predicted").collect() if r.scope == "overall"][0].rmse
-    assert overall.rmse < base_rmse and overall.r2 > 0.5
-    es = MLP.early_stopping_summary(res).collect()
-    assert all(1 <= r.best_epoch <= r.epochs_run <= 250 for r in es)
+    pred = M.least_squares_baseline(folded, "x1", "y").toPandas()
+    lines = {r.fold: r for r in M.fitted_lines(folded, "x1", "y").collect()}
+    for f in range(1, 6):
+        tr, va = pred[pred.fold != f], pred[pred.fold == f]
+        slope, intercept = np.polyfit(tr.x1, tr.y, 1)
+        assert lines[f].slope == pytest.approx(slope) and lines[f].intercept == pytest.approx(intercept)
+        assert np.allclose(va.predicted, slope * va.x1 + intercept)
+        assert lines[f].training_rows == len(tr)
+    # a constant feature predicts the training mean
+    const = M.least_squares_baseline(folded, "c", "y").toPandas()
+    base = M.fold_mean_baseline(folded, "y").toPandas()
+    keys = ["hour_of_day", "day_of_week"]
+    assert np.allclose(const.sort_values(keys).predicted, base.sort_values(keys).predicted)
 
 
 def test_linear_cv_recovers_signal(data):
@@ -91,40 +90,3 @@ def test_linear_cv_recovers_signal(data):
     assert pred.count() == 168
     overall = [r for r in M.cv_metrics(pred, "actual", "predicted").collect() if r.scope == "overall"][0]
     assert overall.rmse < 0.2 and overall.r2 > 0.99
-
-
-def test_mlp_inner_split_scores_untouched_fold(data):
-    feats = ["x1", "x2", "c"]
-    folded = M.kfold_assign(data, ["hour_of_day", "day_of_week"])
-    scaled = M.scale_by_train_fold(folded, M.fit_standard_scaler(folded, feats), feats)
-    res = MLP.train_cv(scaled, feats, "y", MLP.MLPConfig(inner_fraction=0.2))
-    pred = MLP.cv_predictions(res)
-    assert pred.count() == 168
-    overall = [r for r in M.cv_metrics(pred, "actual_avg_gas_gwei", "predicted_avg_gas_gwei").collect()
-               if r.scope == "overall"][0]
-    assert overall.r2 > 0.5
-
-
-def test_loss_history_and_best(spark):
-    rows = [(1, 3, 2, 0.9, [], [(1, 2.0, 1.0), (2, 1.0, 0.5), (3, 0.8, 0.6)], [0.0]),
-            (2, 2, 1, 0.4, [], [(1, 1.5, 0.4), (2, 1.2, 0.45)], [0.0])]
-    res = spark.createDataFrame(rows, MLP.RESULT_SCHEMA)
-    h = MLP.loss_history(res, fold=1).orderBy("epoch").collect()
-    assert [r.epoch for r in h] == [1, 2, 3] and h[1].val_loss == 0.5
-    es = {r.fold: r for r in MLP.early_stopping_summary(res).collect()}
-    assert es[2].best_epoch == 1 and es[1].epochs_run == 3
-
-
-def test_mlp_data_parallel_averaging(data):
-    feats = ["x1", "x2", "c"]
-    folded = M.kfold_assign(data, ["hour_of_day", "day_of_week"])
-    scaled = M.scale_by_train_fold(folded, M.fit_standard_scaler(folded, feats), feats).repartition(3).cache()
-    summary, pred, hist = MLP.train_cv_averaged(scaled, feats, "y", cfg=MLP.MLPConfig(epochs=60, patience=10))
-    assert pred.count() == 168 and summary.count() == 5
-    overall = [r for r in M.cv_metrics(pred, "actual_avg_gas_gwei", "predicted_avg_gas_gwei").collect()
-               if r.scope == "overall"][0]
-    base = M.fold_mean_baseline(folded, "y")
-    base_rmse = [r for r in M.cv_metrics(base, "y", "predicted").collect() if r.scope == "overall"][0].rmse
-    assert overall.rmse < base_rmse  # it learns, with parameters averaged over 3 partitions
-    h = hist.where("fold = 1").orderBy("epoch").collect()
-    assert h[0].epoch == 1 and h[-1].val_loss < h[0].val_loss
