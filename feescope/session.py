@@ -97,6 +97,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """The scratch folders that are there now."""
+    return list(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
 def release_scratch(spark: SparkSession, keep=()) -> None:
     """Delete the scratch folders made so far (all but ``keep``).
 
