@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feescope.llm.ann_search import usable
-from feescope.llm.common import connected_components, materialize, ship_code
+from feescope.llm.common import connected_components, ship_code
+from feescope.session import materialize
 
 SHARD_ROWS = 8192
 LINKS = 16       # neighbours a node chooses; twice as many are kept on the lowest layer

@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feescope.llm.common import connected_components, materialize, ship_code
+from feescope.llm.common import connected_components, ship_code
+from feescope.session import materialize
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # (first bit, bits)
 GOLAY = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1

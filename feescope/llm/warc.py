@@ -37,7 +37,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feescope.llm.common import materialize, scratch_dir, ship_code
+from feescope.llm.common import ship_code
+from feescope.session import materialize, scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -272,7 +273,7 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES,
 def warc_round_trip(pages: DataFrame, min_revisit_bytes: int = 0, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Write ``pages`` as archives in the shared folder and read them back: one row per page."""
     spark = pages.sparkSession
-    folder = scratch_dir(spark, "warc")
+    folder = scratch_path(spark, "warc")
     write_warc(pages, folder, min_revisit_bytes)
     return read_warc(spark, folder, split_bytes).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
