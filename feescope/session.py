@@ -84,6 +84,12 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder through the store's own file system."""
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder, for intermediate tables.
 
