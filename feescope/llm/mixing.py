@@ -13,9 +13,9 @@ long are tried in the same order (``fill_rounds`` times), then one more is
 taken if that lands closer to the target.
 
 Scale.  A source may hold any share of the rows, so its order is never sorted in
-one task: keys are cut into about sqrt(rows) buckets, the buckets' sums are
+one task: keys are cut into about sqrt(rows) / 8 buckets, the buckets' sums are
 accumulated per source, and only the one bucket in which the target falls is
-sorted.  Each source has such a bucket; its size is about sqrt(rows) as well.
+sorted.  Each source has such a bucket, of about 8 sqrt(rows) rows at most.
 What is sorted in one task is one row per source, or per bucket of a source.
 
 Defined cases: null text has size 0; null ``source`` is a source of its own;
@@ -94,7 +94,7 @@ def _plan(base: DataFrame, weights, max_epochs: int, fill_rounds: int) -> tuple[
     sums = materialize(base.groupBy(*source).agg(F.sum("__llm_size").alias("source_size"), F.count("*").alias("rows")),
                        "mix-sources")
     most = sums.agg(F.max("rows")).first()[0] or 1
-    n_buckets = float(math.ceil(math.sqrt(most)))
+    n_buckets = float(math.ceil(math.sqrt(most) / 8))  # some hundreds of rows or more to choose from in a bucket
     named = sums.select(F.when(~F.col("__llm_nosrc"), F.col("__llm_src")).alias("source"), "source_size")
     targets = source_targets(named, weights, max_epochs).select(
         F.coalesce("source", F.lit("")).alias("__llm_src"), F.col("source").isNull().alias("__llm_nosrc"),
