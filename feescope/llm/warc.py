@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feescope.llm.common import ship_code
-from feescope.session import materialize, scratch_path
+from feescope.session import make_folder, materialize, scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -143,6 +143,7 @@ def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, date:
     are joined back; that join's large partitions can be split.
     """
     ship_code(pages.sparkSession)
+    make_folder(pages.sparkSession, folder)  # there even if no page is written
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     p = p.withColumn("sha", F.sha1("payload"))
     first = p.where(F.octet_length("payload") >= min_revisit_bytes).groupBy("sha").agg(
