@@ -254,7 +254,7 @@ def _forest(u: np.ndarray, v: np.ndarray) -> Iterator[tuple[int, int]]:
 # ---------------------------------------------------------------- Spark
 
 def _build(links: int, beam: int):
-    def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(key, pdf):
         pdf = pdf.sort_values("node")
         x = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
         graph = Graph(unit_rows(x), links, beam)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feescope.llm import (
-    ann_search, hnsw_dedup, html_extract, language_id, mixing, packing, secret_scan, simhash_dedup, toxicity, warc,
+    ann_search, hnsw_dedup, html_extract, language_id, mixing, oracles, packing, secret_scan, simhash_dedup, toxicity, warc,
 )
 from feescope.llm.common import table
 
@@ -72,7 +72,12 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_toxicity, op4_secret_scan, op5_warc, op6_source_mixing,
     op7_nearest_neighbours, op8_embedding_dedup, op9_simhash_dedup, op10_packing)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_warc": oracles.WARC,
+    "op6_source_mixing": oracles.mixing(),
+    "op7_nearest_neighbours": oracles.NEAREST,
+    "op8_embedding_dedup": oracles.DUPLICATES,
+}
 
 
 def queries() -> dict[str, Query]:
