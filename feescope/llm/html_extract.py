@@ -37,9 +37,9 @@ from feescope.llm.html_dom import decode, features, main_text, parse
 from feescope.llm.html_layouts import Layout
 
 TRAIN_PAGES = 200
-LAYOUTS = 2
-TREES = 16
-DEPTH = 4
+LAYOUTS = 3
+TREES = 24
+DEPTH = 5
 SEED = 11
 FILLER = ("The committee met on Tuesday to discuss the plan, and most members agreed with it. Some asked for more time.",
           "Read more about it here", "A short note.", "In the end, the river was lower than in any summer since the records began, and "
