@@ -68,6 +68,21 @@ def _prepared(docs: DataFrame, quality: Column | None) -> DataFrame:
             }))
 
 
+def _prepared_once(docs: DataFrame, quality: Column | None) -> DataFrame:
+    """:func:`_prepared` for frames that carry whole texts.
+
+    A generator computes the helper columns, because filters on its output stay
+    above it: as plain expressions they would be copied into every filter and
+    join condition on them, and the words of a text counted many times.
+    """
+    size = F.col("__llm_size")
+    sized = docs.select("*", F.inline(F.array(F.struct(word_count(F.col("text")).alias("__llm_size")))))
+    key = sampling_key(F.col("doc_id"), quality if quality is not None else text_quality(F.col("text"), size))
+    return sized.select("*", F.inline(F.array(F.struct(
+        key.alias("__llm_key"), F.xxhash64("text").alias("__llm_hash"), F.coalesce("source", F.lit("")).alias("__llm_src"),
+        F.col("source").isNull().alias("__llm_nosrc")))))
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """(source, source_size, target) from (source, source_size), one row per source."""
     by_name = W.orderBy(F.col("source").asc_nulls_last())
@@ -182,6 +197,6 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS
     renamed = docs.withColumnsRenamed({c: f"__llm_own_{c}" for c in clash})
     base = _prepared(docs.select("doc_id", "source", "text"), quality).drop("text", "source")
     plan, decided, n = _plan(materialize(base, "mix-sizes"), weights, max_epochs, fill_rounds)
-    out = _times(_prepared(renamed, quality), plan, decided, n).where("__llm_times > 0 and __llm_size > 0")
+    out = _times(_prepared_once(renamed, quality), plan, decided, n).where("__llm_times > 0 and __llm_size > 0")
     out = out.withColumn("__llm_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__llm_times"))))
     return out.select(*[F.col(f"__llm_own_{c}" if c in clash else c).alias(c) for c in docs.columns])
