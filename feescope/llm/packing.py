@@ -50,6 +50,11 @@ TOLERANCE = 2e-3  # relative gap to the linear program's bound at which columns
 class ByteLevelTokenizer:
     """The ids that ``tokenizers`` gives under a byte-level BPE file.
 
+    The file's added tokens, where a text holds them, are one id each, as in
+    ``Tokenizer.encode(text, add_special_tokens=False)``; without ``added`` they
+    are ordinary text (``encode_special_tokens``).  The texts between them are
+    encoded alone.
+
     The file's vocabulary is handed to ``tiktoken``, which applies the same
     merges four times as fast; that is only the same tokenization if merges are
     ranked like ids, which is checked here.  Very long texts are encoded in
@@ -59,9 +64,10 @@ class ByteLevelTokenizer:
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
 
-    def __init__(self, path: str, part_chars: int = 1_000_000):
+    def __init__(self, path: str, part_chars: int = 1_000_000, added: bool = False):
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model = file["model"]
         pairs = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
         ids = [model["vocab"][m] for m in pairs]
         if any(x >= y for x, y in zip(ids, ids[1:])):
@@ -70,9 +76,25 @@ class ByteLevelTokenizer:
         ranks = {bytes(byte_of[c] for c in k): model["vocab"][k] for k in [*byte_of, *pairs]}
         self.bpe = tiktoken.Encoding("byte-level", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.part = part_chars
+        tokens = file.get("added_tokens") or [] if added else []
+        if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that take in blanks or need word ends are not supported")
+        self.added = {t["content"]: t["id"] for t in tokens}
+        longest = sorted(self.added, key=len, reverse=True)  # of those that start at one place the longest counts
+        self.split = re.compile("|".join(map(re.escape, longest))) if longest else None
 
     def ids(self, text: str) -> array:
         out, lo = array("I"), 0
+        if self.split:
+            for m in self.split.finditer(text):
+                self._encode(text[lo:m.start()], out)
+                out.append(self.added[m.group()])
+                lo = m.end()
+        self._encode(text[lo:] if lo else text, out)
+        return out
+
+    def _encode(self, text: str, out: array) -> None:
+        lo = 0
         while len(text) - lo > self.part:
             m = self.CUT.search(text, lo + self.part)
             if not m:
@@ -80,7 +102,6 @@ class ByteLevelTokenizer:
             out.extend(self.bpe.encode_ordinary(text[lo:m.start()]))
             lo = m.start()
         out.extend(self.bpe.encode_ordinary(text[lo:] if lo else text))
-        return out
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -100,7 +121,7 @@ _TOKENIZERS: dict[str, ByteLevelTokenizer] = {}
 
 def _tokenizer(path: str) -> ByteLevelTokenizer:
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ByteLevelTokenizer(path)
+        _TOKENIZERS[path] = ByteLevelTokenizer(path, added=True)
     return _TOKENIZERS[path]
 
 

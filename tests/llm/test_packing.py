@@ -32,6 +32,21 @@ def test_ids_are_those_of_tokenizers(reference):
         assert cut.ids(text).tolist() == reference(text), repr(text)
 
 
+def test_added_tokens_are_those_of_tokenizers(spark):
+    plain = Tokenizer.from_file(P.tokenizer_path())
+    tok, cut = (P.ByteLevelTokenizer(P.tokenizer_path(), part_chars=n, added=True) for n in (1_000_000, 5))
+    rng, mark = random.Random(3), "<|endoftext|>"
+    bits = [mark, mark, " ", "\n", "a", "Bc", "é", "12", "'s", "  ", "<|", "|>", "endoftext", "😀"]
+    cases = [f"one {mark} two", mark, mark * 3, f"{mark} b", f"b {mark}", f"long text {mark} " * 20]
+    cases += ["".join(rng.choice(bits) for _ in range(rng.randrange(12))) for _ in range(500)]
+    for text in cases:
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert tok.ids(text).tolist() == want and cut.ids(text).tolist() == want, repr(text)
+    docs = list(enumerate(cases[:200]))
+    rows = P.pack_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    check_pieces(rows, docs, lambda text: plain.encode(text, add_special_tokens=False).ids)
+
+
 def check_pieces(rows, docs, reference, capacity=2048):
     ids = {d: reference(t or "") + [1] for d, t in docs}
     cover, sequences = {}, {}
