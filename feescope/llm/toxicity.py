@@ -8,15 +8,14 @@ seen changes the comparison only through the two back-off weights.  A text has
 two measures, both normalised by its length: the difference of the two
 log-likelihoods per letter, and the words' own differences as far as they exceed
 ``WORD_MARGIN``, per word (a few toxic words in a long ordinary text).  A
-logistic curve fitted on labelled rows kept out of the counts turns them into a
-score.
+logistic curve turns them into a score.  It is fitted on a bounded sample of the
+labelled rows, measured by a model of the counts without that sample; the scores
+themselves come from the counts of all rows, the sample included.
 
 Letters are folded to lower case; a to z have symbols of their own and other
 letters share 36 by code point, so the tables are bounded by the alphabet and
 the order (64 symbols, five letters), not by the corpus.  Counts cover every
-training row: at most ``max_train_rows`` labelled rows per class (a documented
-bound; beyond it rows are taken by a hash of doc_id).  N-grams seen once in all
-are left to the back-off.
+training row and every window, those seen once included.
 
 Defined cases: a null or empty text, or one without letters, has measures of 0
 and the curve's score for them; rows with a null label train nothing; a document
@@ -41,11 +40,10 @@ from feescope.llm.language_id import fold_table
 ORDER = 5
 BITS = 6
 DISCOUNT = 0.75
-MAX_TRAIN_ROWS = 1_000_000
-MIN_COUNT = 2
 WORD_MARGIN = 3.0       # nats
-CURVE_SHARE = 0.2      # of the training rows: kept out of the counts, for the curve
+CURVE_SHARE = 0.2      # of the training rows at most: the curve's sample
 MAX_CURVE_ROWS = 50_000
+BROADCAST_ROWS = 2_000_000  # up to so many labelled rows the texts are read in place, beyond they are shuffled
 _SYMBOLS: list[np.ndarray] = []
 
 
@@ -179,28 +177,29 @@ def fit_curve(measures: np.ndarray, toxic: np.ndarray) -> tuple[tuple[float, flo
 
 # ---------------------------------------------------------------- Spark
 
+COUNTS = ("ordinary", "toxic", "curve_ordinary", "curve_toxic")  # the last two: in the curve's sample
+
+
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: tuple[list, list] = ([], [])
+    held: list[list] = [[] for _ in COUNTS]
     chars = 0
 
     def out() -> pa.RecordBatch:
-        codes, n = [], []
-        for c in (0, 1):
-            u, k = np.unique(np.concatenate([np.zeros(0, np.int32), *held[c]]), return_counts=True)
-            codes.append(u)
-            n.append(k)
-        both = np.concatenate(codes)
-        zero = [np.zeros(len(k), np.int64) for k in n]
-        for c in (0, 1):
-            held[c].clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(both), pa.array(np.concatenate((zero[0], n[1]))), pa.array(np.concatenate((n[0], zero[1])))],
-            names=["code", "toxic", "ordinary"])
+        found = [np.unique(np.concatenate([np.zeros(0, np.int32), *h]), return_counts=True) for h in held]
+        codes = np.unique(np.concatenate([u for u, _ in found]))
+        columns = []
+        for u, k in found:
+            n = np.zeros(len(codes), np.int64)
+            n[np.searchsorted(codes, u)] = k
+            columns.append(pa.array(n))
+        for h in held:
+            h.clear()
+        return pa.RecordBatch.from_arrays([pa.array(codes), *columns], names=["code", *COUNTS])
 
     for b in batches:
-        for toxic, text in zip(b.column(0).to_pylist(), b.column(1)):
+        for toxic, curve, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
             t = text.as_py()
-            held[toxic].append(letter_grams(t))
+            held[toxic + 2 * curve].append(letter_grams(t))
             chars += len(t)
             if chars > 4_000_000:
                 yield out()
@@ -208,34 +207,46 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def training_labels(labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> tuple[DataFrame, int]:
-    """(doc_id, toxic), one row per labelled document and about ``max_train_rows`` per class at most; their number."""
+def training_labels(labels: DataFrame, max_train_rows: int | None = None) -> tuple[DataFrame, int]:
+    """(doc_id, toxic), one row per labelled document; their number.  All of them, or about
+    ``max_train_rows`` per class if given."""
     one = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         F.max((F.col("toxic") != 0).cast("int")).alias("toxic"))
     n = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if max_train_rows is None:
+        return one, sum(n.values())
     share = F.when(F.col("toxic") == 1, F.lit(min(1.0, max_train_rows / max(1, n.get(1, 0))))).otherwise(
         F.lit(min(1.0, max_train_rows / max(1, n.get(0, 0)))))
     return one.where(hash_unit(F.lit("rows"), F.col("doc_id")) <= share), sum(min(max_train_rows, v) for v in n.values())
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> Model:
+def window_counts(known: DataFrame, curve) -> DataFrame:
+    """(code, *COUNTS) of all rows of ``known`` (toxic, text): every window; ``curve`` marks the curve's sample."""
+    counts = known.select("toxic", curve.cast("int").alias("curve"), "text").mapInArrow(
+        _count_rows, "code int, " + ", ".join(f"{c} long" for c in COUNTS))
+    return counts.groupBy("code").agg(*(F.sum(c).alias(c) for c in COUNTS))
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Model and curve from the labelled rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
-    The labels are broadcast: ``max_train_rows`` bounds them, and the texts are
-    then read in place, not shuffled.  The driver receives the window counts
+    Up to ``BROADCAST_ROWS`` labels are broadcast and the texts read in place;
+    more are joined by a shuffle.  The driver receives the window counts
     (bounded by the alphabet) and at most about ``MAX_CURVE_ROWS`` measures.
     """
     ship_code(docs.sparkSession)
-    chosen, n_rows = training_labels(labels, max_train_rows)
-    known = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
-    curve = hash_unit(F.lit("curve"), F.col("doc_id")) < F.lit(CURVE_SHARE)
-    counts = known.where(~curve).select("toxic", "text").mapInArrow(_count_rows, "code int, toxic long, ordinary long")
-    counts = counts.groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).where(
-        F.col("toxic") + F.col("ordinary") >= MIN_COUNT).toPandas().sort_values("code")
-    model = fit_model(counts["code"].to_numpy(np.int64), counts["toxic"].to_numpy(float), counts["ordinary"].to_numpy(float))
-    share = min(1.0, MAX_CURVE_ROWS / max(1.0, CURVE_SHARE * n_rows))
-    some = known.where(hash_unit(F.lit("curve"), F.col("doc_id")) < F.lit(CURVE_SHARE * share))
-    rows = measures(some, model, "toxic").toPandas()
+    chosen, n_rows = training_labels(labels)
+    known = docs.select("doc_id", "text").where("text is not null").join(
+        F.broadcast(chosen) if n_rows <= BROADCAST_ROWS else chosen, "doc_id")
+    share = min(CURVE_SHARE, MAX_CURVE_ROWS / max(1, n_rows))
+    curve = hash_unit(F.lit("curve"), F.col("doc_id")) < F.lit(share)
+    counts = window_counts(known, curve).toPandas().sort_values("code")
+    code = counts["code"].to_numpy(np.int64)
+    ordinary, toxic, curve_ordinary, curve_toxic = (counts[c].to_numpy(float) for c in COUNTS)
+    rest = ordinary + toxic > 0  # the windows outside the curve's sample
+    partial = fit_model(code[rest], toxic[rest], ordinary[rest])
+    rows = measures(known.where(curve), partial, "toxic").toPandas()
+    model = fit_model(code, toxic + curve_toxic, ordinary + curve_ordinary)
     model.slopes, model.offset = fit_curve(rows[["per_letter", "per_word"]].to_numpy(float), rows["toxic"].to_numpy(float))
     return model
 

@@ -98,3 +98,20 @@ def test_bound_of_the_training_rows(spark):
     chosen, n = T.training_labels(labels, max_train_rows=500)
     by = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     assert n == 1000 and 400 < by[0] < 600 and 400 < by[1] < 600
+
+
+def test_every_row_and_window_counts(spark):
+    rows = [(i, f"common words here and one rare{chr(97 + i % 26)}{chr(97 + i // 26)}", int(i % 3 == 0)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = T.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    want = np.unique(np.concatenate([T.letter_grams(t) for _, t, _ in rows]))
+    assert model.grams.tolist() == want.tolist()  # also of the curve's rows, and those seen once
+    n = [T.window_counts(docs, F.col("doc_id") % 4 == k).agg(*(F.sum(c) for c in T.COUNTS)).first() for k in (0, 5)]
+    assert sum(n[0]) == sum(n[1]) == sum(len(T.letter_grams(t)) for _, t, _ in rows)
+    assert n[0][2] > 0 and n[0][3] > 0 and n[1][2] == n[1][3] == 0
+
+
+def test_all_labelled_rows_train(spark):
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 4 == 0).cast("int").alias("toxic"))
+    chosen, n = T.training_labels(labels)
+    assert n == chosen.count() == 4000
