@@ -7,10 +7,13 @@ verified in double precision, links counted and united into components.
 
 Beams.  A search keeps its ``beam`` nearest nodes.  If all of them are links
 there may be more, so that search runs again with twice the beam, and beyond
-``scan_beam`` it compares the whole shard.  After each block of searches a
-sample of them is compared with brute force; while the share of links found is
-below ``recall`` the block is searched again with twice the beam, at the end
-exhaustively.
+``scan_beam`` it compares the whole shard.  For each block of queries a sample is
+first compared with brute force, until it holds ``AUDIT_LINKS`` true links, hits
+of a vector on itself left out; where links are so rare that no sample does, the
+whole block is then compared and the graph is not asked.  Else, while the share
+of the sample's links found is below ``recall``, the block is searched again with
+twice the beam, at the end exhaustively.  Two shards meet in one task that
+searches both ways; a link counts for both ends when either search finds it.
 
 Copies.  Equal vectors of one label are one node with a count, so a vector
 that a third of all rows share adds nothing to the graph.  A task returns one
@@ -44,7 +47,7 @@ BEAM = 48
 SCAN_BEAM = 512
 EXPAND = 4       # nodes expanded at once per search
 RECALL = 0.99
-AUDITED = 64
+AUDIT_LINKS = 1000
 
 
 # ---------------------------------------------------------------- graph
@@ -200,13 +203,31 @@ def _scan(x: np.ndarray, q: np.ndarray, least: float) -> list[np.ndarray]:
 
 
 def find_links(graph: Graph, unit: np.ndarray, q: np.ndarray, threshold: float, beam: int = BEAM,
-               recall: float = RECALL, rows: int = 256) -> list[np.ndarray]:
-    """For each query (unit rows, double) the nodes with a cosine of at least ``threshold``."""
+               recall: float = RECALL, rows: int = 256, own: np.ndarray | None = None,
+               audit_links: int = AUDIT_LINKS) -> list[np.ndarray]:
+    """For each query (unit rows, double) the nodes with a cosine of at least ``threshold``.
+
+    ``own`` is each query's own node (-1: none); a hit on it is no link of the audit.
+    """
     least = threshold - 1e-5  # single precision; verified below
     q32 = q.astype(np.float32)
     n = len(graph.x)
-    audit = np.unique(np.linspace(0, len(q) - 1, min(AUDITED, len(q))).astype(int))
-    truth = [set(np.nonzero(unit @ q[i] >= threshold)[0].tolist()) for i in audit]
+
+    def verified(i: int, ids: np.ndarray) -> np.ndarray:
+        return ids[unit[ids] @ q[i] >= threshold] if len(ids) else ids
+
+    truth: dict[int, np.ndarray] = {}
+    want = 0
+    spread = np.random.default_rng(len(q)).permutation(len(q))
+    for lo in range(0, len(q), rows):
+        if want >= audit_links:
+            break
+        part = spread[lo:lo + rows]
+        for i, ids in zip(part.tolist(), _scan(graph.x, q32[part], least)):
+            truth[i] = verified(i, ids)
+            want += len(truth[i]) - (own is not None and int((truth[i] == own[i]).sum()))
+    if len(truth) == len(q):
+        return [truth[i] for i in range(len(q))]
     while True:
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
         todo, width = np.arange(len(q)), beam
@@ -225,14 +246,37 @@ def find_links(graph: Graph, unit: np.ndarray, q: np.ndarray, threshold: float,
                 for i, row, h in zip(part.tolist(), ids, hit):
                     out[i] = row[h].astype(np.int64)
             todo, width = (np.concatenate(full) if full else todo[:0]), 2 * width
-        out = [ids[unit[ids] @ q[i] >= threshold] if len(ids) else ids for i, ids in enumerate(out)]
-        want = sum(map(len, truth))
-        got = sum(len(t.intersection(out[i].tolist())) for i, t in zip(audit.tolist(), truth))
+        out = [verified(i, ids) for i, ids in enumerate(out)]
+        got = 0
+        for i, t in truth.items():
+            hits = np.intersect1d(t, out[i])
+            got += len(hits) - (own is not None and int((hits == own[i]).sum()))
         if got >= recall * want or beam >= n:
+            for i, t in truth.items():
+                out[i] = t
             return out
         beam *= 2
 
 
+def cell_links(left: Graph, left_unit: np.ndarray, right: Graph, right_unit: np.ndarray, threshold: float, beam: int = BEAM,
+               recall: float = RECALL, same: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(left nodes, right nodes) of the links between two shards, found by the search from either
+    side; within one shard (``same``) each link stands there both ways and none is a node's own."""
+    own = np.arange(len(left_unit)) if same else None
+    found = find_links(right, right_unit, left_unit, threshold, beam, recall, own=own)
+    r = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    c = np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64)
+    if same:
+        back, to = c, r
+    else:
+        found = find_links(left, left_unit, right_unit, threshold, beam, recall)
+        back = np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64)
+        to = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    pair = np.unique(np.concatenate((r, back)) * len(right_unit) + np.concatenate((c, to)))
+    r, c = np.divmod(pair, max(1, len(right_unit)))
+    return (r[r != c], c[r != c]) if same else (r, c)
+
+
 def _forest(u: np.ndarray, v: np.ndarray) -> Iterator[tuple[int, int]]:
     """(node, root) pairs with the components of the edges (u, v)."""
     root: dict[int, int] = {}
@@ -281,23 +325,24 @@ def _links(threshold: float, beam: int, recall: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                dim, q_nodes, q_vec, nodes, copies, vec, state = (c[i].as_py() for c in b.columns)
-                q_nodes, nodes, copies = (np.frombuffer(v, np.int64) for v in (q_nodes, nodes, copies))
-                unit = unit_rows(np.frombuffer(vec).reshape(-1, dim))
-                q = unit_rows(np.frombuffer(q_vec).reshape(-1, dim))
-                found = find_links(_load(unit, state), unit, q, threshold, beam, recall)
-                r = np.repeat(np.arange(len(q)), [len(f) for f in found])
-                c = np.concatenate(found).astype(np.int64) if len(r) else r
-                other = q_nodes[r] != nodes[c]
-                r, c = r[other], c[other]
-                n_links = np.bincount(r, copies[c], len(q)).astype(np.int64)
-                edges = [e for e in _forest(q_nodes[r], nodes[c])]
+                dim, same, *sides = (c[i].as_py() for c in b.columns)
+                shard = []
+                for nodes, copies, vec, state in (sides[:4], sides[4:]):
+                    unit = unit_rows(np.frombuffer(vec).reshape(-1, dim))
+                    shard.append((np.frombuffer(nodes, np.int64), np.frombuffer(copies, np.int64), unit, _load(unit, state)))
+                (nodes, copies, unit, graph), (nodes2, copies2, unit2, graph2) = shard
+                r, c = cell_links(graph, unit, graph2, unit2, threshold, beam, recall, same)
+                n_links = [np.bincount(r, copies2[c], len(nodes)).astype(np.int64)]
+                held = [nodes]
+                if not same:
+                    n_links.append(np.bincount(c, copies[r], len(nodes2)).astype(np.int64))
+                    held.append(nodes2)
+                edges = [e for e in _forest(nodes[r], nodes2[c])]
                 u = np.array([e[0] for e in edges], np.int64)
                 v = np.array([e[1] for e in edges], np.int64)
-                node = np.concatenate((q_nodes, u))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node), pa.array(np.concatenate((n_links, np.zeros(len(u), np.int64)))),
-                     pa.array(np.concatenate((q_nodes, v)))], names=["node", "n_links", "root"])
+                    [pa.array(np.concatenate((*held, u))), pa.array(np.concatenate((*n_links, np.zeros(len(u), np.int64)))),
+                     pa.array(np.concatenate((*held, v)))], names=["node", "n_links", "root"])
     return run
 
 
@@ -319,11 +364,13 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, shard_rows: int =
         dealt.select("label", "dim", "shard", "shards", "node", "copies", "vector").groupBy("label", "dim", "shard").applyInPandas(
             _build(links, beam), f"label {label}, dim int, shard long, shards long, nodes binary, copies binary, "
                                  "vectors binary, graph binary"), "hnsw-graphs")
-    # every shard's rows are also a block of queries; a block goes to each shard of its label
-    asked = graphs.select("label", "dim", F.col("nodes").alias("q_nodes"), F.col("vectors").alias("q_vec"),
-                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
-    cells = asked.join(graphs, ["label", "dim", "shard"]).select(
-        "dim", "q_nodes", "q_vec", "nodes", "copies", "vectors", "graph")
+    # every two shards of a label meet once, and each shard itself
+    parts = ("nodes", "copies", "vectors", "graph")
+    other = graphs.select("label", "dim", "shard", *(F.col(c).alias(f"{c}_2") for c in parts))
+    asked = graphs.select("label", "dim", F.col("shard").alias("first"), *parts,
+                          F.explode(F.sequence(F.col("shard"), F.col("shards") - 1)).alias("shard"))
+    cells = asked.join(other, ["label", "dim", "shard"]).select(
+        "dim", (F.col("first") == F.col("shard")).alias("same"), *parts, *(f"{c}_2" for c in parts))
     found = materialize(cells.mapInArrow(_links(threshold, beam, recall), "node long, n_links long, root long"), "hnsw-links")
     roots = connected_components(found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")), "hnsw")
     known = nodes.join(found.groupBy("node").agg(F.sum("n_links").alias("n_links")), "node").join(roots, "node", "left").select(

@@ -139,6 +139,44 @@ def test_graph_recall_on_clusters():
     assert np.mean([len(set(a[:20].tolist()) & set(b.tolist())) / 10 for a, b in zip(ids, best)]) >= 0.9
 
 
+class Blind(H.Graph):
+    """A graph whose searches find nothing."""
+
+    def search(self, q, beam):
+        return np.full((len(q), beam), -1, np.int32), np.full((len(q), beam), -np.inf, np.float32)
+
+
+def test_rare_links_are_compared_exactly():
+    rng = np.random.default_rng(6)
+    x, q = H.unit_rows(rng.normal(size=(700, 16))), H.unit_rows(rng.normal(size=(900, 16)))
+    q[[201, 600]] = H.unit_rows(x[[5, 6]] + 0.01 * rng.normal(size=(2, 16)))  # two links in 900 queries
+    truth = x @ q.T >= 0.93
+    for graph, own in ((Blind(x), None), (H.Graph(x), None)):
+        links = H.find_links(graph, x, q, 0.93)
+        assert all(np.nonzero(truth[:, i])[0].tolist() == ids.tolist() for i, ids in enumerate(links))
+        left, right = H.cell_links(graph, x, Blind(q), q, 0.93)
+        assert sorted(zip(left.tolist(), right.tolist())) == sorted(zip(*map(np.ndarray.tolist, np.nonzero(truth))))
+
+
+def test_own_hits_are_no_links_of_the_audit():
+    rng = np.random.default_rng(7)
+    x = H.unit_rows(rng.normal(size=(1200, 16)))
+    x[1100:] = H.unit_rows(x[:100] + 0.01 * rng.normal(size=(100, 16)))
+    truth = x @ x.T >= 0.93
+    found = H.find_links(Blind(x), x, x, 0.93, own=np.arange(len(x)))
+    assert all(np.nonzero(truth[i])[0].tolist() == ids.tolist() for i, ids in enumerate(found))
+
+
+def test_a_link_of_either_search_counts_for_both_ends(monkeypatch):
+    monkeypatch.setattr(H, "find_links", lambda graph, unit, q, *a, **k: [
+        np.array([1] if i == 0 else [], np.int64) for i in range(len(q))])
+    x = H.unit_rows(np.eye(3))
+    left, right = H.cell_links(None, x, None, x, 0.9)
+    assert list(zip(left.tolist(), right.tolist())) == [(0, 1), (1, 0)]
+    left, right = H.cell_links(None, x, None, x, 0.9, same=True)
+    assert list(zip(left.tolist(), right.tolist())) == [(0, 1), (1, 0)]
+
+
 def test_repeated_ids_and_clashing_columns(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (None, [1.0, 0.01], 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns(
