@@ -6,12 +6,15 @@ ids of 20 or more characters) and ``hex`` (runs of 24 or more hex digits).
 
 Added spans, kind ``token``: ordinary words and names compress well under a
 byte-level BPE vocabulary, random strings do not.  A maximal run of
-``[A-Za-z0-9+/_=-]`` of at least ``min_run`` characters that holds a letter and
-a digit is a secret if it has at most ``max_ratio`` characters a token.  Known
-digests and identifiers are excluded first: UUIDs, runs of hex digits in either
-case (digests; the base kind reports the lower-case ones), SRI digests
-(``sha256-...``), runs that begin with a date, and runs inside a URL or an e-mail address.  Runs that overlap a base span are not
-reported again.
+``[A-Za-z0-9+/_=-]`` of at least ``min_run`` characters that holds a letter is a
+secret if it has at most ``max_ratio`` characters a token.  Known digests and
+identifiers are excluded first: UUIDs, runs of hex digits of a digest's length
+in either case (the base kind reports the lower-case ones), SRI digests
+(``sha256-...``) of their length, the host and path of a URL and the local part
+of an e-mail address.  A date at a run's begin is left out and the rest judged.
+User names, passwords, queries and fragments of URLs and the paths of webhooks
+are judged like other runs.  Runs that overlap a base span are not reported
+again.
 
 Defined cases: a null or empty text has no spans; offsets count code points,
 end exclusive; every row gives one row, repeated or not.
@@ -20,6 +23,7 @@ end exclusive; every row gives one row, repeated or not.
 from __future__ import annotations
 
 import base64
+import datetime
 import hashlib
 import re
 from collections.abc import Iterator
@@ -36,11 +40,17 @@ ASSIGN = re.compile(r"""(?ai:(?:password|passwd|secret|token|api_?key))["']?\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-LETTER_AND_DIGIT = re.compile(r"[A-Za-z].*[0-9]|[0-9].*[A-Za-z]")
+LETTER = re.compile(r"[A-Za-z]")
 UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$")
-DIGEST = re.compile(r"(?:sha(?:1|224|256|384|512)|md5)[-_=].*$|[0-9a-fA-F]+$")
-DATE = re.compile(r"[0-9]{4}[-_]?[0-9]{2}[-_]?[0-9]{2}")
-SPACE_OR_QUOTE = re.compile(r"[\s\"'<>()]")
+HEX_RUN = re.compile(r"[0-9a-fA-F]+$")
+HEX_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))  # MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512
+LABELLED = re.compile(r"(sha(?:1|224|256|384|512)|md5)[-_=](.*)$")
+DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha224": 28, "sha256": 32, "sha384": 48, "sha512": 64}
+DATE = re.compile(r"([0-9]{4})([-_]?)([0-9]{2})\2([0-9]{2})(?![0-9])|([0-9]{4})()([0-9]{2})([0-9]{2})(?=[0-9]{6}(?![0-9]))")
+BREAK = re.compile(r"[\s\"'<>(),;|{}\[\]]")
+SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://|www\.")
+WEBHOOK = re.compile(r"/(?:web)?hooks?/|/services/T[A-Z0-9]*/B[A-Z0-9]*/", re.I)
+MAIL_REST = re.compile(r"[A-Za-z0-9.!#$%&*+/=?^_`~-]*@[A-Za-z0-9-]")
 
 MIN_RUN, MAX_RATIO = 20, 2.0
 _ENCODINGS: dict[str, tiktoken.Encoding] = {}
@@ -72,13 +82,63 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _inside_address(text: str, start: int, end: int) -> bool:
-    """Whether the white-space-delimited word around a run is a URL or an e-mail address."""
-    lo = max([m.end() + max(0, start - 300) for m in SPACE_OR_QUOTE.finditer(text[max(0, start - 300):start])],
-             default=max(0, start - 300))
-    m = SPACE_OR_QUOTE.search(text, end)
-    word = text[lo:m.start() if m else min(len(text), end + 300)]
-    return "://" in word or "@" in word or word.startswith("www.")
+def _is_digest(run: str) -> bool:
+    """Whether a run is a UUID or a digest of a known length."""
+    if UUID.match(run) or len(run) in HEX_LENGTHS and HEX_RUN.match(run):
+        return True
+    if not (m := LABELLED.match(run)):
+        return False
+    n, value = DIGEST_BYTES[m[1]], m[2]
+    return len(value) == 2 * n and bool(HEX_RUN.match(value)) or len(value.rstrip("=")) == (8 * n + 5) // 6
+
+
+def _after_date(run: str) -> int:
+    """Length of the valid date that a run begins with, or 0."""
+    if not (m := DATE.match(run)):
+        return 0
+    year, _, month, day = m.groups()[:4] if m[1] else m.groups()[4:]
+    try:
+        datetime.date(int(year), int(month), int(day))
+    except ValueError:
+        return 0
+    return m.end()
+
+
+def _word_start(text: str, at: int) -> int:
+    """Begin of the word around a place: after the last white space, quote, bracket or list mark before it."""
+    step, lo = 256, at
+    while lo > 0:
+        lo = max(0, at - step)
+        last = None
+        for last in BREAK.finditer(text, lo, at):
+            pass
+        if last:
+            return last.end()
+        step *= 4
+    return 0
+
+
+def _names_place(text: str, start: int, end: int) -> bool:
+    """Whether a run belongs to the host or path of a URL or to an e-mail address."""
+    lo = _word_start(text, start)
+    before = text[lo:start]
+    urls = list(SCHEME.finditer(text, lo, end))
+    if urls:
+        u = urls[-1]
+        m = BREAK.search(text, end)
+        rest = text[u.end():m.start() if m else len(text)]
+        at = start - u.end()  # of the run in ``rest``
+        authority = re.match(r"[^/?#]*", rest).group()
+        user = authority.rfind("@")
+        if user >= 0 and at <= user:
+            return False  # a user name or a password
+        q = re.search(r"[?#]", rest)
+        if q and at > q.start():
+            return False
+        return not WEBHOOK.search(rest, max(0, len(authority) - 1), q.start() if q else len(rest))
+    if before.endswith(":") and not before.lower().endswith("mailto:"):
+        return False  # user:password@host without a scheme
+    return bool(MAIL_REST.match(text, end)) or bool(re.search(r"@[A-Za-z0-9.-]*$", before))
 
 
 def token_spans(text: str, base: list[tuple[int, int, int]], vocab: str, min_run: int = MIN_RUN,
@@ -88,11 +148,15 @@ def token_spans(text: str, base: list[tuple[int, int, int]], vocab: str, min_run
     for m in RUN.finditer(text):
         s, e = m.span()
         run = m.group()
-        if e - s < min_run or not LETTER_AND_DIGIT.search(run) or UUID.match(run) or DIGEST.match(run) or DATE.match(run):
+        if e - s < min_run or _is_digest(run):
             continue
-        if any(s < b_end and b < e for b, _, b_end in base) or _inside_address(text, s, e):
+        if any(s < b_end and b < e for b, _, b_end in base):
             continue
-        if e - s <= max_ratio * len(_encoding(vocab).encode_ordinary(run)):
+        s += (skip := _after_date(run))
+        run = run[skip:]
+        if e - s < min_run or not LETTER.search(run):
+            continue
+        if e - s <= max_ratio * len(_encoding(vocab).encode_ordinary(run)) and not _names_place(text, s, e):
             out.append((s, 3, e))
     return out
 

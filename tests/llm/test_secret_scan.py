@@ -57,6 +57,28 @@ def test_random_strings_are_found_and_names_are_not():
         assert spans == base, plain
 
 
+R = "Xk29dkA03mZq81LpRtY7"
+
+
+@pytest.mark.parametrize("text,want", [
+    ("https://host.example.com/services/T0/B0/Xk29dkA03mZq81LpRtY7vBn4", "Xk29dkA03mZq81LpRtY7vBn4"),
+    (f"https://x.example.com/a?sig={R}&b=1", R), (f"postgres://user:{R}@host/db", R), (f"https://{R}@git.example.com/a", R),
+    (f"1,{R},me@example.com,x", R), (f"user:{R}@host", R), (f"me@example.com,{R}", R), (f"https://example.com,{R}", R),
+    ("QwJkLmZxPvRtYbNcHdFg", "QwJkLmZxPvRtYbNcHdFg"), (f"99999999{R}", f"99999999{R}"), (f"2024-01-15-{R}", R),
+    ("3F9A0C7E51B2D84E6A7F", "3F9A0C7E51B2D84E6A7F")])
+def test_secrets_inside_addresses_lists_and_identifiers(text, want):
+    at = text.index(want)
+    spans = S.scan_text(f"see {text} here", S.vocabulary_path())[1]
+    assert any(k == 3 and s <= 4 + at and 4 + at + len(want) <= e for s, k, e in spans), spans
+
+
+def test_known_identifiers_stay():
+    for plain in ("D41D8CD98F00B204E9800998ECF8427E", "DA39A3EE5E6B4B0D3255BFEF95601890AFD80709", f"https://{R}.example.com/x",
+                  f"https://u@example.com/a/{R}", f"{R}@example.com", "20240115103000_backup_of_the_table", "internationalization",
+                  "Donaudampfschifffahrtsgesellschaft", "--------------------------", "AbstractSingletonProxyFactoryBean"):
+        assert S.scan_text(f"see {plain} here", S.vocabulary_path())[1] == [], plain
+
+
 def test_rows_and_redaction(spark, edge_docs):
     text = 'é token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end'
     docs = edge_docs.unionByName(spark.createDataFrame([(50, text, "en", "z", len(text), 1, 1, 0.1, "q")], edge_docs.schema))
