@@ -44,9 +44,8 @@ TAG_OF = {t: i for i, ts in enumerate(TAG_GROUPS) for t in ts.split()}
 OTHER_TAG = len(TAG_GROUPS)
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|([^<]+|<)", re.S)
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)|([^<]+|<)", re.S)
+TAG_STOP = re.compile(r">|=\s*+([\"'])")
 ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role|aria-label|aria-hidden|style|hidden|data-main)(?![\w-])(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 DIGITS = re.compile(r"[0-9]")
 WORD = re.compile(r"[a-zA-Z][a-z]*|[A-Z]+")
@@ -88,6 +87,34 @@ def attribute_groups(attrs: str) -> tuple[int, bool]:
     return bits, main
 
 
+class TagEnds:
+    """Finds the ``>`` of tags: past quoted attribute values of any length, or the first one if a
+    quote or the tag isn't closed.  What was found to lead nowhere is not searched again."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.unclosed = {'"': len(page), "'": len(page)}
+        self.dead: set[int] = set()
+
+    def find(self, at: int) -> int:
+        """Place of the ``>`` of the tag whose name ends at ``at``, or -1."""
+        if at > self.last:
+            return -1
+        i, passed = at, []
+        while i <= self.last and i not in self.dead:
+            m = TAG_STOP.search(self.page, i)
+            if m[1] is None:
+                return m.start()
+            k = self.page.find(m[1], m.end()) if m.end() < self.unclosed[m[1]] else -1
+            if k < 0:
+                self.unclosed[m[1]] = min(self.unclosed[m[1]], m.end())
+                break
+            i = k + 1
+            passed.append(i)
+        self.dead.update(passed)
+        return self.page.find(">", at)
+
+
 def parse(page: str) -> Dom:
     """The page's blocks.  Unclosed, misnested and missing tags are tolerated; markup in comments,
     scripts, styles and other raw elements is left out."""
@@ -96,7 +123,7 @@ def parse(page: str) -> Dom:
     stack: list[tuple[str, int]] = [("body", root)]  # (tag, node); inline elements share their block's node
     run: list[str] = []
     linked = links = 0
-    at, end, low = 0, len(page), None
+    at, end, low, tag_ends = 0, len(page), None, TagEnds(page)
 
     def close_run() -> None:
         nonlocal linked
@@ -118,17 +145,20 @@ def parse(page: str) -> Dom:
     while at < end:
         m = TOKEN.match(page, at)
         at = m.end()
-        if m[7] is not None:
-            t = html.unescape(m[7]) if "&" in m[7] else m[7]
+        if m[2]:
+            stop = tag_ends.find(at)
+            at = m.start() + 1 if stop < 0 else stop + 1
+        if m[3] is not None or m[2] and stop < 0:
+            t = m[3] or "<"
+            t = html.unescape(t) if "&" in t else t
             run.append(t)
             if links:
                 linked += len(t.strip())
             continue
-        tag = m[2] or m[5]
-        if tag is None:
+        if m[2] is None:
             continue
-        tag = tag.lower()
-        if m[1] or m[4]:  # an end tag closes its element if that is open
+        tag, attrs = m[2].lower(), page[m.end():stop]
+        if m[1]:  # an end tag closes its element if that is open
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
                     pop_to(k)
@@ -152,7 +182,7 @@ def parse(page: str) -> Dom:
                 dom.controls[stack[-1][1]] += 1
             continue
         if tag == "html" or tag == "body" or tag == "head":
-            bits, _ = attribute_groups(m[3] or m[6] or "")
+            bits, _ = attribute_groups(attrs)
             dom.groups[root] |= bits
             continue
         if tag in CLOSES_P:
@@ -184,7 +214,7 @@ def parse(page: str) -> Dom:
             stack.append((tag, here))
             continue
         close_run()
-        bits, main = attribute_groups(m[3] or m[6] or "")
+        bits, main = attribute_groups(attrs)
         stack.append((tag, dom.add(here, tag, bits, main)))
     close_run()
     return dom

@@ -4,6 +4,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -66,6 +67,22 @@ def test_reader(page, want):
     assert runs(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<p data-x=\"" + "x" * 5000 + " a > leaked words\">article</p>", ["article"]),
+    ("<p data-x='<b>" + "y>" * 9000 + "' class=\"a>b\">article</p>", ["article"]),
+    ("<p data-x = \"" + "x>" * 5000 + "\" data-y='>'>a</p><p title=\"open>b</p>", ["a", "b"]),
+    ("<p don't>it's</p>", ["it's"]), ("<p a=\"b\"", ["<p a=\"b\""])])
+def test_long_and_open_attribute_values(page, want):
+    assert runs(page) == want
+
+
+@pytest.mark.parametrize("page", ["<p a=\">\" " * 60000, "<p a=\"" * 60000 + ">", "<p a='\" b=\"'" * 60000, "<a " * 60000])
+def test_open_tags_take_linear_time(page):
+    start = time.process_time()
+    D.parse(page)
+    assert time.process_time() - start < 5
+
+
 def random_dom(rng, n):
     dom = D.Dom()
     dom.add(-1, "body")
