@@ -9,14 +9,17 @@ from dataclasses import dataclass, field
 import numpy as np
 
 # ---- fixed values of the HTML language
+TO_THE_END = frozenset("script style title textarea xmp".split())  # unclosed ones take the rest of the page
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select object canvas noframes xmp".split())
+RAW = frozenset("script style textarea title template iframe svg select canvas noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr br input".split())
+    "span strike strong sub sup time tt u var wbr br input noscript object math semantics mrow mi mn mo ms mtext mspace msup msub "
+    "msubsup mmultiscripts mprescripts none mfrac msqrt mroot mover munder munderover mfenced menclose mstyle mpadded mphantom "
+    "merror maction mtable mtr mtd".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
-    "hgroup hr main menu nav ol p pre section table ul".split())
+    "hgroup hr main menu nav ol p pre section table ul xmp".split())
 CLOSED_BY_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                   "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table article section div body td th".split())  # an implied end tag doesn't leave these
@@ -45,6 +48,7 @@ OTHER_TAG = len(TAG_GROUPS)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)|([^<]+|<)", re.S)
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in RAW | {"xmp"}}
 TAG_STOP = re.compile(r">|=\s*+([\"'])")
 ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role|aria-label|aria-hidden|style|hidden|data-main)(?![\w-])(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 DIGITS = re.compile(r"[0-9]")
@@ -117,13 +121,15 @@ class TagEnds:
 
 def parse(page: str) -> Dom:
     """The page's blocks.  Unclosed, misnested and missing tags are tolerated; markup in comments,
-    scripts, styles and other raw elements is left out."""
+    scripts, styles and other raw elements is left out.  Formulas, objects and noscript parts are read like
+other elements; the content of xmp is plain text."""
     dom = Dom()
     root = dom.add(-1, "body")
     stack: list[tuple[str, int]] = [("body", root)]  # (tag, node); inline elements share their block's node
     run: list[str] = []
     linked = links = 0
-    at, end, low, tag_ends = 0, len(page), None, TagEnds(page)
+    at, end, tag_ends = 0, len(page), TagEnds(page)
+    never_closed: set[str] = set()
 
     def close_run() -> None:
         nonlocal linked
@@ -135,6 +141,15 @@ def parse(page: str) -> Dom:
                 dom.text[i], dom.linked[i] = t, min(linked, len(t))
         linked = 0
 
+    def raw_end(tag: str) -> tuple[int, int]:
+        """(end of a raw element's content, place after its end tag); (-1, -1) if there is no end tag."""
+        m = None if tag in never_closed else RAW_END[tag].search(page, at)
+        if not m:
+            never_closed.add(tag)
+            return -1, -1
+        stop = page.find(">", m.end())
+        return m.start(), end if stop < 0 else stop + 1
+
     def pop_to(k: int) -> None:
         nonlocal links
         if any(t not in INLINE for t, _ in stack[k:]):
@@ -167,16 +182,11 @@ def parse(page: str) -> Dom:
                     break  # a misplaced inline end tag leaves blocks open
             continue
         if tag in RAW:
-            if low is None:
-                low = page.lower()
-                if len(low) != end:  # a few letters change length: search case by case
-                    low = page
-            k = low.find("</" + tag, at)
-            stop = page.find(">", k) if k >= 0 else -1
-            if k < 0:
-                at = end if tag in ("script", "style", "title", "textarea") else at
-            else:
-                at = end if stop < 0 else stop + 1
+            k, after = raw_end(tag)
+            if k >= 0:
+                at = after
+            elif tag in TO_THE_END:
+                at = end
             dom.tags[stack[-1][1]] += 1
             if tag in ("select", "textarea"):
                 dom.controls[stack[-1][1]] += 1
@@ -216,6 +226,15 @@ def parse(page: str) -> Dom:
         close_run()
         bits, main = attribute_groups(attrs)
         stack.append((tag, dom.add(here, tag, bits, main)))
+        if tag == "xmp":
+            k, after = raw_end(tag)
+            t = page[at:k] if k >= 0 else page[at:]
+            run.append(t)
+            if links:
+                linked += len(t.strip())
+            at = after if k >= 0 else end
+            close_run()
+            stack.pop()
     close_run()
     return dom
 

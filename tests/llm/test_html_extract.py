@@ -76,6 +76,15 @@ def test_long_and_open_attribute_values(page, want):
     assert runs(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("\u0130<SCRIPT>x</SCRIPT><p>a</p><Style>p{}</STYLE><p>b</p>", ["\u0130", "a", "b"]),
+    ("\u0130<TITLE>t</TITLE><p>a</p>", ["\u0130", "a"]), ("<script>'</scripts>'</script>a", ["a"]), ("<style>a", []),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", ["so x=2 holds"]), ("<p>a<xmp><b>c</b> &amp;</XMP>d", ["a", "<b>c</b> &amp;", "d"]),
+    ("<p>see <object data=x>the file</object></p>", ["see the file"]), ("<p>a <noscript>b</noscript></p>", ["a b"])])
+def test_raw_elements(page, want):
+    assert runs(page) == want
+
+
 @pytest.mark.parametrize("page", ["<p a=\">\" " * 60000, "<p a=\"" * 60000 + ">", "<p a='\" b=\"'" * 60000, "<a " * 60000])
 def test_open_tags_take_linear_time(page):
     start = time.process_time()
