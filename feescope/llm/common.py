@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ import feescope
 from feescope.session import materialize
 
 _SHIPPED: set[str] = set()
+_KEPT: dict[tuple, object] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +49,26 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def kept(key: tuple, load):
+    """``load()``, remembered in this Python worker until another key is asked for.
+
+    A worker lives through many stages; it holds one large object (a tokenizer) at a time.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = load()
+    return _KEPT[key]
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Arrow's pool and, where there is glibc, its heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def hash_unit(*cols: Column) -> Column:
     """A uniform double in (0, 1) that depends only on the columns' values."""
     return (F.shiftrightunsigned(F.xxhash64(*cols), 12).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))

@@ -30,9 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feescope.llm.common import ship_code
+from feescope.llm.common import release_memory, ship_code
 
 PROFILE_SIZE = 300
+SLICE_CHARS = 65_536  # of a text expanded to n-grams at once
+HELD_CODES = 500_000  # distinct n-grams that a task sums before it passes them on
 _FOLD: list[np.ndarray] = []
 
 
@@ -49,51 +51,98 @@ def fold_table() -> np.ndarray:
     return _FOLD[0]
 
 
+def ngram_parts(text: str) -> Iterator[np.ndarray]:
+    """Codes of all one- to three-letter n-grams (21 bits a letter, 0 is the blank), slice by slice.
+
+    A slice starts with the last two symbols before it, and only n-grams that end behind
+    those are its own, so slicing changes nothing.
+    """
+    before = np.zeros(1, np.int64)
+    for lo in range(0, len(text) + 1, SLICE_CHARS):
+        part = text[lo:lo + SLICE_CHARS]
+        x = fold_table()[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
+        x = np.concatenate((before, x, np.zeros(int(lo + SLICE_CHARS > len(text)), np.int64)))
+        n = len(before)
+        fresh = np.concatenate((np.ones(n, bool), (x[n:] != 0) | (x[n - 1:-1] != 0)))  # one blank between words
+        x = x[fresh]
+        one = x[n:][x[n:] != 0]
+        a, b = x[n - 1:-1], x[n:]
+        two = (a << 21) | b
+        c = x[2:] if n == 1 else b
+        a, b = x[len(x) - len(c) - 2:-2], x[len(x) - len(c) - 1:-1]
+        three = (a << 42 | b << 21 | c)[b != 0]
+        # a three-letter code that starts with a blank would equal a two-letter one: those are negative
+        yield np.concatenate((one, -two - 1, three))
+        before = x[-2:]
+
+
 def ngrams(text: str) -> np.ndarray:
-    """Codes of all one- to three-letter n-grams (21 bits a letter, 0 is the blank)."""
-    x = fold_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    x = np.concatenate(([0], x, [0])).astype(np.int64)
-    x = x[np.concatenate(([True], (x[1:] != 0) | (x[:-1] != 0)))]  # one blank between words
-    one = x[x != 0]
-    two = (x[:-1] << 21) | x[1:]
-    two = two[(x[:-1] != 0) | (x[1:] != 0)]
-    a, b, c = x[:-2], x[1:-1], x[2:]
-    three = (a << 42 | b << 21 | c)[b != 0]
-    # a three-letter code that starts with a blank would equal a two-letter one: those are negative
-    return np.concatenate((one, -two - 1, three))
+    return np.concatenate(list(ngram_parts(text)))
 
 
 def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(codes, return_counts=True)
 
 
-def ranked(codes: np.ndarray, size: int) -> np.ndarray:
+def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of two counts."""
+    u, at = np.unique(np.concatenate((a[0], b[0])), return_inverse=True)
+    n = np.zeros(len(u), np.int64)
+    np.add.at(n, at, np.concatenate((a[1], b[1])))
+    return u, n
+
+
+def text_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """N-gram codes of a text and their counts; beside one slice only distinct n-grams are held."""
+    out = None
+    for codes in ngram_parts(text):
+        out = counted(codes) if out is None else merged(out, counted(codes))
+    return out
+
+
+def most_frequent(u: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     """The ``size`` most frequent codes, most frequent first, ties to the smaller code."""
-    u, n = counted(codes)
     if len(u) > size:  # drop what can't be among them before sorting
         least = np.partition(n, len(n) - size)[len(n) - size]
         u, n = u[n >= least], n[n >= least]
     return u[np.lexsort((u, -n))][:size]
 
 
+def ranked(codes: np.ndarray, size: int) -> np.ndarray:
+    return most_frequent(*counted(codes), size)
+
+
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, code, n) for each batch, already summed within it."""
+    """(lang, code, n), summed within the task as far as ``HELD_CODES`` allows."""
+    sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    waiting: dict[str, list[np.ndarray]] = {}
+    held = 0
+
+    def fold() -> None:
+        for lang, parts in waiting.items():
+            now = counted(np.concatenate(parts))
+            sums[lang] = merged(sums[lang], now) if lang in sums else now
+        waiting.clear()
+
     for b in batches:
-        by: dict[str, list[np.ndarray]] = {}
-        held = 0
         for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
-            t = text.as_py()
-            by.setdefault(lang, []).append(ngrams(t))
-            held += len(t)
-            if held > 4_000_000:  # bounded memory whatever the lengths
-                yield from _partial(by)
-                by, held = {}, 0
-        yield from _partial(by)
-
-
-def _partial(by: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    for lang, parts in by.items():
-        u, n = counted(np.concatenate(parts))
+            for codes in ngram_parts(text.as_py()):
+                waiting.setdefault(lang, []).append(codes)
+                held += len(codes)
+                if held > 3 * SLICE_CHARS:
+                    fold()
+                    held = 0
+        if sum(len(u) for u, _ in sums.values()) > HELD_CODES:
+            yield from _rows(sums)
+            sums.clear()
+    fold()
+    yield from _rows(sums)
+    sums.clear()
+    release_memory()
+
+
+def _rows(sums: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for lang, (u, n) in sums.items():
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(u), pa.string()), pa.array(u), pa.array(n.astype(np.int64))],
             names=["lang", "code", "n"])
@@ -134,7 +183,7 @@ class RankModel:
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs:
             return "und", 0.0
-        own = ranked(ngrams(text), self.size)
+        own = most_frequent(*text_counts(text), self.size)
         if not len(own):
             return "und", 0.0
         at = np.minimum(np.searchsorted(self.codes, own), len(self.codes) - 1)
@@ -157,6 +206,7 @@ def predict_languages(docs: DataFrame, profiles: dict[str, list[int]], profile_s
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
@@ -176,5 +226,6 @@ def keep_identified(docs: DataFrame, profiles: dict[str, list[int]], min_score:
                 lang, score = model.predict(x.as_py())
                 keep.append(lang != "und" and score >= min_score and (languages is None or lang in languages))
             yield b.filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)

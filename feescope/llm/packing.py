@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feescope.llm.common import ship_code
+from feescope.llm.common import kept, release_memory, ship_code
 from feescope.session import materialize
 
 CAPACITY = 2048
@@ -59,10 +59,13 @@ class ByteLevelTokenizer:
     merges four times as fast; that is only the same tokenization if merges are
     ranked like ids, which is checked here.  Very long texts are encoded in
     parts, cut before a blank between two non-space characters: the byte-level
-    pre-tokenizer never joins characters across such a place.
+    pre-tokenizer never joins characters across such a place.  Long runs of white
+    space are merged alone, without the pre-tokenizer: all of a run but its last
+    character (all of it at the text's end) is one piece in any context.
     """
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
+    WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")  # White_Space
 
     def __init__(self, path: str, part_chars: int = 1_000_000, added: bool = False):
         with open(path, encoding="utf-8") as f:
@@ -94,6 +97,15 @@ class ByteLevelTokenizer:
         return out
 
     def _encode(self, text: str, out: array) -> None:
+        lo = 0
+        for m in self.WHITE.finditer(text):
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            self._encode_parts(text[lo:m.start()], out)
+            out.extend(self.bpe._encode_single_piece(text[m.start():end]))
+            lo = end
+        self._encode_parts(text[lo:] if lo else text, out)
+
+    def _encode_parts(self, text: str, out: array) -> None:
         lo = 0
         while len(text) - lo > self.part:
             m = self.CUT.search(text, lo + self.part)
@@ -116,13 +128,8 @@ def byte_alphabet() -> dict[int, str]:
     return out
 
 
-_TOKENIZERS: dict[str, ByteLevelTokenizer] = {}
-
-
 def _tokenizer(path: str) -> ByteLevelTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ByteLevelTokenizer(path, added=True)
-    return _TOKENIZERS[path]
+    return kept(("byte-level", path), lambda: ByteLevelTokenizer(path, added=True))
 
 
 def tokenizer_path() -> str:
@@ -148,6 +155,7 @@ def _pieces(path: str, capacity: int):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
                                              names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        release_memory()
     return run
 
 

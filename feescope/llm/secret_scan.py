@@ -24,8 +24,11 @@ from __future__ import annotations
 
 import base64
 import datetime
+import functools
 import hashlib
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,13 +36,12 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feescope.llm.common import ship_code
+from feescope.llm.common import kept, release_memory, ship_code
 
 KINDS = ("assign", "access", "hex", "token")  # ties at one start go in this order
 ASSIGN = re.compile(r"""(?ai:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 LETTER = re.compile(r"[A-Za-z]")
 UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$")
 HEX_RUN = re.compile(r"[0-9a-fA-F]+$")
@@ -48,21 +50,26 @@ LABELLED = re.compile(r"(sha(?:1|224|256|384|512)|md5)[-_=](.*)$")
 DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha224": 28, "sha256": 32, "sha384": 48, "sha512": 64}
 DATE = re.compile(r"([0-9]{4})([-_]?)([0-9]{2})\2([0-9]{2})(?![0-9])|([0-9]{4})()([0-9]{2})([0-9]{2})(?=[0-9]{6}(?![0-9]))")
 BREAK = re.compile(r"[\s\"'<>(),;|{}\[\]]")
-SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://|www\.")
-WEBHOOK = re.compile(r"/(?:web)?hooks?/|/services/T[A-Z0-9]*/B[A-Z0-9]*/", re.I)
-MAIL_REST = re.compile(r"[A-Za-z0-9.!#$%&*+/=?^_`~-]*@[A-Za-z0-9-]")
+SCHEME_NAME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*$")
+WWW = re.compile(r"www\.")
+AT = re.compile("@")
+AUTHORITY_END = re.compile(r"[/?#]")
+QUERY = re.compile(r"[?#]")
+WEBHOOK = re.compile(r"/(?=(?:web)?hooks?/|services/T[A-Z0-9]*/B[A-Z0-9]*/)", re.I)
+NOT_LOCAL = re.compile(r"[^A-Za-z0-9.!#$%&*+/=?^_`~@-]")
+NOT_HOST = re.compile(r"[^A-Za-z0-9.-]")
+HOST_START = re.compile(r"[A-Za-z0-9-]")
 
 MIN_RUN, MAX_RATIO = 20, 2.0
-_ENCODINGS: dict[str, tiktoken.Encoding] = {}
 
 
 def _encoding(path: str) -> tiktoken.Encoding:
-    if path not in _ENCODINGS:
+    def load() -> tiktoken.Encoding:
         from public_tokenizers import PATTERN
         with open(path, "rb") as f:
             ranks = {base64.b64decode(k): int(v) for k, v in map(bytes.split, f)}
-        _ENCODINGS[path] = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODINGS[path]
+        return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return kept(("tiktoken", path), load)
 
 
 def vocabulary_path() -> str:
@@ -104,59 +111,107 @@ def _after_date(run: str) -> int:
     return m.end()
 
 
-def _word_start(text: str, at: int) -> int:
-    """Begin of the word around a place: after the last white space, quote, bracket or list mark before it."""
-    step, lo = 256, at
-    while lo > 0:
-        lo = max(0, at - step)
-        last = None
-        for last in BREAK.finditer(text, lo, at):
-            pass
-        if last:
-            return last.end()
-        step *= 4
-    return 0
-
-
-def _names_place(text: str, start: int, end: int) -> bool:
-    """Whether a run belongs to the host or path of a URL or to an e-mail address."""
-    lo = _word_start(text, start)
-    before = text[lo:start]
-    urls = list(SCHEME.finditer(text, lo, end))
-    if urls:
-        u = urls[-1]
-        m = BREAK.search(text, end)
-        rest = text[u.end():m.start() if m else len(text)]
-        at = start - u.end()  # of the run in ``rest``
-        authority = re.match(r"[^/?#]*", rest).group()
-        user = authority.rfind("@")
-        if user >= 0 and at <= user:
-            return False  # a user name or a password
-        q = re.search(r"[?#]", rest)
-        if q and at > q.start():
+def _positions(pattern: re.Pattern, text: str, lo: int, hi: int) -> array:
+    return array("q", (m.start() for m in pattern.finditer(text, lo, hi)))
+
+
+def _next(places: array, at: int, default: int) -> int:
+    i = bisect_left(places, at)
+    return places[i] if i < len(places) else default
+
+
+class _Word:
+    """A stretch without white space, quotes, brackets and list marks, read once for all runs in it.
+
+    Every question about a run is a search in sorted positions, so a word of any
+    length costs about as much as reading it.
+    """
+
+    def __init__(self, text: str, lo: int, hi: int):
+        self.text, self.lo, self.hi = text, lo, hi
+        ends, at = [], text.find("://", lo, hi)
+        while at >= 0:
+            name = SCHEME_NAME.search(text[max(lo, at - 64, ends[-1] if ends else 0):at])
+            if name:
+                ends.append(at + 3)
+            at = text.find("://", at + 3, hi)
+        self.schemes = sorted(ends + [m.end() for m in WWW.finditer(text, lo, hi)])
+        self.ats = _positions(AT, text, lo, hi)
+        self.not_local = _positions(NOT_LOCAL, text, lo, hi) if self.ats else None
+        self.not_host = _positions(NOT_HOST, text, lo, hi) if self.ats else None
+        if self.schemes:
+            self.ends = _positions(AUTHORITY_END, text, lo, hi)
+            self.queries = _positions(QUERY, text, lo, hi)
+            self.hooks = _positions(WEBHOOK, text, lo, hi)
+
+    def names_place(self, start: int, end: int) -> bool:
+        """Whether a run belongs to the host or path of a URL or to an e-mail address."""
+        text = self.text
+        if i := bisect_right(self.schemes, end):
+            at = self.schemes[i - 1]
+            authority = _next(self.ends, at, self.hi)
+            i = bisect_left(self.ats, authority)
+            query = _next(self.queries, authority, self.hi)
+            if i and self.ats[i - 1] >= max(at, start) or start > query:
+                return False  # a user name, a password, a query or a fragment
+            return _next(self.hooks, max(at, authority - 1), query) >= query  # webhooks hold keys in their paths
+        if text[start - 1:start] == ":" and start > self.lo and text[max(self.lo, start - 7):start].lower() != "mailto:":
+            return False  # user:password@host without a scheme
+        if not self.ats:
             return False
-        return not WEBHOOK.search(rest, max(0, len(authority) - 1), q.start() if q else len(rest))
-    if before.endswith(":") and not before.lower().endswith("mailto:"):
-        return False  # user:password@host without a scheme
-    return bool(MAIL_REST.match(text, end)) or bool(re.search(r"@[A-Za-z0-9.-]*$", before))
+        i = bisect_left(self.ats, end)
+        if i < len(self.ats):  # the local part goes on to an '@' before a host
+            at = self.ats[i]
+            j = bisect_left(self.not_local, end)
+            if (j == len(self.not_local) or self.not_local[j] >= at) and HOST_START.match(text, at + 1):
+                return True
+        i = bisect_left(self.ats, start)
+        if i:  # a host goes on from an '@'
+            j = bisect_right(self.not_host, self.ats[i - 1])
+            return j == len(self.not_host) or self.not_host[j] >= start
+        return False
+
+
+class _Words:
+    """The words of one text, asked for from left to right."""
+
+    def __init__(self, text: str):
+        self.text, self.breaks, self.word = text, None, None
+
+    def around(self, start: int, end: int) -> _Word:
+        w = self.word
+        if w is None or not w.lo <= start <= end <= w.hi:
+            if self.breaks is None:
+                self.breaks = array("q", (m.start() for m in BREAK.finditer(self.text)))
+            i, j = bisect_left(self.breaks, start), bisect_left(self.breaks, end)
+            w = self.word = _Word(self.text, self.breaks[i - 1] + 1 if i else 0,
+                                  self.breaks[j] if j < len(self.breaks) else len(self.text))
+        return w
+
+
+@functools.lru_cache(maxsize=8)
+def _run_pattern(min_run: int) -> re.Pattern:
+    return re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % max(1, min_run))
 
 
 def token_spans(text: str, base: list[tuple[int, int, int]], vocab: str, min_run: int = MIN_RUN,
                 max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int]]:
     """Spans of random-looking strings outside the base spans."""
-    out = []
-    for m in RUN.finditer(text):
+    out, words = [], _Words(text)
+    taken = iter(base)  # sorted by start
+    covered, at = -1, next(taken, None)  # the furthest end of those that start before the run's end
+    for m in _run_pattern(min_run).finditer(text):
         s, e = m.span()
+        while at and at[0] < e:
+            covered, at = max(covered, at[2]), next(taken, None)
         run = m.group()
-        if e - s < min_run or _is_digest(run):
-            continue
-        if any(s < b_end and b < e for b, _, b_end in base):
+        if s < covered or _is_digest(run):
             continue
         s += (skip := _after_date(run))
         run = run[skip:]
         if e - s < min_run or not LETTER.search(run):
             continue
-        if e - s <= max_ratio * len(_encoding(vocab).encode_ordinary(run)) and not _names_place(text, s, e):
+        if e - s <= max_ratio * len(_encoding(vocab).encode_ordinary(run)) and not words.around(s, e).names_place(s, e):
             out.append((s, 3, e))
     return out
 
@@ -182,6 +237,7 @@ def _scan(vocab: str, min_run: int, max_ratio: float):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *count, pa.array(sha, pa.string()), pa.array(every, pa.string())],
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+        release_memory()
     return run
 
 
@@ -229,6 +285,7 @@ def redact_secrets(docs: DataFrame, vocab: str | None = None, min_run: int = MIN
                     n = cols[size].to_pylist()
                     cols[size] = pa.array([len(changed[i]) if i in changed else x for i, x in enumerate(n)], cols[size].type)
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feescope.llm.common import hash_unit, ship_code
+from feescope.llm.common import hash_unit, release_memory, ship_code
 from feescope.llm.language_id import fold_table
 
 ORDER = 5
@@ -43,6 +43,8 @@ DISCOUNT = 0.75
 WORD_MARGIN = 3.0       # nats
 CURVE_SHARE = 0.2      # of the training rows at most: the curve's sample
 MAX_CURVE_ROWS = 50_000
+FOLD_CHARS = 200_000   # windows of so many letters wait before a task sums them
+HELD_CODES = 500_000   # distinct windows that a task sums before it passes them on
 BROADCAST_ROWS = 2_000_000  # up to so many labelled rows the texts are read in place, beyond they are shuffled
 _SYMBOLS: list[np.ndarray] = []
 
@@ -181,30 +183,43 @@ COUNTS = ("ordinary", "toxic", "curve_ordinary", "curve_toxic")  # the last two:
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[list] = [[] for _ in COUNTS]
-    chars = 0
+    """(code, *COUNTS), summed within the task as far as ``HELD_CODES`` allows."""
+    none = np.zeros(0, np.int64)
+    codes, sums = none, [none] * len(COUNTS)
+    waiting: list[list] = [[] for _ in COUNTS]
+    held = 0
+
+    def fold() -> None:
+        nonlocal codes, sums
+        found = [np.unique(np.concatenate([none, *w]), return_counts=True) for w in waiting]
+        every = np.unique(np.concatenate([codes, *(u for u, _ in found)]))
+        new = []
+        for old, (u, k) in zip(sums, found):
+            n = np.zeros(len(every), np.int64)
+            n[np.searchsorted(every, codes)] = old
+            n[np.searchsorted(every, u)] += k
+            new.append(n)
+        codes, sums = every, new
+        for w in waiting:
+            w.clear()
 
     def out() -> pa.RecordBatch:
-        found = [np.unique(np.concatenate([np.zeros(0, np.int32), *h]), return_counts=True) for h in held]
-        codes = np.unique(np.concatenate([u for u, _ in found]))
-        columns = []
-        for u, k in found:
-            n = np.zeros(len(codes), np.int64)
-            n[np.searchsorted(codes, u)] = k
-            columns.append(pa.array(n))
-        for h in held:
-            h.clear()
-        return pa.RecordBatch.from_arrays([pa.array(codes), *columns], names=["code", *COUNTS])
+        return pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), *map(pa.array, sums)], names=["code", *COUNTS])
 
     for b in batches:
         for toxic, curve, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
             t = text.as_py()
-            held[toxic + 2 * curve].append(letter_grams(t))
-            chars += len(t)
-            if chars > 4_000_000:
-                yield out()
-                chars = 0
+            waiting[toxic + 2 * curve].append(letter_grams(t))
+            held += len(t)
+            if held > FOLD_CHARS:
+                fold()
+                held = 0
+        if len(codes) > HELD_CODES:
+            yield out()
+            codes, sums = none, [none] * len(COUNTS)
+    fold()
     yield out()
+    release_memory()
 
 
 def training_labels(labels: DataFrame, max_train_rows: int | None = None) -> tuple[DataFrame, int]:

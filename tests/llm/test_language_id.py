@@ -31,6 +31,16 @@ def test_ngrams(text):
     assert sorted(n.tolist()) == sorted(plain_grams(text).values())
 
 
+@pytest.mark.parametrize("slice_chars", [1, 2, 3, 7])
+def test_slices_change_nothing(monkeypatch, slice_chars):
+    text = "  Ab ab 1 日本語 İz--été a  " * 3
+    whole = L.text_counts(text)
+    monkeypatch.setattr(L, "SLICE_CHARS", slice_chars)
+    for got, want in zip(L.text_counts(text), whole):
+        assert got.tolist() == want.tolist()
+    assert L.ngrams("").tolist() == []
+
+
 def test_rank_distance_is_the_plain_one():
     texts = {"x": "the cat and the dog and the bird", "y": "der hund und die katze und der vogel", "z": "le chat et le chien et la"}
     size = 20

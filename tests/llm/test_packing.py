@@ -47,6 +47,16 @@ def test_added_tokens_are_those_of_tokenizers(spark):
     check_pieces(rows, docs, lambda text: plain.encode(text, add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("char", [" ", "\t", "\n", "\u3000"])
+def test_long_white_space(char):
+    plain = Tokenizer.from_file(P.tokenizer_path())
+    tok = P.ByteLevelTokenizer(P.tokenizer_path(), added=True)
+    assert len(tok.ids(char * 5_000_000)) > 1_000_000  # the pattern alone overflows its stack here
+    for n in (999, 1000, 1001, 70_000):
+        for text in (char * n, f"a{char * n}b", f"a.{char * n}", f"{char * n}1 x{char * n}<|endoftext|>{char * n}<|endoftext|> b"):
+            assert tok.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def check_pieces(rows, docs, reference, capacity=2048):
     ids = {d: reference(t or "") + [1] for d, t in docs}
     cover, sequences = {}, {}

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import pytest
 
@@ -79,6 +80,19 @@ def test_known_identifiers_stay():
         assert S.scan_text(f"see {plain} here", S.vocabulary_path())[1] == [], plain
 
 
+@pytest.mark.parametrize("mark", [".", ",", "/", "@", "://", "www.", ".a@b.", " "])
+def test_long_words_take_linear_time(mark):
+    rng = random.Random(7)
+    text = mark.join("".join(rng.choice(string.ascii_letters + string.digits) for _ in range(24)) for _ in range(4000))
+    begin = time.perf_counter()
+    spans = S.scan_text(text, S.vocabulary_path())[1]
+    assert time.perf_counter() - begin < 2  # cubic before: hours
+    assert (len(spans) > 3800) == (mark in ". ,")
+    many = "0123456789abcdef01234567 " * 20000
+    assert len(S.scan_text(many, S.vocabulary_path())[1]) == 20000
+    assert time.perf_counter() - begin < 4
+
+
 def test_rows_and_redaction(spark, edge_docs):
     text = 'é token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" end'
     docs = edge_docs.unionByName(spark.createDataFrame([(50, text, "en", "z", len(text), 1, 1, 0.1, "q")], edge_docs.schema))
