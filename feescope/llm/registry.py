@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feescope.llm import (
     ann_search, bpe_reuse, hnsw_dedup, html_extract, language_id, mixing, oracles, packing, periodic_runs,
-    secret_scan, simhash_dedup, toxicity, warc,
+    secret_scan, simhash_dedup, token_alignment, toxicity, warc,
 )
 from feescope.llm.common import table
 
@@ -69,6 +69,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_reuse.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -79,7 +83,8 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_html_extraction, op3_toxicity, op4_secret_scan, op5_warc, op6_source_mixing,
-    op7_nearest_neighbours, op8_embedding_dedup, op9_simhash_dedup, op10_packing, op12_bpe_reuse, op13_periodic_runs)}
+    op7_nearest_neighbours, op8_embedding_dedup, op9_simhash_dedup, op10_packing,
+    op11_token_alignment, op12_bpe_reuse, op13_periodic_runs)}
 
 ORACLES: dict[str, str] = {
     "op5_warc": oracles.WARC,
