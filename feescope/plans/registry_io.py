@@ -3,6 +3,7 @@ a fresh folder under the session's checkpoint folder and reads it back."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feescope import sinks as K
@@ -117,6 +118,76 @@ def q_load_part_csv(spark, sf):
                                                  "congestion_score double"))
 
 
+@register("load_part_csv_by_name", REGISTRY["hourly_congestion"].sql)
+def q_load_part_csv_by_name(spark, sf):
+    """The same table in three part files whose headers are in three orders, one with a column more."""
+    path = K.scratch_path(spark, "hourly-parts")
+    hourly = R.hourly_congestion(ev_clean(spark, sf), E)
+    columns = hourly.columns
+    for i, order in enumerate((columns, columns[::-1], [*columns[3:], "hour_of_day", "tx_count", "avg_gas_gwei"])):
+        part = hourly.where(F.col("hour_of_day") % 3 == i).select(*order)
+        K.write_result_csv(part.withColumn("note", F.lit("x,y")) if i == 1 else part, path, mode="append")
+    return rounded(RS.load_part_csv(spark, path, "hour_of_day int, tx_count long, avg_gas_gwei double, "
+                                                 "p95_gas_gwei double, avg_tx_cost_gwei double, total_gas_used long, "
+                                                 "congestion_score double"))
+
+
+EVENT_PARTS = "event_id long, ts_day date, value double"
+
+
+def _event_parts(spark, sf) -> str:
+    """Events as three CSV part files: two column orders and one that lacks ``value``; every seventh row has a
+    cell too many, every eleventh a value that is no number."""
+    path = K.scratch_path(spark, "event-parts")
+    events = spark.read.parquet(f"{sf}/events.parquet").select(
+        "event_id", F.to_date("ts").cast("string").alias("day"),
+        F.when(F.col("event_id") % 11 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value"),
+        F.when(F.col("event_id") % 7 == 0, F.lit(",more")).otherwise("").alias("rest"))
+    for i, (header, line) in enumerate((("event_id,ts_day,value", ("event_id", "day", "value")),
+                                        ("value,event_id,ts_day", ("value", "event_id", "day")),
+                                        ("event_id,ts_day", ("event_id", "day")))):
+        rows = events.where(F.col("event_id") % 3 == i)
+        K.append_csv_lines(rows.select(F.concat(F.concat_ws(",", *line), "rest")), header, path)
+    return path
+
+
+@register(
+    "part_rows_kept",
+    "SELECT event_id, CAST(ts AS DATE) AS ts_day, CAST(value AS FLOAT) AS value FROM events "
+    "WHERE event_id % 3 <> 2 AND event_id % 7 <> 0 AND event_id % 11 <> 0",
+)
+def q_part_rows_kept(spark, sf):
+    """The rows of part files in two header orders that fit their columns."""
+    return rounded(RS.split_parts(spark, _event_parts(spark, sf), EVENT_PARTS)[0])
+
+
+@register(
+    "part_rows_rejected",
+    """SELECT CAST(row_number() OVER (ORDER BY count(*), min(event_id)) AS INTEGER) AS part, count(*) AS rejects,
+       CAST(sum(CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS cells_too_many FROM events
+WHERE event_id % 3 = 2 OR event_id % 7 = 0 OR event_id % 11 = 0 GROUP BY event_id % 3""",
+)
+def q_part_rows_rejected(spark, sf):
+    """Rejects counted per part file; the one without ``value`` goes whole."""
+    bad = RS.split_parts(spark, _event_parts(spark, sf), EVENT_PARTS)[1]
+    ids = F.regexp_extract("record", "(?:^|,)([0-9]+),[0-9]{4}-|^([0-9]+),", 0)
+    n = bad.groupBy("path").agg(F.count(F.lit(1)).alias("rejects"), F.min(F.regexp_extract(ids, "[0-9]+", 0).cast("long")).alias("first"),
+                                F.count_if(F.col("record").endswith(",more")).alias("cells_too_many"))
+    order = W.orderBy("rejects", "first")  # three files
+    return n.select(F.row_number().over(order).alias("part"), "rejects", "cells_too_many")
+
+
+@register(
+    "part_contract",
+    "SELECT '' AS missing, '' AS extra, 2 AS files FROM events HAVING count(*) > 0 "
+    "UNION ALL SELECT 'value', '', 1 FROM events HAVING count(*) > 0",
+)
+def q_part_contract(spark, sf):
+    """U2 on part files: files by the columns they lack or have beyond the contract."""
+    found = RS.part_contract(spark, _event_parts(spark, sf), EVENT_PARTS)
+    return found.groupBy("missing", "extra").agg(F.count(F.lit(1)).cast("int").alias("files"))
+
+
 def _feature_sql() -> str:
     from feescope.plans.registry_more import FEATURE_SELECT, FEATURES_SQL
 

@@ -39,6 +39,12 @@ def write_result_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 
+def append_csv_lines(lines: DataFrame, header: str, path: str) -> None:
+    """One more part file in a CSV folder: ``header``, then the lines of a one-column table as they are."""
+    (lines.toDF(header).coalesce(1).write.mode("append").option("header", True)
+     .options(sep="\x01", quote="", escape="", emptyValue="").csv(path))
+
+
 def write_result_tables(tables: dict[str, DataFrame], root: str, groups: dict | None = None) -> dict[str, str]:
     """K3 for a whole suite: ``root/<group>/<table>/part-*.csv``; returns the paths."""
     where = {}

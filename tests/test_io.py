@@ -115,3 +115,45 @@ def test_size_for_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+def test_part_files_are_united_by_name(spark):
+    root = K.scratch_path(spark, "t-names")
+    K.write_result_csv(spark.createDataFrame([(1, 100)], "hour_of_day int, tx_count long"), f"{root}/t")
+    K.write_result_csv(spark.createDataFrame([(300, 3)], "tx_count long, hour_of_day int"), f"{root}/t", mode="append")
+    K.write_result_csv(spark.createDataFrame([(2.5, 4, "x")], "tx_count double, hour_of_day int, more string"), f"{root}/u")
+    want = [(1, 100), (3, 300)]
+    for df in (RS.load_part_csv(spark, f"{root}/t"), RS.load_part_csv(spark, f"{root}/t", "hour_of_day int, tx_count long"),
+               RS.load_result_tables(spark, root)["t"]):
+        assert sorted(tuple(r) for r in df.select("hour_of_day", "tx_count").collect()) == want
+    assert RS.load_part_csv(spark, f"{root}/u", "hour_of_day int").collect()[0] == (4,)
+    with pytest.raises(RAW.ContractError, match="lacks the columns .'other'"):
+        RS.load_part_csv(spark, f"{root}/t", "hour_of_day int, other int")
+    K.write_result_csv(spark.range(1).toDF("hour_of_day"), f"{root}/t", mode="append")
+    with pytest.raises(RAW.ContractError, match="tx_count"):
+        RS.load_part_csv(spark, f"{root}/t")
+    contract = RS.part_contract(spark, f"{root}/t", "hour_of_day int, tx_count long")
+    assert sorted((r.missing, r.extra) for r in contract.collect()) == [("", ""), ("", ""), ("tx_count", "")]
+
+
+def test_types_that_differ_between_parts(spark):
+    root = K.scratch_path(spark, "t-types")
+    for line, header in (("1,a", "n,s"), ("b,2.5", "s,n"), ("007,7", "s,n")):
+        K.append_csv_lines(spark.createDataFrame([(line,)], "x string"), header, root)
+    df = RS.load_part_csv(spark, root)
+    assert dict(df.dtypes) == {"n": "double", "s": "string"}
+    assert sorted(tuple(r) for r in df.select("n", "s").collect()) == [(1.0, "a"), (2.5, "b"), (7.0, "007")]
+
+
+def test_bad_rows_are_split_off(spark):
+    root = K.scratch_path(spark, "t-rows")
+    schema = "a long, b date"
+    lines = [("1,2025-01-01",), ("2,2025-01-02,9",), ("3",), ("x,2025-01-03",), ("4,",), ("5,2025-13-01",)]
+    K.append_csv_lines(spark.createDataFrame(lines, "x string"), "a,b", root)
+    K.append_csv_lines(spark.createDataFrame([("2025-02-01,z,6",)], "x string"), "b,c,a", root)
+    good, bad = RS.split_parts(spark, root, schema)
+    assert sorted((r.a, str(r.b)) for r in good.collect()) == [(1, "2025-01-01"), (4, "None"), (6, "2025-02-01")]
+    assert sorted(r.record for r in bad.collect()) == ["2,2025-01-02,9", "3", "5,2025-13-01", "x,2025-01-03"]
+    assert good.count() + bad.count() == 7
+    K.append_csv_lines(spark.createDataFrame([("7",), ("8",)], "x string"), "a", root)
+    good, bad = RS.split_parts(spark, root, schema)
+    assert good.count() == 3 and sorted(r.record for r in bad.collect())[-2:] == ["8", "x,2025-01-03"] and bad.count() == 6
