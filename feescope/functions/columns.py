@@ -92,3 +92,15 @@ def lenient_int(text, name: str = "value") -> Column:
     bad = text.isNotNull() & number.isNull()
     message = F.concat(F.lit(f"column {name}: not an integer: "), F.coalesce(text.cast("string"), F.lit("")))
     return F.when(bad, F.raise_error(message).cast("long")).otherwise(number)
+
+
+def int_or_null(text) -> Column:
+    """The same number, or null where :func:`lenient_int` would raise."""
+    return _c(text).try_cast("double").try_cast("long")
+
+
+def int_rejects(texts: dict[str, Column]) -> Column:
+    """Array of (column, text) of the texts that are no integers; empty for a good row."""
+    return F.array_compact(F.array(*[
+        F.when(_c(t).isNotNull() & int_or_null(t).isNull(), F.struct(F.lit(name).alias("column"), _c(t).cast("string").alias("text")))
+        for name, t in texts.items()]))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feescope.config import DEFAULT_SPEC, ChainSpec
+from feescope.functions.columns import int_or_null, int_rejects
+from feescope.session import materialize
 from feescope.sources.raw import REQUIRED_COLUMNS, normalize_timestamp, require_columns
 
 CRITICAL_COLUMNS = ("block_timestamp", "gas_price", "receipt_gas_used")
@@ -80,3 +82,20 @@ def row_counts(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(F.coalesce(keep, F.lit(False))).alias("clean_rows"),
     )
+
+
+def split_ints(df: DataFrame, texts: dict, keys) -> tuple[DataFrame, DataFrame]:
+    """P12, quarantine form: (good rows, rejects) of lenient integer columns, from one pass over ``df``.
+
+    Good rows have a long column for each entry of ``texts`` (name -> text column).
+    Rejects are (keys, column, text), one row per cell that is no integer; a row with
+    any such cell is not among the good ones, so the good rows and the distinct
+    rejected rows sum to the input.  Both sides read one written table.
+    """
+    forked = materialize(df.select(
+        *df.columns, int_rejects(texts).alias("_rejects"), *(int_or_null(t).alias(f"_int_{n}") for n, t in texts.items()),
+    ).withColumn("_bad", F.size("_rejects") > 0), "int-fork", partition_by="_bad")
+    good = forked.where(~F.col("_bad")).select(
+        *[c for c in df.columns if c not in texts], *(F.col(f"_int_{n}").alias(n) for n in texts))
+    bad = forked.where("_bad").select(*keys, F.explode("_rejects").alias("_r")).select(*keys, "_r.column", "_r.text")
+    return good, bad

@@ -231,3 +231,58 @@ def chat_history(conversations: DataFrame, block: int = 4096) -> DataFrame:
     return pos.select(
         "conv_id", "turn", "role", "text", "position", (F.col("position") - 1).alias("history_len")
     )
+
+
+def reply_view(conversations: DataFrame, system: str, last: int = 6, block: int = 4096) -> DataFrame:
+    """What a reply to each user message gets: ``messages``, an array of (role, text): the system text, the last
+    ``last`` messages before it, the message itself.
+
+    Every message goes to the at most ``last`` positions that see it and meets the
+    user message there, so the exchange is keyed by (conversation, position): a group
+    has at most ``last`` + 1 rows, however long the conversation.  Repeated rows of
+    one turn take positions one after another; null texts are shown empty.
+    """
+    pos = position_in_group(conversations.select("conv_id", "turn", "role", "text"), "conv_id", "turn", block)
+    asked = pos.where(F.col("role") == "user").select("conv_id", F.col("position").alias("at"), "turn")
+    seen = pos.select("conv_id", "position", "role", F.coalesce("text", F.lit("")).alias("text"),
+                      F.explode(F.sequence(F.col("position"), F.col("position") + last)).alias("at"))
+    same = asked["conv_id"].eqNullSafe(seen["conv_id"]) & (asked["at"] == seen["at"])
+    rows = asked.join(seen, same).select(asked["conv_id"], asked["at"], "turn", F.struct("position", "role", "text").alias("m"))
+    got = rows.groupBy("conv_id", "at", "turn").agg(F.sort_array(F.collect_list("m")).alias("m"))
+    first = F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("text")))
+    return got.select("conv_id", "turn", F.concat(first, F.transform("m", lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text")))).alias("messages"))
+
+
+GRAM = 3
+
+
+def rule_matches(questions: DataFrame, rules: DataFrame, keys, text_col: str = "text") -> DataFrame:
+    """J5 for rule tables: (keys, keyword) of every rule keyword (column ``keyword``) that a question's lower-cased text
+    contains, once each.
+
+    A keyword is looked for only where its rarest ``GRAM`` letters (by the number of
+    questions that hold them) stand, then verified, so the plan does not grow with the
+    rules and a frequent word costs no more than its rarest part.  Shorter keywords
+    are looked for by themselves; empty and null ones match nothing.
+    """
+    words = rules.select(F.lower("keyword").alias("keyword")).where("keyword <> ''").distinct()
+    texts = questions.select(*keys, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
+
+    def grams(text: str, size: int) -> Column:
+        last = F.length(text) - size + 1
+        at = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(F.lit(1), last))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(at, lambda i: F.substr(F.col(text), i, F.lit(size))))
+
+    every = F.array_distinct(F.flatten(F.array(*[grams("_text", n) for n in range(1, GRAM + 1)])))
+    held = texts.select(*keys, F.explode(every).alias("_gram"))
+    own = F.when(F.length("keyword") < GRAM, F.array("keyword")).otherwise(grams("keyword", GRAM))
+    parts = words.select("keyword", F.explode(own).alias("_gram"))
+    count = held.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    # a gram that no question holds rules its keyword out
+    rarest = parts.join(count, "_gram", "left").groupBy("keyword").agg(
+        F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"))
+    found = held.join(rarest, "_gram").select(*(F.col(k).alias(f"_k_{k}") for k in keys), "keyword")  # texts don't travel with grams
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return found.join(texts, same).where(F.contains("_text", "keyword")).select(*keys, "keyword").distinct()

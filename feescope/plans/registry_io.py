@@ -40,6 +40,20 @@ def q_scan_clean_day(spark, sf):
     return rounded(RAW.scan_clean(spark, path, E.event_day, E.event_day))
 
 
+@register(
+    "rewrite_day",
+    EW + f"SELECT date, count(*) AS rows, CAST(sum(receipt_gas_used) AS BIGINT) AS used FROM clean "
+    f"WHERE date <> DATE '{S.EVENTS.event_day}' OR block_number % 2 = 0 GROUP BY date",
+)
+def q_rewrite_day(spark, sf):
+    """K2: one day of the cleaned zone written again with half of its blocks; the other days stay."""
+    path = K.scratch_path(spark, "clean")
+    clean = ev_clean(spark, sf)
+    K.write_clean(clean, path)
+    K.rewrite_days(clean.where((F.col("date") == F.lit(E.event_day).cast("date")) & (F.col("block_number") % 2 == 0)), path)
+    return RAW.scan_clean(spark, path).groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.sum("receipt_gas_used").alias("used"))
+
+
 @register(
     "scan_nanos_ts",
     "SELECT ts AS block_timestamp, CAST(event_id AS VARCHAR) AS hash, event_id // 8 AS block_number FROM events",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from feescope.config import EVENTS_SPEC, LINEITEM_SPEC
 from feescope.functions.columns import cyclic_cos, cyclic_sin, lenient_int, one_hot
+from feescope.operators import clean as C
 from feescope.operators import features as FT
 from feescope.operators import model as M
 from feescope.operators import quality as Q
@@ -205,6 +206,42 @@ def q_lenient_int_large(spark, sf):
     return read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", lenient_int(text, "l_orderkey").alias("big_int"))
 
 
+INT_TEXTS_SQL = """CASE WHEN l_orderkey % 5 = 0 THEN l_returnflag WHEN l_orderkey % 7 = 0 THEN NULL ELSE CAST(l_partkey AS VARCHAR) || '.5' END"""
+BIG_TEXTS_SQL = """CASE WHEN l_linenumber = 3 THEN '1e30' ELSE CAST(l_suppkey AS VARCHAR) END"""
+INTS_SQL = f"""WITH t AS (SELECT l_orderkey, l_linenumber, {INT_TEXTS_SQL} AS a, {BIG_TEXTS_SQL} AS b FROM lineitem),
+p AS (SELECT *, TRY_CAST(trunc(TRY_CAST(a AS DOUBLE)) AS BIGINT) AS x, TRY_CAST(trunc(TRY_CAST(b AS DOUBLE)) AS BIGINT) AS y FROM t)
+"""
+
+
+def li_split_ints(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    a = F.when(F.col("l_orderkey") % 5 == 0, F.col("l_returnflag")).when(F.col("l_orderkey") % 7 == 0, None).otherwise(
+        F.concat(F.col("l_partkey").cast("string"), F.lit(".5")))
+    b = F.when(F.col("l_linenumber") == 3, "1e30").otherwise(F.col("l_suppkey").cast("string"))
+    rows = li.select("l_orderkey", "l_linenumber", a.alias("part"), b.alias("supplier"))
+    return C.split_ints(rows, {"part": F.col("part"), "supplier": F.col("supplier")}, ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "lenient_int_kept",
+    INTS_SQL + "SELECT l_orderkey, l_linenumber, x AS part, y AS supplier FROM p "
+    "WHERE (a IS NULL OR x IS NOT NULL) AND y IS NOT NULL",
+)
+def q_lenient_int_kept(spark, sf):
+    """Rows whose texts are all integers (or null)."""
+    return li_split_ints(spark, sf)[0]
+
+
+@register(
+    "lenient_int_rejects",
+    INTS_SQL + """SELECT l_orderkey, l_linenumber, 'part' AS "column", a AS text FROM p WHERE a IS NOT NULL AND x IS NULL
+UNION ALL SELECT l_orderkey, l_linenumber, 'supplier', b FROM p WHERE y IS NULL""",
+)
+def q_lenient_int_rejects(spark, sf):
+    """Every cell that is no integer, with its row and column."""
+    return li_split_ints(spark, sf)[1]
+
+
 # ----------------------------------------------------------------------
 # cross-validation
 # ----------------------------------------------------------------------

@@ -6,17 +6,20 @@ text; rows are compared in the order in which each table is stored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feescope.config import EVENTS_SPEC
 from feescope.operators import routing as RT
-from feescope.operators.catalog import table_profile
-from feescope.plans.registry import REGISTRY, ev_clean, register
+from feescope.operators.catalog import column_statistics, contract_report, table_profile
+from feescope.plans.registry import REGISTRY, ev_clean, register, rounded
 from feescope.plans.registry_io import _written_suite
 from feescope.plans.registry_text import ALL_SQL, KEYS, RULES_SQL, questions, routing_sql
 from feescope.plans.suite import TABLE_ORDER, ReportSuite
 from feescope.sources import results as RS
+from feescope.sources.standins import read_table
 
 # table: (query whose oracle gives its rows, its columns, its stored order), restated for the oracles
 TABLES_SQL = {
@@ -123,3 +126,53 @@ SMALL_RULES = (("th", ("heatmap_matrix",)), ("der", ("fee_paradox", "weekly_summ
 def q_context_assembly_partial(spark, sf):
     """X1 with tables missing from the catalog: questions without any keep an empty context."""
     return _contexts(spark, sf, SMALL_CATALOG, rules=SMALL_RULES, catalog=SMALL_CATALOG)
+
+
+STATISTICS_TABLES = ("events", "lineitem", "orders", "customer", "conversations")
+
+
+def _statistics_sql() -> str:
+    numbers = {"events": ("event_id", "user_id", "value"), "lineitem": ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"),
+               "orders": ("o_orderkey", "o_custkey", "o_totalprice"), "customer": ("c_custkey", "c_acctbal"),
+               "conversations": ("turn",)}
+    texts = {"events": ("event_type", "props"), "lineitem": ("l_returnflag",), "orders": ("o_orderstatus",), "customer": ("c_name",),
+             "conversations": ("role", "text")}
+    parts = []
+    for t in STATISTICS_TABLES:
+        for names, number in ((numbers[t], True), (texts[t], False)):
+            for c in names:
+                value = (f"CAST(min({c}) AS FLOAT), CAST(max({c}) AS FLOAT), NULL, NULL" if number
+                         else f"CAST(NULL AS FLOAT), CAST(NULL AS FLOAT), min({c}), max({c})")
+                parts.append(f"SELECT '{t}', count(*), '{c}', count(*) - count({c}), {value} FROM {t}")
+    return ("SELECT * FROM (" + "\nUNION ALL ".join(parts)
+            + ") s(table_name, row_count, column_name, nulls, min_number, max_number, min_text, max_text)")
+
+
+@register("column_statistics", _statistics_sql())
+def q_column_statistics(spark, sf):
+    """Rows, nulls, least and greatest value of the tables' columns, one aggregation a table."""
+    got = column_statistics({t: read_table(spark, sf, t) for t in STATISTICS_TABLES}).drop("data_type", "distinct_estimate")
+    shown = [f"{t}.{c}" for t, c in re.findall(r"SELECT '(\w+)', count\(\*\), '(\w+)'", _statistics_sql())]
+    return rounded(got.where(F.concat_ws(".", "table_name", "column_name").isin(shown)))
+
+
+CONTRACT = T.StructType([
+    T.StructField("event_id", T.LongType(), False), T.StructField("user_id", T.StringType()), T.StructField("value", T.DoubleType()),
+    T.StructField("event_type", T.StringType(), False), T.StructField("chain", T.StringType())])
+
+
+@register(
+    "schema_contract",
+    """SELECT 'event_id' AS column_name, 'bigint' AS expected, 'bigint' AS actual, count(*) - count(event_id) AS nulls,
+       CASE WHEN count(event_id) < count(*) THEN 'nulls' ELSE 'ok' END AS problem FROM events
+UNION ALL SELECT 'user_id', 'string', 'bigint', count(*) - count(user_id), 'type' FROM events
+UNION ALL SELECT 'value', 'double', 'double', count(*) - count(value), 'ok' FROM events
+UNION ALL SELECT 'event_type', 'string', 'string', count(*) - count(event_type),
+       CASE WHEN count(event_type) < count(*) THEN 'nulls' ELSE 'ok' END FROM events
+UNION ALL SELECT 'chain', 'string', NULL, NULL, 'missing'
+UNION ALL SELECT 'ts', NULL, 'timestamp_ntz', count(*) - count(ts), 'extra' FROM events
+UNION ALL SELECT 'props', NULL, 'string', count(*) - count(props), 'extra' FROM events""",
+)
+def q_schema_contract(spark, sf):
+    """The events table against a contract with a missing, a mistyped and two extra columns."""
+    return contract_report(read_table(spark, sf, "events"), CONTRACT)

@@ -164,3 +164,40 @@ FROM conversations""",
 )
 def q_chat_history(spark, sf):
     return RT.chat_history(read_table(spark, sf, "conversations"))
+
+
+SYSTEM = "Answer from the tables."
+
+
+@register(
+    "reply_view",
+    f"""WITH m AS (SELECT conv_id, turn, role, list(role || ': ' || coalesce(text, '')) OVER (
+       PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS seen FROM conversations)
+SELECT conv_id, turn, CAST(len(seen) + 1 AS INTEGER) AS n_messages,
+       md5('system: {SYSTEM}' || chr(10) || array_to_string(seen, chr(10))) AS messages_md5 FROM m WHERE role = 'user'""",
+)
+def q_reply_view(spark, sf):
+    """System text, the last four messages and the question, per user message."""
+    view = RT.reply_view(read_table(spark, sf, "conversations"), SYSTEM, last=4)
+    text = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["text"])), "\n")
+    return view.select("conv_id", "turn", F.size("messages").alias("n_messages"), F.md5(text).alias("messages_md5"))
+
+
+def benchmark_words(spark, sf):
+    """Words of the benchmark items as a rule table."""
+    words = read_table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("keyword"))
+    return words.where("length(keyword) > 1").distinct()
+
+
+@register(
+    "rule_table_matches",
+    """WITH words AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS keyword FROM benchmark),
+q AS (SELECT conv_id, turn, lower(coalesce(text, '')) AS text FROM conversations WHERE role = 'user')
+SELECT conv_id, turn, count(*) AS n_keywords, md5(string_agg(keyword, ' ' ORDER BY keyword)) AS keywords_md5
+FROM q JOIN words ON contains(q.text, keyword) WHERE length(keyword) > 1 GROUP BY conv_id, turn""",
+)
+def q_rule_table_matches(spark, sf):
+    """The words of all benchmark items as rules over the users' questions."""
+    found = RT.rule_matches(questions(spark, sf), benchmark_words(spark, sf), KEYS)
+    return found.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_keywords"),
+                                    F.md5(F.array_join(F.array_sort(F.collect_list("keyword")), " ")).alias("keywords_md5"))

@@ -34,6 +34,23 @@ def write_clean(df: DataFrame, path: str, max_records: int = 5_000_000, mode: st
     )
 
 
+def rewrite_days(df: DataFrame, path: str, max_records: int = 5_000_000) -> None:
+    """K2, rerun: replaces the days that ``df`` holds in a cleaned zone and leaves all others as they are.
+
+    New files are staged and take the old ones' place when the whole job commits
+    (dynamic partition overwrite): a run that dies before changes nothing.  ``df``
+    must not read from ``path``.
+    """
+    (
+        df.hint("rebalance", "date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", max_records)
+        .partitionBy("date")
+        .parquet(path)
+    )
+
+
 def write_result_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K3: one headered CSV part file per result table (aggregates only)."""
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
