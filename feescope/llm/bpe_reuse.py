@@ -53,8 +53,8 @@ from feescope.llm.packing import ByteLevelTokenizer, tokenizer_path
 from feescope.session import materialize
 
 WINDOW = 16        # characters that decide about a cut
-CUT_BITS = 9       # a cut every 512 characters behind MIN_CHUNK, on average
-MIN_CHUNK = 256
+CUT_BITS = 10      # a cut every 1,024 characters behind MIN_CHUNK, on average
+MIN_CHUNK = 512
 MAX_CHUNK = 8192
 FILTER_BITS = 27   # 16 MB
 SLICE = 1 << 18    # characters hashed at once

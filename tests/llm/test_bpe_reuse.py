@@ -56,7 +56,7 @@ def test_long_ids_are_digested_in_parts(plain, tok):
 
 def test_chunks_are_content_defined(monkeypatch):
     rng = random.Random(1)
-    passage = "".join(rng.choice("abcdefg hij.") for _ in range(20_000))
+    passage = "".join(rng.choice("abcdefg hij.") for _ in range(60_000))
     a, b = B.chunks("x" * 1000 + passage), B.chunks("other words before " * 91 + passage + " and behind")
     assert "".join(a) == "x" * 1000 + passage
     assert len(set(a) & set(b)) >= len(a) - 6 > 15
