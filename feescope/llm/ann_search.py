@@ -19,6 +19,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ from feescope.llm.common import ship_code
 from feescope.session import materialize
 
 BLOCK_ROWS = 4096
+HUGE = 1e140  # squares of larger components, or their sum, may overflow
 
 
 def usable(vector: str = "embedding") -> Column:
@@ -89,9 +91,21 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def exact_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise Euclidean distance; squares are added in order of the components."""
-    d = a - b
-    return np.sqrt(np.cumsum(d * d, axis=1)[:, -1])
+    """Row-wise Euclidean distance; squares are added in order of the components.
+
+    Where the squares of finite differences overflow, they are taken of the differences over the largest one.
+    """
+    with np.errstate(over="ignore"):
+        d = a - b
+        out = np.sqrt(np.cumsum(d * d, axis=1)[:, -1])
+        far = np.nonzero(np.isinf(out))[0]
+        if len(far):
+            top = np.abs(d[far]).max(1)
+            finite = np.isfinite(top)
+            far, top = far[finite], top[finite]
+            d = d[far] / top[:, None]
+            out[far] = top * np.sqrt(np.cumsum(d * d, axis=1)[:, -1])
+    return out
 
 
 class TileSearch:
@@ -99,16 +113,21 @@ class TileSearch:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
         self.ids, self.x, self.k = ids, x, k
-        self.q = quantised(x)
+        self.top = float(np.abs(x).max(initial=0))
+        self.q = quantised(x) if self.top < HUGE else None
         self.heaps: list[list[tuple[float, int]]] = [[] for _ in ids]  # (-distance, -id): the worst on top
 
     def add(self, ids: np.ndarray, x: np.ndarray, rows: int = 512) -> None:
-        c8, cs, cn, ce = quantised(x)
+        top = max(self.top, float(np.abs(x).max(initial=0)))
+        # bounds are taken of both sides over a power of two where squares could overflow
+        f = 1.0 if top < HUGE else 2.0 ** -math.ceil(math.log2(top))
+        mine = self.q if f == 1 else quantised(self.x * f)
+        c8, cs, cn, ce = quantised(x * f if f != 1 else x)
         # products of int8 rows are whole numbers; they are exact in float32 up to 2^24
         kind = np.float32 if x.shape[1] * 127 * 127 < 1 << 24 else np.float64
         ct = c8.astype(kind).T
         for lo in range(0, len(self.ids), rows):
-            q8, qs, qn, qe = (v[lo:lo + rows] for v in self.q)
+            q8, qs, qn, qe = (v[lo:lo + rows] for v in mine)
             dot = (q8.astype(kind) @ ct).astype(np.float64) * (qs[:, None] * cs[None, :])
             near = np.sqrt(np.maximum(qn[:, None] ** 2 + cn[None, :] ** 2 - 2 * dot, 0))
             # the residuals' bound, and room for the cancellation in the line above
@@ -120,7 +139,7 @@ class TileSearch:
             for i in range(len(least)):
                 h = self.heaps[lo + i]
                 if len(h) == self.k:
-                    least[i] = min(least[i], -h[0][0])
+                    least[i] = min(least[i], -h[0][0] * f)
             r, c = np.nonzero((near - err <= least[:, None]) & ~own)
             for part in range(0, len(r), 1 << 16):
                 i, j = r[part:part + (1 << 16)], c[part:part + (1 << 16)]

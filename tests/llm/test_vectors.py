@@ -54,6 +54,25 @@ def test_nearest_edges(spark, block):
     assert A.nearest_neighbours(queries, df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1e139, 1e155, 1e200, 1e300, 5e307])
+def test_huge_components_overflow_nothing(scale):
+    """Finite vectors whose squares overflow; some near 1 beside them."""
+    import math
+    rng = np.random.default_rng(3)
+    x = rng.uniform(-1, 1, (60, 8)) * scale
+    x[40:] = rng.uniform(-1, 1, (20, 8))
+    ids = np.arange(60)
+    s = A.TileSearch(ids[:50], x[:50], 5)
+    for lo in range(0, 60, 20):
+        s.add(ids[lo:lo + 20], x[lo:lo + 20])
+    for q in range(50):
+        want = sorted((math.dist(x[q] / scale, x[i] / scale), i) for i in range(60) if i != q)[:5]
+        got = sorted((-d, -i) for d, i in s.heaps[q])
+        assert [d / scale for d, _ in got] == pytest.approx([d for d, _ in want], abs=1e-12)
+        if q < 40:
+            assert [i for _, i in got if i < 40] == [i for _, i in want if i < 40]
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 33)) * 10.0 ** rng.integers(-6, 6, (200, 1))
