@@ -50,7 +50,7 @@ from feescope.llm.packing import ByteLevelTokenizer, tokenizer_path
 from feescope.session import materialize
 
 HOT_PAIRS = 1 << 18
-BLOCK_CHARS = 1 << 23    # texts of together so many characters share their words
+BLOCK_CHARS = 1 << 22    # texts of together so many characters share their words
 HELD_PAIRS = 500_000     # distinct pairs that a task sums before it passes them on
 B_BITS = 32
 BLANK = "\u2581"
