@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from bisect import bisect_left, bisect_right, insort
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
