@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feescope.operators.catalog import order_columns, row_text
+from feescope.operators.catalog import row_text
+from feescope.session import materialize
 
 # fixed values: keyword rules (keyword -> tables) in their original order
 KEYWORD_RULES = (
@@ -125,43 +126,64 @@ def routed_pairs(routed: DataFrame, keys, catalog_df: DataFrame | None = None) -
 
 
 # ---------------------------------------------------------------- X1 / T8
-def render_rows(df: DataFrame, order=None, max_rows: int = 50, sep: str = " | ") -> DataFrame:
-    """The text of a table as shown to a reader: header line and at most
-    ``max_rows`` rows (the first and last halves when longer), as stored.
+def _order_slots(tables: dict, orders: dict | None) -> dict[str, list[tuple[str, Column]]]:
+    """Per table its sort columns as (slot, column).  A slot stands for a place in the order, a type and a
+    direction, so tables with unlike orders can be sorted in one long table: the slots that a table
+    does not use are null in all of its rows."""
+    out = {}
+    for name, df in tables.items():
+        slots = []
+        for i, spec in enumerate((orders or {}).get(name) or df.columns):
+            column = spec.removeprefix("-")
+            kind = df.schema[column].dataType.simpleString()
+            slots.append((f"{i:03d} {'down' if spec.startswith('-') else 'up'} {kind}", F.col(column)))
+        out[name] = slots
+    return out
+
 
-    ``order`` is the table's stored order (names, ``-name`` for descending).
-    Only bounded pieces are gathered: the first ``max_rows`` and the last
-    ``max_rows // 2`` rows come from two distributed top-k scans
-    (TakeOrderedAndProject) and the row count is a scalar subquery.
+def table_renders(tables: dict, max_rows: int = 50, orders: dict | None = None, sep: str = " | ") -> DataFrame:
+    """T8 / X1 helper: one row per table - name, row count and its text as shown to a reader: header line and at
+    most ``max_rows`` rows (the first and last halves when longer), as stored.
+
+    ``orders`` gives each table's stored order (names, ``-name`` for descending; all
+    columns without one).  All tables' lines are written once, in one job, as one long
+    table; its first ``max_rows`` and last ``max_rows // 2`` lines per table come from
+    ranks whose limit is applied before the shuffle (a task sends at most that many
+    lines per table), so no task holds a table.  An empty table is shown by its header.
     """
-    asc, desc = order_columns(order or df.columns), order_columns(order or df.columns, reverse=True)
-    line = row_text(df, sep)
+    slots = _order_slots(tables, orders)
+    kinds = {slot: c for name, pairs in slots.items() for slot, c in pairs}
+    names = {slot: f"_s{i}" for i, slot in enumerate(sorted(kinds))}
+    long = None
+    for name, df in tables.items():
+        own = dict(slots[name])
+        keys = [(own[s] if s in own else F.lit(None).cast(s.split(" ", 2)[2])).alias(names[s]) for s in sorted(kinds)]
+        part = df.select(F.lit(name).alias("table_name"), row_text(df, sep).alias("line"), *keys)
+        long = part if long is None else long.unionByName(part)
+    long = materialize(long, "lines")
+
+    def ranked(reverse: bool, most: int) -> DataFrame:
+        by = [F.col(names[s]).desc() if (s.split(" ")[1] == "down") != reverse else F.col(names[s]).asc() for s in sorted(kinds)]
+        rank = F.row_number().over(Window.partitionBy("table_name").orderBy(*by))
+        return long.withColumn("_r", rank).where(F.col("_r") <= most).select("table_name", "line", F.col("_r").cast("long").alias("_r"))
+
     head_n, tail_n = (max_rows + 1) // 2, max_rows // 2
-    n = df.agg(F.count(F.lit(1))).scalar()
-    first = df.orderBy(*asc).limit(max_rows).select(
-        line.alias("line"), F.row_number().over(Window.orderBy(*asc)).cast("long").alias("_pos")
-    )
-    first = first.where((n <= F.lit(max_rows)) | (F.col("_pos") <= F.lit(head_n)))
-    last = df.orderBy(*desc).limit(tail_n).select(
-        line.alias("line"), (n - F.row_number().over(Window.orderBy(*desc)) + 1).alias("_pos")
-    )
-    rows = first.unionByName(last.where(n > F.lit(max_rows)))
-    body = F.array_join(
-        F.transform(F.sort_array(F.collect_list(F.struct("_pos", "line"))), lambda x: x["line"]), "\n")
-    return rows.agg(body.alias("body")).select(
-        n.alias("n_rows"), F.concat(F.lit(sep.join(df.columns) + "\n"), F.col("body")).alias("body"))
+    first = ranked(False, max_rows).groupBy("table_name").agg(F.sort_array(F.collect_list(F.struct("_r", "line"))).alias("_first"))
+    last = ranked(True, tail_n).select("table_name", (-F.col("_r")).alias("_r"), "line").groupBy("table_name").agg(
+        F.sort_array(F.collect_list(F.struct("_r", "line"))).alias("_last"))
+    counts = long.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    header = long.sparkSession.createDataFrame([(n, sep.join(df.columns)) for n, df in tables.items()], "table_name string, header string")
+    found = header.join(counts, "table_name", "left").join(first, "table_name", "left").join(last, "table_name", "left")
+    shown = F.when(F.col("n_rows") <= max_rows, F.col("_first")).otherwise(
+        F.concat(F.slice("_first", 1, head_n), F.col("_last")))
+    body = F.array_join(F.transform(shown, lambda x: x["line"]), "\n")
+    return found.select("table_name", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"),
+                        F.concat("header", F.lit("\n"), F.coalesce(body, F.lit(""))).alias("body"))
 
 
-def table_renders(tables: dict, max_rows: int = 50, orders: dict | None = None) -> DataFrame:
-    """X1 helper: one row per table - name, row count, rendered text."""
-    parts = []
-    for name, df in tables.items():
-        r = render_rows(df, (orders or {}).get(name), max_rows)
-        parts.append(r.select(F.lit(name).alias("table_name"), "n_rows", "body"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def render_rows(df: DataFrame, order=None, max_rows: int = 50, sep: str = " | ") -> DataFrame:
+    """Row count and text of one table (see :func:`table_renders`)."""
+    return table_renders({"": df}, max_rows, {"": order}, sep).select("n_rows", "body")
 
 
 def context_assembly(routed: DataFrame, keys, renders: DataFrame) -> DataFrame:

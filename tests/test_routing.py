@@ -78,3 +78,27 @@ def test_render_follows_the_stored_order(spark):
     t = spark.createDataFrame([(14, 9.0), (9, 8.0), (4, 7.0), (19, 6.0)], "hour int, score double")
     body = RT.render_rows(t, ("-score", "hour")).first().body
     assert [x.split(" | ")[0] for x in body.split("\n")[1:]] == ["14", "9", "4", "19"]
+
+
+def test_tables_of_unlike_orders_are_rendered_together(spark):
+    """Long integers beyond 2^53, texts, dates, descending and null keys, an empty and a single-row table."""
+    big = 2**60
+    tables = {
+        "longs": spark.createDataFrame([(big + i, f"r{i}") for i in range(7)], "k long, v string"),
+        "texts": spark.createDataFrame([("b", 1), (None, 2), ("a", 3)], "k string, v int"),
+        "days": spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-09')) AS d"),
+        "empty": spark.createDataFrame([], "k long"),
+        "one": spark.createDataFrame([(1.5,)], "k double"),
+    }
+    got = {r.table_name: (r.n_rows, r.body.split("\n")) for r in RT.table_renders(
+        tables, 4, {"longs": ("-k",), "texts": ("k",)}).collect()}
+    assert got["longs"] == (7, ["k | v", f"{big + 6} | r6", f"{big + 5} | r5", f"{big + 1} | r1", f"{big} | r0"])
+    assert got["texts"] == (3, ["k | v", " | 2", "a | 3", "b | 1"])
+    assert got["days"] == (9, ["d", "2024-01-01", "2024-01-02", "2024-01-08", "2024-01-09"])
+    assert got["empty"] == (0, ["k", ""])
+    assert got["one"] == (1, ["k", "1.5"])
+
+
+def test_render_limits_before_the_shuffle(spark):
+    plan = RT.table_renders({"t": spark.range(1000)}, 10)._jdf.queryExecution().toString()
+    assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan
