@@ -88,7 +88,7 @@ def hourly_congestion(
     """
     aggs = [m.tx_count().alias("tx_count"), m.avg_price().alias("avg_gas_gwei")]
     if p95 is None and percentile_mode == "exact":
-        p95 = exact_percentiles(src, ["hour_of_day"], "gas_fee_gwei", {"p95_gas_gwei": 0.95})
+        p95 = exact_percentiles(src, ["hour_of_day"], "gas_fee_gwei", {"p95_gas_gwei": 0.95}, bounded_keys=True)
     elif p95 is None:
         aggs.append(percentiles("gas_fee_gwei", (0.95,), spec, percentile_mode)[0].alias("p95_gas_gwei"))
     aggs += [m.avg_cost().alias("avg_tx_cost_gwei"), m.sum_used().alias("total_gas_used")]
@@ -156,7 +156,8 @@ def daily_index(
         m.min_price().alias("min_gas_gwei"),
     ]
     if quantiles is None and percentile_mode == "exact":
-        quantiles = exact_percentiles(src, ["date"], "gas_fee_gwei", {"median_gas_gwei": 0.5, "p95_gas_gwei": 0.95})
+        quantiles = exact_percentiles(src, ["date"], "gas_fee_gwei", {"median_gas_gwei": 0.5, "p95_gas_gwei": 0.95},
+                                      bounded_keys=True)
     elif quantiles is None:
         median, p95 = percentiles("gas_fee_gwei", (0.5, 0.95), spec, percentile_mode)
         aggs += [median.alias("median_gas_gwei"), p95.alias("p95_gas_gwei")]

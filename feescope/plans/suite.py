@@ -6,7 +6,7 @@ fact table fourteen times.  Here:
 1. one pass builds the (date, hour, price bucket) rollup of decomposable
    measures (a few thousand rows per month) and, in the same pass through
    GROUPING SETS, the (block, date) aggregate; both are checkpointed together;
-2. the percentiles for hours and dates are exact (two narrowing passes each),
+2. the percentiles for hours and dates are exact (two narrowing passes for both),
    or come from one pass of bounded sketches (``approx``), or from none
    (``sketch``: KLL sketches kept per rollup cell are merged);
 3. the large-transfer report reads only the event day (partition filter on a
@@ -134,10 +134,9 @@ class ReportSuite:
             return self._keep(q)
         if self.percentile_mode == "exact":
             ps = {"median_gas_gwei": 0.5, "p95_gas_gwei": 0.95}
-            hours = exact_percentiles(self.clean, ["hour_of_day"], "gas_fee_gwei", ps)
-            dates = exact_percentiles(self.clean, ["date"], "gas_fee_gwei", ps)
-            return self._keep(hours.withColumn("date", F.lit(None).cast("date")).unionByName(
-                dates.withColumn("hour_of_day", F.lit(None).cast("int"))))
+            q = exact_percentiles(self.clean, ["hour_of_day", "date"], "gas_fee_gwei", ps, [["hour_of_day"], ["date"]],
+                                  bounded_keys=True)
+            return self._keep(q.drop("grouping"))
         pct = F.percentile_approx("gas_fee_gwei", [0.5, 0.95], self.spec.percentile_accuracy)
         aggs = [pct[0].alias("median_gas_gwei"), pct[1].alias("p95_gas_gwei")]
         q = self.clean.groupingSets([["hour_of_day"], ["date"]], "hour_of_day", "date").agg(*aggs)

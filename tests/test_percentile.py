@@ -45,3 +45,23 @@ def test_one_group_with_all_rows_and_empty_input(spark):
 def test_any_finite_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert got(df, []) == {(): wanted(values)}
+
+
+def test_several_groupings_at_once(spark):
+    """As the groupings one by one, with null keys kept apart from absent ones, by broadcast or by written brackets."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, 1, 2]), rng.choice("ab"), rng.choice([None, rng.random()])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k int, c string, v double")
+    sets = [["k"], ["c"], [], ["k", "c"]]
+    for bounded in (False, True):
+        out = exact_percentiles(df, ["k", "c"], "v", PS, sets, bounded_keys=bounded).collect()
+        for i, keys in enumerate(sets):
+            assert {tuple(r[k] for k in keys): tuple(r[n] for n in PS) for r in out if r.grouping == i} == got(df, keys)
+        assert all(r.c is None for r in out if r.grouping == 0) and len(out) == 3 + 2 + 1 + 6
+
+
+def test_rows_meet_small_brackets_unshuffled(spark):
+    df = spark.range(50).selectExpr("id % 3 AS k", "id * 1.5D AS v")
+    for bounded in (False, True):
+        plan = exact_percentiles(df, ["k"], "v", PS, bounded_keys=bounded)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [_g" in plan
