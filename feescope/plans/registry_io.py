@@ -15,6 +15,8 @@ from feescope.plans.registry import EW, REGISTRY, ev_clean, ev_raw, register, ro
 from feescope.plans.suite import TABLE_GROUPS, ReportSuite
 from feescope.sources import raw as RAW
 from feescope.sources import results as RS
+from feescope.sources.paged import read_pages
+from feescope.sources.standins import TABLE_SCHEMAS, events_as_raw
 
 E = EVENTS_SPEC
 
@@ -84,6 +86,18 @@ def q_sink_chunked(spark, sf):
     return per_file.agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("files"), F.max("count").alias("largest"))
 
 
+@register(
+    "paged_extract",
+    "WITH " + S.RAW_EVENTS + """
+SELECT * FROM raw
+WHERE block_timestamp >= TIMESTAMP '2024-01-05 00:00:00' AND block_timestamp < TIMESTAMP '2024-01-12 00:00:00'""",
+)
+def q_paged_extract(spark, sf):
+    """S2 + S1: a week of the events file, read page by page with the day range pushed to the pages."""
+    events = read_pages(spark, f"{sf.rstrip('/')}/events.parquet", TABLE_SCHEMAS["events"])
+    return RAW.extract_range(events_as_raw(events), "2024-01-05", "2024-01-11")
+
+
 def _written_suite(spark, sf):
     suite = ReportSuite(ev_clean(spark, sf), E, with_blocks=True)
     root = K.scratch_path(spark, "results")
