@@ -7,12 +7,13 @@ verified in double precision, links counted and united into components.
 
 Beams.  A search keeps its ``beam`` nearest nodes.  If all of them are links
 there may be more, so that search runs again with twice the beam, and beyond
-``scan_beam`` it compares the whole shard.  For each block of queries a sample is
-first compared with brute force, until it holds ``AUDIT_LINKS`` true links, hits
-of a vector on itself left out; where links are so rare that no sample does, the
-whole block is then compared and the graph is not asked.  Else, while the share
-of the sample's links found is below ``recall``, the block is searched again with
-twice the beam, at the end exhaustively.  Two shards meet in one task that
+``scan_beam`` it compares the whole shard.  Every block of queries is audited with
+links that are known: ``AUDIT_LINKS`` nodes of the shard are turned away to a cosine
+just above the threshold and searched for (so the audit holds links however rare
+true ones are), and a sixteenth of the queries is compared with brute force, hits of
+a vector on itself left out.  While less than ``recall`` of either kind is found, the
+block is searched again with twice the beam; only if the widest fails is the block
+compared whole.  Two shards meet in one task that
 searches both ways; a link counts for both ends when either search finds it.
 
 Copies.  Equal vectors of one label are one node with a count, so a vector
@@ -47,7 +48,8 @@ BEAM = 48
 SCAN_BEAM = 512
 EXPAND = 4       # nodes expanded at once per search
 RECALL = 0.99
-AUDIT_LINKS = 1000
+AUDIT_LINKS = 256
+AUDIT_SHARE = 16
 
 
 # ---------------------------------------------------------------- graph
@@ -202,56 +204,78 @@ def _scan(x: np.ndarray, q: np.ndarray, least: float) -> list[np.ndarray]:
     return [np.nonzero(r >= least)[0] for r in s]
 
 
+def planted_queries(unit: np.ndarray, nodes: np.ndarray, threshold: float, seed: int = 11) -> np.ndarray:
+    """Unit rows whose cosine with the given nodes lies a twentieth of the way from the threshold to 1."""
+    c = threshold + (1 - threshold) / 20
+    x = unit[nodes]
+    away = np.random.default_rng(seed).normal(size=x.shape)
+    away -= (away * x).sum(1, keepdims=True) * x
+    length = np.sqrt((away * away).sum(1, keepdims=True))
+    away = np.divide(away, length, out=np.zeros_like(away), where=length > 1e-9)  # one component: no way to turn
+    return unit_rows(c * x + np.sqrt(1 - c * c) * away)
+
+
+def _searched(graph: Graph, q: np.ndarray, least: float, beam: int, rows: int) -> list[np.ndarray]:
+    """Nodes found for each query; a full beam of hits is searched again with twice the beam."""
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
+    todo, width = np.arange(len(q)), beam
+    while len(todo):
+        full = []
+        for lo in range(0, len(todo), rows):
+            part = todo[lo:lo + rows]
+            if width >= min(len(graph.x), SCAN_BEAM):
+                for i, ids in zip(part.tolist(), _scan(graph.x, q[part], least)):
+                    out[i] = ids
+                continue
+            ids, sim = graph.search(q[part], width)
+            hit = (sim >= least) & (ids >= 0)
+            full.append(part[hit.all(1)])
+            for i, row, h in zip(part.tolist(), ids, hit):
+                out[i] = row[h].astype(np.int64)
+        todo, width = (np.concatenate(full) if full else todo[:0]), 2 * width
+    return out
+
+
 def find_links(graph: Graph, unit: np.ndarray, q: np.ndarray, threshold: float, beam: int = BEAM,
                recall: float = RECALL, rows: int = 256, own: np.ndarray | None = None,
-               audit_links: int = AUDIT_LINKS) -> list[np.ndarray]:
+               audit_links: int = AUDIT_LINKS, report: list | None = None) -> list[np.ndarray]:
     """For each query (unit rows, double) the nodes with a cosine of at least ``threshold``.
 
     ``own`` is each query's own node (-1: none); a hit on it is no link of the audit.
+    ``report`` gets (beam, planted recall, recall of the sample or None) of every try.
     """
     least = threshold - 1e-5  # single precision; verified below
     q32 = q.astype(np.float32)
     n = len(graph.x)
+    if not n or not len(q):
+        return [np.zeros(0, np.int64)] * len(q)
 
     def verified(i: int, ids: np.ndarray) -> np.ndarray:
         return ids[unit[ids] @ q[i] >= threshold] if len(ids) else ids
 
+    spread = np.random.default_rng(len(q)).permutation(len(q))[:-(-len(q) // AUDIT_SHARE)]
     truth: dict[int, np.ndarray] = {}
     want = 0
-    spread = np.random.default_rng(len(q)).permutation(len(q))
-    for lo in range(0, len(q), rows):
-        if want >= audit_links:
-            break
+    for lo in range(0, len(spread), rows):
         part = spread[lo:lo + rows]
         for i, ids in zip(part.tolist(), _scan(graph.x, q32[part], least)):
             truth[i] = verified(i, ids)
             want += len(truth[i]) - (own is not None and int((truth[i] == own[i]).sum()))
-    if len(truth) == len(q):
-        return [truth[i] for i in range(len(q))]
+    nodes = np.random.default_rng(n).permutation(n)[:audit_links]
+    planted = planted_queries(unit, nodes, threshold).astype(np.float32)
     while True:
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
-        todo, width = np.arange(len(q)), beam
-        while len(todo):
-            full = []
-            for lo in range(0, len(todo), rows):
-                part = todo[lo:lo + rows]
-                if width >= min(n, SCAN_BEAM):
-                    found = _scan(graph.x, q32[part], least)
-                    for i, ids in zip(part.tolist(), found):
-                        out[i] = ids
-                    continue
-                ids, sim = graph.search(q32[part], width)
-                hit = (sim >= least) & (ids >= 0)
-                full.append(part[hit.all(1)])
-                for i, row, h in zip(part.tolist(), ids, hit):
-                    out[i] = row[h].astype(np.int64)
-            todo, width = (np.concatenate(full) if full else todo[:0]), 2 * width
-        out = [verified(i, ids) for i, ids in enumerate(out)]
-        got = 0
-        for i, t in truth.items():
-            hits = np.intersect1d(t, out[i])
-            got += len(hits) - (own is not None and int((hits == own[i]).sum()))
-        if got >= recall * want or beam >= n:
+        hits = sum(int((found == i).any()) for i, found in zip(nodes.tolist(), _searched(graph, planted, least, beam, rows)))
+        share, real = hits / len(nodes), None
+        if share >= recall or beam >= n:  # else the queries need not be searched with this beam
+            out = [verified(i, ids) for i, ids in enumerate(_searched(graph, q32, least, beam, rows))]
+            got = 0
+            for i, t in truth.items():
+                both = np.intersect1d(t, out[i])
+                got += len(both) - (own is not None and int((both == own[i]).sum()))
+            real = got / want if want else None
+        if report is not None:
+            report.append((beam, share, real))
+        if (share >= recall and (real is None or real >= recall)) or beam >= n:
             for i, t in truth.items():
                 out[i] = t
             return out

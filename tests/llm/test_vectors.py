@@ -177,6 +177,44 @@ def test_rare_links_are_compared_exactly():
         assert sorted(zip(left.tolist(), right.tolist())) == sorted(zip(*map(np.ndarray.tolist, np.nonzero(truth))))
 
 
+def test_planted_links_audit_the_graph():
+    rng = np.random.default_rng(8)
+    x = H.unit_rows(rng.normal(size=(900, 32)))
+    c = np.einsum("nd,nd->n", H.planted_queries(x, np.arange(900), 0.93), x)
+    assert c.min() >= 0.93 and c.max() <= 0.94
+    report = []
+    H.find_links(Blind(x), x, x, 0.93, report=report)
+    assert [r[1] for r in report[:3]] == [0, 0, 0] and report[-1][1:] == (1.0, 1.0) and report[-1][0] >= 512
+    assert H.find_links(Blind(x), x, x[:0], 0.93) == []
+
+
+class Counting(H.Graph):
+    searches = 0
+
+    def search(self, q, beam):
+        Counting.searches += len(q)
+        return super().search(q, beam)
+
+
+@pytest.mark.parametrize("dim", [24, 64])
+def test_sparse_links_over_shards_are_found_by_the_graph(dim):
+    """Two links in a hundred vectors, over two shards: the graph is asked for all of them and recall is measured."""
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(1500, dim))
+    x[::50] = x[1::50] + 0.2 * rng.normal(size=(30, dim))
+    x[25::50] = x[700:730] + 0.25 * rng.normal(size=(30, dim))
+    x = H.unit_rows(rng.permutation(x))
+    left, right = x[:800], x[800:]
+    graphs = Counting(left), Counting(right)
+    Counting.searches, report = 0, []
+    H.find_links(graphs[1], right, left, 0.93, report=report)
+    assert Counting.searches >= 800 and report[-1][1] >= 0.99 and report[-1][0] < 512
+    r, c = H.cell_links(graphs[0], left, graphs[1], right, 0.93)
+    truth = set(zip(*map(np.ndarray.tolist, np.nonzero(left @ right.T >= 0.93))))
+    found = set(zip(r.tolist(), c.tolist()))
+    assert len(truth) >= 10 and found <= truth and len(found) >= 0.9 * len(truth)
+
+
 def test_own_hits_are_no_links_of_the_audit():
     rng = np.random.default_rng(7)
     x = H.unit_rows(rng.normal(size=(1200, 16)))
