@@ -90,6 +90,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the store holds the path."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder, for intermediate tables.
 
