@@ -3,22 +3,26 @@
 Writer.  One gzip member per record (a ``warcinfo`` record first in each file).
 Of records with equal payloads of at least ``min_revisit_bytes`` bytes the one
 with the smallest page id is a ``response``, the others are ``revisit`` records
-that name it and carry no payload.  Every task writes files of its own under a
-temporary name and renames them when whole, so a task that runs again replaces
-what it left.
+that name it and carry no payload.  Every attempt of a task writes archives under
+names of its own and returns them as rows of the folder's manifest, a table that
+Spark commits with one attempt per task.  The reader opens what the manifest
+lists; archives of lost or repeated attempts are not in it and are deleted.  A
+folder that is written again holds, by its manifest, the last write.
 
 Reader.  Files are cut into byte ranges.  A task looks for the gzip magic in its
 range, takes a candidate as a member if it inflates to a WARC header, and owns
 the records that start inside its range, reading past the end to finish the
 last.  Magic bytes inside compressed data fail that test and are passed over.
 
+A folder without a manifest (archives from elsewhere) is read by its listing.
 Folders are named by URI and opened through ``pyarrow.fs`` in the tasks, so any
 shared store that it knows will do.
 
 Defined cases: a null page text has an empty payload (and equal empty payloads
 revisit the first as any others do); rows repeated under the smallest page id
-are all responses; a null page id is never the smallest, and a group without
-any id has responses only; a null URL is written as ``urn:page:<id>``; empty
+are all responses and, being the same capture, share a record id (it is made of
+page id and payload digest); a null page id is never the smallest, and a group
+without any id has responses only; a null URL is written as ``urn:page:<id>``; empty
 tables give archives without records and an empty result.
 """
 
@@ -38,21 +42,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feescope.llm.common import ship_code
-from feescope.session import make_folder, materialize, scratch_path
+from feescope.session import make_folder, materialize, path_exists, scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 1 << 30
 SPLIT_BYTES = 32 << 20
+MANIFEST = "_manifest/archives"
+MANIFEST_SCHEMA = "name string, length long, records long"
 SCHEMA = ("page_id long, url string, record_type string, payload_bytes long, payload_digest string, "
           "refers_to long, payload binary")
 
 
 # ---------------------------------------------------------------- records
 
-def record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'urn:page:{page_id}')}>"
+def record_id(page_id: int | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'urn:page:{page_id}:{digest}')}>"
 
 
 def _one_line(value: str) -> str:
@@ -72,16 +78,18 @@ def record(kind: str, fields: list[tuple[str, str]], block: bytes) -> bytes:
 
 def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
-    fields = [("WARC-Record-ID", record_id(page_id)), ("WARC-Date", date),
+    digest = digest_of(payload)
+    fields = [("WARC-Record-ID", record_id(page_id, digest)), ("WARC-Date", date),
               ("WARC-Target-URI", _one_line(url) if url else f"urn:page:{page_id}"),
-              ("WARC-Payload-Digest", "sha1:" + digest_of(payload)),
+              ("WARC-Payload-Digest", "sha1:" + digest),
               ("Content-Type", "application/http;msgtype=response"),
               ("X-Payload-Length", str(len(payload)))]
     if page_id is not None:
         fields.append(("X-Page-ID", str(page_id)))
     if refers_to is None:
         return record("response", fields, http.encode() + payload)
-    fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to)), ("X-Refers-To-Page-ID", str(refers_to))]
+    fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, digest)),
+               ("X-Refers-To-Page-ID", str(refers_to))]
     return record("revisit", fields, http.encode())
 
 
@@ -101,24 +109,23 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 # ---------------------------------------------------------------- writer
 
 class _Files:
-    """The archives of one task: temporary names until they are whole."""
+    """The archives of one attempt of a task, under names that no other attempt uses."""
 
-    def __init__(self, folder: str, task: int, attempt: int, file_bytes: int, date: str):
+    def __init__(self, folder: str, prefix: str, file_bytes: int, date: str):
         self.fs, self.root = pafs.FileSystem.from_uri(folder)
-        self.fs.create_dir(self.root, recursive=True)
-        self.task, self.attempt, self.limit, self.date = task, attempt, file_bytes, date
-        self.count, self.out, self.size = 0, None, 0
+        self.prefix, self.limit, self.date = prefix, file_bytes, date
+        self.out, self.size, self.records = None, 0, 0
+        self.done: list[tuple[str, int, int]] = []
 
     def put(self, raw: bytes, level: int) -> None:
         if self.out is None:
-            self.temp = f"{self.root}/_attempt-{self.task:05d}-{self.attempt}-{self.count:05d}"
-            self.out, self.size = self.fs.open_output_stream(self.temp, compression=None), 0
-            name = f"part-{self.task:05d}-{self.count:05d}.warc.gz"
-            self.final = f"{self.root}/{name}"
-            info = [("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"), ("WARC-Date", self.date),
-                    ("WARC-Filename", name), ("Content-Type", "application/warc-fields")]
+            self.name = f"{self.prefix}-{len(self.done):05d}.warc.gz"
+            self.out, self.size, self.records = self.fs.open_output_stream(f"{self.root}/{self.name}", compression=None), 0, 0
+            info = [("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, self.name)}>"), ("WARC-Date", self.date),
+                    ("WARC-Filename", self.name), ("Content-Type", "application/warc-fields")]
             self._member(record("warcinfo", info, b"format: WARC File Format 1.1\r\n"), level)
         self._member(raw, level)
+        self.records += 1
         if self.size >= self.limit:
             self.close()
 
@@ -127,16 +134,43 @@ class _Files:
         self.out.write(data)
         self.size += len(data)
 
-    def close(self) -> tuple[str, int] | None:
+    def close(self) -> None:
         if self.out is not None:
             self.out.close()
-            self.fs.move(self.temp, self.final)
-            self.out, self.count = None, self.count + 1
+            self.done.append((self.name, self.size, self.records))
+            self.out = None
+
+
+def _archives(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length) of every archive below ``folder``, by its listing."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").option("recursiveFileLookup", "true")
+            .load(folder).select("path", "length"))
+
+
+def _manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{folder}/{MANIFEST}")
+
+
+def _drop_strays(spark: SparkSession, folder: str, token: str) -> None:
+    """Delete the archives of the write ``token`` that its manifest doesn't list."""
+    name = F.element_at(F.split("path", "/"), -1)
+    strays = _archives(spark, folder).withColumn("name", name).where(F.col("name").startswith(f"part-{token}-")).join(
+        _manifest(spark, folder), "name", "left_anti").select("path")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                fs, p = pafs.FileSystem.from_uri(path)
+                if fs.get_file_info(p).is_file:  # a repeated task finds it gone
+                    fs.delete_file(p)
+            yield b
+
+    strays.mapInArrow(run, "path string").count()
 
 
 def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, date: str = DATE, level: int = 4,
                file_bytes: int = FILE_BYTES) -> int:
-    """Write ``pages`` (page_id, url, html) below ``folder``; returns the number of records.
+    """Write ``pages`` (page_id, url, html) below ``folder``; returns the number of pages' records.
 
     Payload digests are grouped (partial sums first, so a payload that a third
     of all pages share is one row per task), and only digests that occur twice
@@ -152,18 +186,23 @@ def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, date:
         "page_id", "url", "payload",
         F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first")).alias("refers_to"))
 
+    token = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        files = _Files(folder, task.partitionId(), task.taskAttemptId(), file_bytes, date)
-        n = 0
+        files = _Files(folder, f"part-{token}-{task.partitionId():05d}-{task.taskAttemptId()}", file_bytes, date)
         for b in batches:
             for page_id, url, payload, refers_to in zip(*(c for c in b.columns)):
                 files.put(page_record(page_id.as_py(), url.as_py(), payload.as_py(), refers_to.as_py(), date), level)
-            n += b.num_rows
         files.close()
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+        names, lengths, records = zip(*files.done) if files.done else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(lengths, pa.int64()), pa.array(records, pa.int64())],
+            names=["name", "length", "records"])
 
-    return materialize(p.mapInArrow(run, "n long"), "warc-written").agg(F.sum("n")).first()[0] or 0
+    p.mapInArrow(run, MANIFEST_SCHEMA).write.mode("overwrite").parquet(f"{folder}/{MANIFEST}")
+    _drop_strays(pages.sparkSession, folder, token)
+    return _manifest(pages.sparkSession, folder).agg(F.sum("records")).first()[0] or 0
 
 
 # ---------------------------------------------------------------- splittable reader
@@ -262,11 +301,14 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES,
     """The response and revisit records below ``folder``: page_id, url, record_type, payload_bytes,
     payload_digest, refers_to (and payload, if asked for)."""
     ship_code(spark)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").option("recursiveFileLookup", "true")
-             .load(folder).select("path", "length").where("length > 0"))
+    if path_exists(spark, f"{folder}/{MANIFEST}"):
+        files = _manifest(spark, folder).select(F.concat(F.lit(f"{folder}/"), "name").alias("path"), "length")
+    else:
+        files = _archives(spark, folder)
+    files = files.where("length > 0")
     splits = files.select("path", "length", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("lo"))
-    n = splits.count()  # from the listing alone
+    n = splits.count()  # from the names and lengths alone
     splits = splits.withColumn("hi", F.col("lo") + split_bytes).repartition(max(1, n))
     return splits.mapInArrow(_read(payloads), SCHEMA)
 

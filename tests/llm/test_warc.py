@@ -105,3 +105,49 @@ def test_repeated_and_empty(spark):
     rows = sorted(map(tuple, W.warc_round_trip(pages.withColumn("sha", F.lit("clash"))).collect()))
     assert [(r[0], r[3], r[4]) for r in rows] == [(1, "response", None), (1, "response", None), (2, "revisit", 1)]
     assert W.warc_round_trip(pages.limit(0)).count() == 0
+
+
+def archives(folder):
+    return sorted(n for n in os.listdir(plain(folder)) if n.endswith(".warc.gz"))
+
+
+def test_archives_of_lost_attempts_are_neither_read_nor_kept(spark):
+    folder = scratch_path(spark, "t-warc")
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(2)
+    W.write_warc(pages, folder)
+    names = archives(folder)
+    token, task = names[0].split("-")[1:3]
+    raw = open(os.path.join(plain(folder), names[0]), "rb").read()
+    lost = f"part-{token}-{task}-999999-00000.warc.gz"
+    for name in (lost, "part-other-00000-0-00000.warc.gz"):  # a whole copy and one that broke off
+        with open(os.path.join(plain(folder), name), "wb") as f:
+            f.write(raw if name == lost else raw[:-20])
+    assert W.read_warc(spark, folder).count() == len(PAGES)
+    W._drop_strays(spark, folder, token)
+    assert archives(folder) == sorted([*names, "part-other-00000-0-00000.warc.gz"])  # only this write's own
+
+
+def test_a_folder_written_again_holds_the_last_write(spark):
+    folder = scratch_path(spark, "t-warc")
+    for rows in (PAGES, PAGES[:2], []):
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        assert W.write_warc(pages, folder) == len(rows)
+        got = W.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        assert sorted(map(tuple, got.collect()), key=str) == wanted(rows)
+
+
+def test_archives_from_elsewhere_are_read_by_listing(spark):
+    folder, other = scratch_path(spark, "t-warc"), scratch_path(spark, "t-warc-plain")
+    W.write_warc(spark.createDataFrame(PAGES, "page_id long, url string, html string").coalesce(1), folder)
+    os.makedirs(plain(other))
+    for n in archives(folder):
+        with open(os.path.join(plain(folder), n), "rb") as a, open(os.path.join(plain(other), n), "wb") as b:
+            b.write(a.read())
+    assert W.read_warc(spark, other).count() == len(PAGES)
+
+
+def test_record_ids_tell_captures_of_one_page_apart():
+    ids = [W.parse_record(W.page_record(1, "u", p, None, W.DATE))[0]["WARC-Record-ID"] for p in (b"a", b"b", b"a")]
+    assert ids[0] == ids[2] != ids[1]
+    again = W.parse_record(W.page_record(2, "u", b"a", 1, W.DATE))[0]
+    assert again["WARC-Refers-To"] == ids[0] != again["WARC-Record-ID"]
