@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -130,6 +131,7 @@ other elements; the content of xmp is plain text."""
     linked = links = 0
     at, end, tag_ends = 0, len(page), TagEnds(page)
     never_closed: set[str] = set()
+    is_open: Counter[str] = Counter()  # elements on the stack by tag: what isn't there is not searched for
 
     def close_run() -> None:
         nonlocal linked
@@ -154,9 +156,15 @@ other elements; the content of xmp is plain text."""
         nonlocal links
         if any(t not in INLINE for t, _ in stack[k:]):
             close_run()
+        for t, _ in stack[k:]:
+            is_open[t] -= 1
         links -= sum(t == "a" for t, _ in stack[k:])
         del stack[k:]
 
+    def push(tag: str, node: int) -> None:
+        stack.append((tag, node))
+        is_open[tag] += 1
+
     while at < end:
         m = TOKEN.match(page, at)
         at = m.end()
@@ -174,7 +182,7 @@ other elements; the content of xmp is plain text."""
             continue
         tag, attrs = m[2].lower(), page[m.end():stop]
         if m[1]:  # an end tag closes its element if that is open
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if is_open[tag] else ():
                 if stack[k][0] == tag:
                     pop_to(k)
                     break
@@ -195,13 +203,13 @@ other elements; the content of xmp is plain text."""
             bits, _ = attribute_groups(attrs)
             dom.groups[root] |= bits
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and is_open["p"]:
             k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == "p" or stack[k][0] in SCOPE), 0)
             if k and stack[k][0] == "p":
                 pop_to(k)
         if tag in CLOSED_BY_LIKE:
             like = CLOSED_BY_LIKE[tag]
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(is_open[t] for t in like) else ():
                 if stack[k][0] in like:
                     pop_to(k)
                     if tag != "tr":
@@ -221,11 +229,11 @@ other elements; the content of xmp is plain text."""
         if tag in INLINE:
             if tag == "a":
                 links += 1
-            stack.append((tag, here))
+            push(tag, here)
             continue
         close_run()
         bits, main = attribute_groups(attrs)
-        stack.append((tag, dom.add(here, tag, bits, main)))
+        push(tag, dom.add(here, tag, bits, main))
         if tag == "xmp":
             k, after = raw_end(tag)
             t = page[at:k] if k >= 0 else page[at:]
@@ -234,7 +242,7 @@ other elements; the content of xmp is plain text."""
                 linked += len(t.strip())
             at = after if k >= 0 else end
             close_run()
-            stack.pop()
+            pop_to(len(stack) - 1)
     close_run()
     return dom
 
@@ -364,14 +372,16 @@ def decode(dom: Dom, probability: np.ndarray) -> np.ndarray:
                 least[j] = min(least[j], drop[i] - k)
     out = np.zeros(n, bool)
     forced = {}
+    kids: list[list[int]] = [[] for _ in range(n)]
+    for i in range(1, n):
+        kids[parent[i]].append(i)
     for i in range(n):
         j = parent[i]
         if j >= 0 and not out[j]:
             continue
         out[i] = keep[i] > drop[i] or forced.get(j) == i
         if out[i] and not run[i] and not some[i]:
-            kids = [c for c in range(i + 1, n) if parent[c] == i]
-            forced[i] = min(kids, key=lambda c: drop[c] - keep[c])
+            forced[i] = min(kids[i], key=lambda c: drop[c] - keep[c])
     return out
 
 

@@ -137,7 +137,9 @@ def train(pages: DataFrame, train_pages: int = TRAIN_PAGES, layouts: int = LAYOU
     ship_code(spark)
     n = pages.count()
     share = min(1.0, 1.2 * train_pages / max(1, n))
-    some = pages.select("page_id", "html").where(hash_unit(F.col("page_id"), F.lit(seed)) <= share).limit(train_pages)
+    drawn = hash_unit(F.col("page_id"), F.lit(seed))
+    some = pages.select("page_id", "html").where(drawn <= share).orderBy(  # the sample depends on the pages, not on their files
+        drawn, "page_id", F.xxhash64("html")).limit(train_pages)
     if not n:
         some = spark.createDataFrame([(0, "")], "page_id long, html string")
     rows = some.repartition(4).mapInArrow(_training_rows(layouts, seed), "label double, x array<double>")

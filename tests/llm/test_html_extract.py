@@ -92,6 +92,32 @@ def test_open_tags_take_linear_time(page):
     assert time.process_time() - start < 5
 
 
+@pytest.mark.parametrize("page", ["<div>" * 20000 + "</p>" * 20000, "<b>" * 20000 + "</i>" * 20000 + "<p>x", "<span>" * 20000 + "<li>x" * 20000])
+def test_stray_end_tags_take_linear_time(page):
+    start = time.process_time()
+    D.parse(page)
+    assert time.process_time() - start < 5
+
+
+def test_decoding_of_a_wide_tree_takes_linear_time():
+    dom = D.Dom()
+    dom.add(-1, "body")
+    for _ in range(10000):
+        dom.text[dom.add(dom.add(0, "div"), "#run")] = "x"
+    p = np.array([0.9] + [0.99, 0.4] * 10000)  # each element is kept for one unlikely run
+    start = time.process_time()
+    assert D.decode(dom, p).all()
+    assert time.process_time() - start < 5
+
+
+def test_training_pages_do_not_depend_on_files(spark):
+    pages = table(spark, SF01, "pages")
+    kinds = [E.train(p, train_pages=40, trees=3, depth=3) for p in (pages, pages.repartition(5, "url").sortWithinPartitions("html"))]
+    dom = D.parse(pages.first().html)
+    x = D.features([dom])
+    assert kinds[0].probability(x).tolist() == kinds[1].probability(x).tolist()
+
+
 def random_dom(rng, n):
     dom = D.Dom()
     dom.add(-1, "body")
