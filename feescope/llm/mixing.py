@@ -13,12 +13,15 @@ long are tried in the same order (``fill_rounds`` times), then one more is
 taken if that lands closer to the target.
 
 Scale.  A source may hold any share of the rows, so its order is never sorted in
-one task: keys are cut into about sqrt(rows) / 8 buckets, the buckets' sums are
+one task: keys are cut into sqrt(rows) / 8 buckets a unit of a scale, key / (1 + key)
+up to a key of 1 and a unit every six doublings from there; the buckets' sums are
 accumulated per source, and only the one bucket in which the target falls is
-sorted.  Each source has such a bucket, of about 8 sqrt(rows) rows at most.
+sorted.  Whatever the quality weights in (0, 1], the density of exponential keys on
+that scale is at most 1.53, so a bucket holds about 12 sqrt(rows) rows at most;
+large keys of low quality (texts of one long word) don't pile up at an end.
 What is sorted in one task is one row per source, or per bucket of a source.
 
-Defined cases: null text has size 0; null ``source`` is a source of its own;
+Defined cases: null text has size 0; a null doc_id is drawn by its text; null ``source`` is a source of its own;
 rows that agree in doc_id, source and text are taken or left together;
 documents without words are never counted (``taken`` 0) and the mix leaves them
 out; an empty table gives an empty result; reruns agree.
@@ -49,9 +52,10 @@ def text_quality(text: Column, size: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.abs(F.coalesce(mean, F.lit(0.0)) - F.lit(6.0)) / F.lit(6.0))
 
 
-def sampling_key(doc_id: Column, quality: Column) -> Column:
+def sampling_key(doc_id: Column, text: Column, quality: Column) -> Column:
     """Exponential key; smaller keys come first.  The hash is MD5 so that SQL engines agree on it."""
-    digits = F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 12), 16, 10)
+    drawn = F.coalesce(doc_id.cast("string"), text, F.lit(""))
+    digits = F.conv(F.substring(F.md5(drawn.cast("binary")), 1, 12), 16, 10)
     u = (digits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 48))
     return -F.log(u) / quality
 
@@ -61,7 +65,7 @@ def _prepared(docs: DataFrame, quality: Column | None) -> DataFrame:
     size = F.col("__llm_size")
     return (docs.withColumn("__llm_size", word_count(F.col("text")))
             .withColumns({
-                "__llm_key": sampling_key(F.col("doc_id"), quality if quality is not None else text_quality(F.col("text"), size)),
+                "__llm_key": sampling_key(F.col("doc_id"), F.col("text"), quality if quality is not None else text_quality(F.col("text"), size)),
                 "__llm_hash": F.xxhash64("text"),
                 "__llm_src": F.coalesce("source", F.lit("")),
                 "__llm_nosrc": F.col("source").isNull(),
@@ -77,7 +81,7 @@ def _prepared_once(docs: DataFrame, quality: Column | None) -> DataFrame:
     """
     size = F.col("__llm_size")
     sized = docs.select("*", F.inline(F.array(F.struct(word_count(F.col("text")).alias("__llm_size")))))
-    key = sampling_key(F.col("doc_id"), quality if quality is not None else text_quality(F.col("text"), size))
+    key = sampling_key(F.col("doc_id"), F.col("text"), quality if quality is not None else text_quality(F.col("text"), size))
     return sized.select("*", F.inline(F.array(F.struct(
         key.alias("__llm_key"), F.xxhash64("text").alias("__llm_hash"), F.coalesce("source", F.lit("")).alias("__llm_src"),
         F.col("source").isNull().alias("__llm_nosrc")))))
@@ -154,8 +158,10 @@ def _plan(base: DataFrame, weights, max_epochs: int, fill_rounds: int) -> tuple[
 
 
 def bucket(n_buckets: float) -> Column:
-    """Position of the key on a finite scale, in ``n_buckets`` steps."""
-    return F.floor(F.col("__llm_key") / (F.lit(1.0) + F.col("__llm_key")) * F.lit(n_buckets))
+    """Position of the key on a scale without an end for low quality, in ``n_buckets`` steps a unit."""
+    key = F.col("__llm_key")
+    place = F.when(key < 1, key / (F.lit(1.0) + key)).otherwise(F.lit(0.5) + F.log2(key) / F.lit(6.0))
+    return F.floor(place * F.lit(n_buckets))
 
 
 def _times(wide: DataFrame, plan: DataFrame, decided: DataFrame, n_buckets: float) -> DataFrame:

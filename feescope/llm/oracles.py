@@ -57,7 +57,7 @@ def mixing(rounds: int = 5) -> str:
     return """WITH d AS (
   SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
 k AS (
-  SELECT *, -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)
+  SELECT *, -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)
             / (1.0::DOUBLE / (1.0::DOUBLE + abs(coalesce(CAST(length(text) AS DOUBLE) / greatest(size, 1), 0.0::DOUBLE) - 6.0::DOUBLE) / 6.0::DOUBLE)) AS key
   FROM d),
 s AS (
@@ -77,7 +77,7 @@ e AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
 b AS (
   SELECT k.doc_id, k.source, k.size, k.key, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
-         CAST(floor(k.key / (1.0::DOUBLE + k.key) * (SELECT ceil(sqrt(max(n_rows)) / 8) FROM s)) AS BIGINT) AS bucket
+         CAST(floor(CASE WHEN k.key < 1 THEN k.key / (1.0::DOUBLE + k.key) ELSE 0.5::DOUBLE + log2(k.key) / 6.0::DOUBLE END * (SELECT ceil(sqrt(max(n_rows)) / 8) FROM s)) AS BIGINT) AS bucket
   FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source),
 parts AS (
   SELECT source, bucket, rest, sum(size) AS n FROM b GROUP BY source, bucket, rest),

@@ -1,5 +1,6 @@
 """Targets against repeated resharing; selections near their targets."""
 
+import math
 import random
 
 import pytest
@@ -97,3 +98,25 @@ def test_better_documents_come_first(spark):
     even = sum(r.taken for r in rows if r.doc_id % 2 == 0)
     odd = sum(r.taken for r in rows if r.doc_id % 2)
     assert even > 1.5 * odd > 0
+
+
+@pytest.mark.parametrize("word", [1, 6, 300, 3000])
+def test_no_bucket_of_a_source_is_too_full(spark, word):
+    n = 20000  # texts of one word, as in sources without blanks
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("x" * word).alias("text"))
+    keys = M._prepared(docs, None)
+    steps = float(math.ceil(math.sqrt(n) / 8))
+    most = keys.groupBy(M.bucket(steps).alias("b")).count().agg(F.max("count")).first()[0]
+    assert most <= 1.25 * 12 * math.sqrt(n)
+
+
+def test_null_ids_are_drawn_by_their_texts(spark):
+    docs = spark.range(6000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") < 3000, F.lit("s")).otherwise(F.lit("t")).alias("source"),
+        F.concat(F.lit("five words are in "), F.format_string("%04d", F.col("id"))).alias("text"))
+    keys = M._prepared(docs, None)
+    assert keys.select("__llm_key").distinct().count() > 5990
+    rows = M.mix_counts(docs, weights=(2, 1)).collect()
+    for s in "st":
+        mine = [r for r in rows if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 5
