@@ -14,7 +14,9 @@ true ones are), and a sixteenth of the queries is compared with brute force, hit
 a vector on itself left out.  While less than ``recall`` of either kind is found, the
 block is searched again with twice the beam; only if the widest fails is the block
 compared whole.  Two shards meet in one task that
-searches both ways; a link counts for both ends when either search finds it.
+searches both ways; a link counts for both ends when either search finds it.  A task
+marks the links of two shards in a matrix of one byte a pair, which no density of
+links makes larger, and counts and unites them there.
 
 Copies.  Equal vectors of one label are one node with a count, so a vector
 that a third of all rows share adds nothing to the graph.  A task returns one
@@ -30,7 +32,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -215,30 +217,41 @@ def planted_queries(unit: np.ndarray, nodes: np.ndarray, threshold: float, seed:
     return unit_rows(c * x + np.sqrt(1 - c * c) * away)
 
 
-def _searched(graph: Graph, q: np.ndarray, least: float, beam: int, rows: int) -> list[np.ndarray]:
-    """Nodes found for each query; a full beam of hits is searched again with twice the beam."""
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
+def _searched(graph: Graph, q: np.ndarray, least: float, beam: int, rows: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(query, nodes found for it); a full beam of hits is searched again with twice the beam."""
     todo, width = np.arange(len(q)), beam
     while len(todo):
         full = []
         for lo in range(0, len(todo), rows):
             part = todo[lo:lo + rows]
             if width >= min(len(graph.x), SCAN_BEAM):
-                for i, ids in zip(part.tolist(), _scan(graph.x, q[part], least)):
-                    out[i] = ids
+                yield from zip(part.tolist(), _scan(graph.x, q[part], least))
                 continue
             ids, sim = graph.search(q[part], width)
             hit = (sim >= least) & (ids >= 0)
-            full.append(part[hit.all(1)])
-            for i, row, h in zip(part.tolist(), ids, hit):
-                out[i] = row[h].astype(np.int64)
+            again = hit.all(1)
+            full.append(part[again])
+            for i in np.nonzero(~again)[0].tolist():
+                yield int(part[i]), ids[i][hit[i]].astype(np.int64)
         todo, width = (np.concatenate(full) if full else todo[:0]), 2 * width
-    return out
+
+
+class LinkRows:
+    """The nodes linked to each query, held as one byte a pair of a block: dense blocks take no more than sparse ones."""
+
+    def __init__(self, linked: np.ndarray):
+        self.linked = linked
+
+    def __len__(self) -> int:
+        return len(self.linked)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return np.nonzero(self.linked[i])[0]
 
 
 def find_links(graph: Graph, unit: np.ndarray, q: np.ndarray, threshold: float, beam: int = BEAM,
                recall: float = RECALL, rows: int = 256, own: np.ndarray | None = None,
-               audit_links: int = AUDIT_LINKS, report: list | None = None) -> list[np.ndarray]:
+               audit_links: int = AUDIT_LINKS, report: list | None = None) -> Sequence[np.ndarray]:
     """For each query (unit rows, double) the nodes with a cosine of at least ``threshold``.
 
     ``own`` is each query's own node (-1: none); a hit on it is no link of the audit.
@@ -254,69 +267,101 @@ def find_links(graph: Graph, unit: np.ndarray, q: np.ndarray, threshold: float,
         return ids[unit[ids] @ q[i] >= threshold] if len(ids) else ids
 
     spread = np.random.default_rng(len(q)).permutation(len(q))[:-(-len(q) // AUDIT_SHARE)]
-    truth: dict[int, np.ndarray] = {}
-    want = 0
+    audited = np.nonzero(own[spread] >= 0)[0] if own is not None else spread[:0]
+
+    def counted(linked: np.ndarray) -> int:
+        """Links of the audited queries, hits on themselves left out."""
+        return int(linked.sum()) - (int(linked[audited, own[spread[audited]]].sum()) if len(audited) else 0)
+
+    truth = np.zeros((len(spread), n), bool)
     for lo in range(0, len(spread), rows):
         part = spread[lo:lo + rows]
-        for i, ids in zip(part.tolist(), _scan(graph.x, q32[part], least)):
-            truth[i] = verified(i, ids)
-            want += len(truth[i]) - (own is not None and int((truth[i] == own[i]).sum()))
+        for k, ids in enumerate(_scan(graph.x, q32[part], least)):
+            truth[lo + k, verified(part[k], ids)] = True
+    want = counted(truth)
     nodes = np.random.default_rng(n).permutation(n)[:audit_links]
     planted = planted_queries(unit, nodes, threshold).astype(np.float32)
     while True:
-        hits = sum(int((found == i).any()) for i, found in zip(nodes.tolist(), _searched(graph, planted, least, beam, rows)))
+        hits = sum(int((ids == nodes[i]).any()) for i, ids in _searched(graph, planted, least, beam, rows))
         share, real = hits / len(nodes), None
         if share >= recall or beam >= n:  # else the queries need not be searched with this beam
-            out = [verified(i, ids) for i, ids in enumerate(_searched(graph, q32, least, beam, rows))]
-            got = 0
-            for i, t in truth.items():
-                both = np.intersect1d(t, out[i])
-                got += len(both) - (own is not None and int((both == own[i]).sum()))
-            real = got / want if want else None
+            linked = np.zeros((len(q), n), bool)
+            for i, ids in _searched(graph, q32, least, beam, rows):
+                linked[i, verified(i, ids)] = True
+            real = counted(linked[spread] & truth) / want if want else None
         if report is not None:
             report.append((beam, share, real))
         if (share >= recall and (real is None or real >= recall)) or beam >= n:
-            for i, t in truth.items():
-                out[i] = t
-            return out
+            linked[spread] = truth
+            return LinkRows(linked)
         beam *= 2
 
 
-def cell_links(left: Graph, left_unit: np.ndarray, right: Graph, right_unit: np.ndarray, threshold: float, beam: int = BEAM,
-               recall: float = RECALL, same: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(left nodes, right nodes) of the links between two shards, found by the search from either
-    side; within one shard (``same``) each link stands there both ways and none is a node's own."""
+def cell_matrix(left: Graph, left_unit: np.ndarray, right: Graph, right_unit: np.ndarray, threshold: float, beam: int = BEAM,
+                recall: float = RECALL, same: bool = False) -> np.ndarray:
+    """Which (left node, right node) of two shards are linked, by the search from either side;
+    within one shard (``same``) each link stands there both ways and none is a node's own."""
+    linked = np.zeros((len(left_unit), len(right_unit)), bool)
     own = np.arange(len(left_unit)) if same else None
-    found = find_links(right, right_unit, left_unit, threshold, beam, recall, own=own)
-    r = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    c = np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64)
+    for i, ids in enumerate(find_links(right, right_unit, left_unit, threshold, beam, recall, own=own)):
+        linked[i, ids] = True
     if same:
-        back, to = c, r
+        linked |= linked.T.copy()
+        np.fill_diagonal(linked, False)
     else:
-        found = find_links(left, left_unit, right_unit, threshold, beam, recall)
-        back = np.concatenate([np.zeros(0, np.int64), *found]).astype(np.int64)
-        to = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    pair = np.unique(np.concatenate((r, back)) * len(right_unit) + np.concatenate((c, to)))
-    r, c = np.divmod(pair, max(1, len(right_unit)))
-    return (r[r != c], c[r != c]) if same else (r, c)
+        for i, ids in enumerate(find_links(left, left_unit, right_unit, threshold, beam, recall)):
+            linked[ids, i] = True
+    return linked
+
+
+def cell_links(left: Graph, left_unit: np.ndarray, right: Graph, right_unit: np.ndarray, threshold: float, beam: int = BEAM,
+               recall: float = RECALL, same: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(left nodes, right nodes) of the links between two shards (:func:`cell_matrix` as pairs)."""
+    return np.nonzero(cell_matrix(left, left_unit, right, right_unit, threshold, beam, recall, same))
+
 
+def link_counts(linked: np.ndarray, copies: np.ndarray, copies2: np.ndarray, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Linked vectors of each left and each right node, copies counted."""
+    left, right = np.zeros(len(copies), np.int64), np.zeros(len(copies2), np.int64)
+    for lo in range(0, len(copies), rows):
+        part = linked[lo:lo + rows].astype(np.int64)
+        left[lo:lo + rows] = part @ copies2
+        right += copies[lo:lo + rows] @ part
+    return left, right
 
-def _forest(u: np.ndarray, v: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(node, root) pairs with the components of the edges (u, v)."""
-    root: dict[int, int] = {}
 
-    def top(a: int) -> int:
-        while (b := root.setdefault(a, a)) != a:
-            root[a] = root[b]
-            a = b
-        return a
+def forest(linked: np.ndarray, nodes: np.ndarray, nodes2: np.ndarray, same: bool, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its component) of every node that has a link.
 
-    for a, b in zip(u.tolist(), v.tolist()):
-        a, b = top(a), top(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-    for a in list(root):
-        yield a, top(a)
+    Breadth first from both sides; each row and each column of the matrix is read once.
+    """
+    seen = np.zeros(len(nodes), bool)
+    seen2 = seen if same else np.zeros(len(nodes2), bool)
+    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for start in np.nonzero(linked.any(1))[0].tolist():
+        if seen[start]:
+            continue
+        seen[start] = True
+        fresh, members = np.array([start]), [nodes[[start]]]
+        while len(fresh):
+            reached = np.zeros(len(nodes2), bool)
+            for lo in range(0, len(fresh), rows):
+                reached |= linked[fresh[lo:lo + rows]].any(0)
+            fresh = np.nonzero(reached & ~seen2)[0]
+            seen2[fresh] = True
+            members.append(nodes2[fresh])
+            if same:
+                continue
+            reached = np.zeros(len(nodes), bool)
+            for lo in range(0, len(fresh), rows):
+                reached |= linked[:, fresh[lo:lo + rows]].any(1)
+            fresh = np.nonzero(reached & ~seen)[0]
+            seen[fresh] = True
+            members.append(nodes[fresh])
+        whole = np.concatenate(members)
+        u.append(whole)
+        v.append(np.full(len(whole), whole.min()))
+    return np.concatenate(u), np.concatenate(v)
 
 
 # ---------------------------------------------------------------- Spark
@@ -355,15 +400,10 @@ def _links(threshold: float, beam: int, recall: float):
                     unit = unit_rows(np.frombuffer(vec).reshape(-1, dim))
                     shard.append((np.frombuffer(nodes, np.int64), np.frombuffer(copies, np.int64), unit, _load(unit, state)))
                 (nodes, copies, unit, graph), (nodes2, copies2, unit2, graph2) = shard
-                r, c = cell_links(graph, unit, graph2, unit2, threshold, beam, recall, same)
-                n_links = [np.bincount(r, copies2[c], len(nodes)).astype(np.int64)]
-                held = [nodes]
-                if not same:
-                    n_links.append(np.bincount(c, copies[r], len(nodes2)).astype(np.int64))
-                    held.append(nodes2)
-                edges = [e for e in _forest(nodes[r], nodes2[c])]
-                u = np.array([e[0] for e in edges], np.int64)
-                v = np.array([e[1] for e in edges], np.int64)
+                linked = cell_matrix(graph, unit, graph2, unit2, threshold, beam, recall, same)
+                counts = link_counts(linked, copies, copies2)
+                held, n_links = ([nodes], [counts[0]]) if same else ([nodes, nodes2], [*counts])
+                u, v = forest(linked, nodes, nodes2, same)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate((*held, u))), pa.array(np.concatenate((*n_links, np.zeros(len(u), np.int64)))),
                      pa.array(np.concatenate((*held, v)))], names=["node", "n_links", "root"])

@@ -1,5 +1,7 @@
 """Nearest neighbours and near-duplicate embeddings against brute force."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -234,6 +236,40 @@ def test_a_link_of_either_search_counts_for_both_ends(monkeypatch):
     assert list(zip(left.tolist(), right.tolist())) == [(0, 1), (1, 0)]
 
 
+@pytest.mark.parametrize("same", [False, True])
+@pytest.mark.parametrize("density", [0.0, 0.004, 0.05, 1.0])
+def test_counts_and_components_of_a_cell(same, density):
+    rng = np.random.default_rng(int(1000 * density))
+    a, b = (70, 70) if same else (70, 45)
+    linked = rng.random((a, b)) < density
+    if same:
+        linked |= linked.T
+        np.fill_diagonal(linked, False)
+    ids = rng.permutation(1000)[:a + b] - 500
+    nodes, nodes2 = ids[:a], ids[:a] if same else ids[a:]
+    copies, copies2 = rng.integers(1, 9, a), rng.integers(1, 9, b)
+    left, right = H.link_counts(linked, copies, copies2, rows=32)
+    assert left.tolist() == [int(copies2[r].sum()) for r in linked] and right.tolist() == [int(copies[c].sum()) for c in linked.T]
+    near = {int(n): {int(n)} for n in ids[:a + b]}  # plain closure
+    for i, j in zip(*np.nonzero(linked)):
+        whole = near[int(nodes[i])] | near[int(nodes2[j])]
+        for n in whole:
+            near[n] = whole
+    u, v = H.forest(linked, nodes, nodes2, same, rows=16)
+    assert dict(zip(u.tolist(), v.tolist())) == {n: min(w) for n, w in near.items() if len(w) > 1} and len(u) == len(set(u.tolist()))
+
+
+def test_a_dense_shard_stays_small():
+    rng = np.random.default_rng(3)
+    x = H.unit_rows(rng.normal(size=(1, 16)) + 0.01 * rng.normal(size=(2500, 16)))  # all are near copies
+    tracemalloc.start()
+    graph = H.Graph(x)
+    linked = H.cell_matrix(graph, x, graph, x, 0.93, same=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert linked.sum() == 2500 * 2499 and peak < 60e6  # the pairs as two int64 columns take 100 MB
+
+
 def test_repeated_ids_and_clashing_columns(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (None, [1.0, 0.01], 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns(
