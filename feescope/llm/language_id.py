@@ -212,19 +212,25 @@ def predict_languages(docs: DataFrame, profiles: dict[str, list[int]], profile_s
 
 
 def keep_identified(docs: DataFrame, profiles: dict[str, list[int]], min_score: float,
-                    profile_size: int = PROFILE_SIZE, languages: set[str] | None = None) -> DataFrame:
+                    profile_size: int = PROFILE_SIZE, languages: set[str] | None = None,
+                    write: str | None = None) -> DataFrame:
     """The rows of ``docs`` whose text has a language: not ``und``, score at least
-    ``min_score``, and in ``languages`` if given.  All columns stay as they are."""
+    ``min_score``, and in ``languages`` if given.  All columns stay as they are, but
+    column ``write``, if given, gets the language; a text that shares no n-gram with
+    any profile (score 0) says nothing, its row's own value stays there."""
     ship_code(docs.sparkSession)
     at = docs.columns.index("text")
+    to = None if write is None else docs.columns.index(write)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = RankModel(profiles, profile_size)
         for b in batches:
-            keep = []
-            for x in b.column(at):
-                lang, score = model.predict(x.as_py())
-                keep.append(lang != "und" and score >= min_score and (languages is None or lang in languages))
+            got = [model.predict(x.as_py()) for x in b.column(at)]
+            keep = [lang != "und" and score >= min_score and (languages is None or lang in languages) for lang, score in got]
+            if to is not None:
+                own = b.column(to)
+                named = [lang if score > 0 else x.as_py() for (lang, score), x in zip(got, own)]
+                b = b.set_column(to, b.schema.field(to), pa.array(named, own.type))
             yield b.filter(pa.array(keep, pa.bool_()))
         release_memory()
 

@@ -82,3 +82,15 @@ def test_edges(spark, edge_docs):
 def test_ties_go_to_the_smaller_name(spark):
     same = L.ranked(L.ngrams("same words"), 10).tolist()
     assert L.RankModel({"b": same, "a": same}, 10).predict("same words") == ("a", 1.0)
+
+
+def test_the_language_is_written(spark):
+    rows = [(i, "the cat and the dog and the bird", "en") for i in range(5)] + [(i, "der hund und die katze", "de") for i in range(5, 10)]
+    rows += [(10, "the dog and the cat", "de"), (11, "die katze und der hund", None), (12, "日本語", "ja?"), (13, "日本語", None), (14, "12 !", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = L.train_profiles(docs.where("doc_id < 10"))
+    out = L.keep_identified(docs, profiles, 0.0, write="lang")
+    assert out.schema == docs.schema
+    got = {r.doc_id: (r.text, r.lang) for r in out.collect()}
+    assert got == {i: (t, {10: "en", 11: "de"}.get(i, lang)) for i, t, lang in rows if i != 14}
+    assert L.keep_identified(docs.limit(0), profiles, 0.0, write="lang").count() == 0

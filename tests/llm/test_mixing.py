@@ -120,3 +120,32 @@ def test_null_ids_are_drawn_by_their_texts(spark):
     for s in "st":
         mine = [r for r in rows if r.source == s]
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= 5
+
+
+def test_usual_word_lengths(spark, edge_docs):
+    rows = [(0, "a", "s", "x" * 3), (1, "a", "s", "yyy zzz"), (2, "a", "s", "w" * 5000), (3, "b", "s", "v" * 100 + "\n"), (4, "c", "s", " "),
+            (5, "c", "s", None), (6, None, "s", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    got = M.usual_word_lengths(docs, "lang", F.length("text"), M.word_count(F.col("text")))
+    assert got.keys() == {"a", "b"}
+    assert got["a"] == pytest.approx(3.5, rel=0.05) and got["b"] == pytest.approx(101, rel=0.05)
+    assert M.usual_word_lengths(docs.limit(0), "lang", F.length("text"), F.lit(1)) == {}
+    base, quality = M._sizes(docs, None, "lang")  # the key of the first pass is that of the output's pass
+    wide = {r.doc_id: r["__llm_key"] for r in M._prepared_once(docs, quality).collect()}
+    assert {r.doc_id: r["__llm_key"] for r in base.collect()} == wide
+    out = M.mix_documents(edge_docs, lang="lang")
+    assert out.schema == edge_docs.schema and out.where("text is null").count() == 0
+    assert len(M.mix_counts(edge_docs, lang="lang").collect()) == edge_docs.count()
+    assert M.mix_documents(edge_docs.limit(0), lang="lang").count() == 0
+
+
+def test_mix_by_language_meets_the_targets(spark):
+    docs = table(spark, SF01, "documents")
+    rows = M.mix_counts(docs, lang="lang").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.source, []).append(r)
+    for rs in by.values():
+        assert abs(sum(r.taken for r in rs) - rs[0].target) <= max(3, 0.01 * rs[0].target)
+    copies = {r.doc_id: r["count"] for r in M.mix_documents(docs, lang="lang").groupBy("doc_id").count().collect()}
+    assert copies == {r.doc_id: r.taken // r.size for r in rows if r.taken}

@@ -1,6 +1,7 @@
 """The stages in order, each on what the one before kept."""
 
 import pathlib
+import random
 import re
 
 import pytest
@@ -53,6 +54,23 @@ def test_empty(spark, edge_docs, name):
     assert stage(spark, name, edge_docs.limit(0)).count() == 0
 
 
+def test_the_identified_language_decides_in_the_mix(spark):
+    """Few rows have a label and some a wrong one; texts of long words are taken as often as others once their language is known."""
+    rng = random.Random(1)
+    vocabulary = {"short": ["".join(rng.choices("abcdefgh", k=6)) for _ in range(30)],
+                  "long": ["".join(rng.choices("mnopqrst", k=30)) for _ in range(30)]}
+    truth = {i: ("short", "long")[i % 2] for i in range(4000)}
+    label = {i: truth[i] if i % 20 < 2 else truth[i + 1] if i % 200 == 2 else None for i in truth}
+    docs = spark.createDataFrame(
+        [(i, " ".join(rng.choices(vocabulary[t], k=5)), label[i], "ab"[i // 2000], 0) for i, t in truth.items()],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    named = stage(spark, "language_id", docs)
+    assert {r.doc_id: r.lang for r in named.collect()} == truth
+    taken = [r.doc_id for r in stage(spark, "mixing", named).where("source = 'b'").collect()]
+    short = sum(truth[i] == "short" for i in taken)
+    assert abs(len(taken) - 2000 * 4 / 7) <= 2 and 0.85 < short / (len(taken) - short) < 1.18
+
+
 def test_nothing_else_imports_the_corpus_operators():
     root = pathlib.Path(C.__file__).parent
     for path in (root / "feescope").rglob("*.py"):
