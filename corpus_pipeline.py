@@ -19,8 +19,11 @@ MIN_LANGUAGE_SCORE = 0.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose text has one of the languages of the labelled rows; reject those without letters."""
-    return language_id.keep_identified(docs, language_id.train_profiles(docs), MIN_LANGUAGE_SCORE)
+    """Write the language of each text, of those of the labelled rows, into ``lang``; reject texts without letters.
+
+    The mixing stage reads it. A text that shares nothing with any language keeps its row's own value.
+    """
+    return language_id.keep_identified(docs, language_id.train_profiles(docs), MIN_LANGUAGE_SCORE, write="lang")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +37,11 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or leave out documents so that sources reach their target weights."""
-    return mixing.mix_documents(docs)
+    """Repeat or leave out documents so that sources reach their target weights.
+
+    Which of a source's documents come first depends on their words against the usual ones of the identified language.
+    """
+    return mixing.mix_documents(docs, lang="lang")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
