@@ -75,6 +75,90 @@ def test_huge_components_overflow_nothing(scale):
             assert [i for _, i in got if i < 40] == [i for _, i in want if i < 40]
 
 
+def random_vectors(seed, n=300, dim=5):
+    """Clusters, exact copies and lengths over many powers of ten."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(12, dim))[rng.integers(0, 12, n)] + rng.choice([0, 1e-9, 1e-3, 0.3], (n, 1)) * rng.normal(size=(n, dim))
+    return (x * 10.0 ** rng.choice([0, 0, 0, -30, -4, 5, 30], (n, 1))).astype(np.float32)
+
+
+@pytest.mark.parametrize("group_bytes,part_bytes", [(1 << 30, 1 << 30), (700, 1 << 30), (1 << 30, 900), (700, 900)])
+def test_nearest_over_groups_and_parts(spark, group_bytes, part_bytes):
+    """However queries and candidates are dealt."""
+    x = random_vectors(1)
+    rows = [(i, [float(c) for c in v], 1, 0.0) for i, v in enumerate(x)]
+    rows += [(400 + i, [1.0 + i, 2.0], 1, 0.0) for i in range(15)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    queries = df.where("vec_id % 10 = 0")
+    got = A.nearest_neighbours(queries, df, 6, 32, group_bytes, part_bytes)
+    want = brute_nearest([r[:2] for r in rows], range(0, 420, 10), 6)
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_no_vector_is_in_a_broadcast(spark):
+    """A join that Spark takes for small held the copies of all query blocks, one for each candidate block."""
+    df = spark.createDataFrame([(i, [float(c) for c in v], 1, 0.0) for i, v in enumerate(random_vectors(1))], SCHEMA)
+    got = A.nearest_neighbours(df.where("vec_id % 10 = 0"), df, 6)
+    assert got.count() == 180 and "Broadcast" not in got._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("n", [300, 1 << 20, 1 << 24, 1 << 30])
+def test_cells_keep_to_a_worker_and_queries_travel_little(n):
+    """A hundredth of the vectors are queries; their copies stay within a few times the table up to its thousandfold."""
+    groups, parts = A.grid(n // 100, n // 100 * 64, n, n * 64, 10, 4, 12)
+    assert n // 100 * (64 * 5 + 160) <= groups * A.GROUP_BYTES and n * 64 * 4 <= parts * A.PART_BYTES
+    assert parts <= max(12, -(-n * 256 // A.PART_BYTES)) and groups <= max(1, n // 100 * 480 // A.GROUP_BYTES + 1)
+    assert groups * parts >= min(12, -(-n // A.BLOCK_ROWS))
+
+
+@pytest.mark.parametrize("seed,tile", [(2, 7), (3, 64), (4, 300), (5, 1)])
+def test_tiles_lose_no_neighbour(seed, tile):
+    x = random_vectors(seed, dim=1 + 9 * (seed % 3))
+    ids = np.random.default_rng(seed).permutation(len(x))
+    ids[:4] = ids[4:8]  # repeated ids
+    s = A.TileSearch(ids[:90], x[:90], 5)
+    for at in range(0, len(x), tile):
+        s.add(ids[at:at + tile], x[at:at + tile], rows=32)
+    for q in range(90):
+        d = A.exact_distances(x[q].astype(float)[None, :], x.astype(float))
+        want = sorted((a, b) for a, b in zip(d.tolist(), ids.tolist()) if b != ids[q])[:5]
+        assert sorted((-a, -b) for a, b in s.heaps[q]) == want
+
+
+def test_many_candidates_after_the_first_tile():
+    """Bounds set by the first candidates hold for thousands more."""
+    rng = np.random.default_rng(6)
+    x = (rng.normal(size=(6000, 24)) + 3).astype(np.float32)
+    x[5000:5050] = x[:50] + 1e-4
+    ids = rng.permutation(6000)
+    s = A.TileSearch(ids[:50], x[:50], 4)
+    for at in range(0, 6000, 2000):
+        s.add(ids[at:at + 2000], x[at:at + 2000])
+    for q in range(50):
+        d = A.exact_distances(x[q].astype(float)[None, :], x.astype(float))
+        want = sorted((a, b) for a, b in zip(d.tolist(), ids.tolist()) if b != ids[q])[:4]
+        assert sorted((-a, -b) for a, b in s.heaps[q]) == want and want[0][1] == ids[5000 + q]
+
+
+def test_copies_of_a_common_vector_are_compared_seldom(monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4000, 8)).astype(np.float32)
+    x[::3] = x[0]
+    ids = rng.permutation(4000)
+    ids[3:60:3] = ids[0]  # one id many times
+    ids[63:90:3] = ids[60]
+    compared, exact = [], A.exact_distances
+    monkeypatch.setattr(A, "exact_distances", lambda a, b: compared.append(len(a)) or exact(a, b))
+    s = A.TileSearch(ids[:120], x[:120], 5)
+    for at in range(0, 4000, 1000):
+        s.add(ids[at:at + 1000], x[at:at + 1000])
+    for q in range(120):
+        d = exact(x[q].astype(float)[None, :], x.astype(float))
+        want = sorted((a, b) for a, b in zip(d.tolist(), ids.tolist()) if b != ids[q])[:5]
+        assert sorted((-a, -b) for a, b in s.heaps[q]) == want
+    assert sum(compared) < 120 * 300 and len(A.few_copies(ids, x, 5)[0]) == 4000 - len(x[::3]) + 10
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 33)) * 10.0 ** rng.integers(-6, 6, (200, 1))
