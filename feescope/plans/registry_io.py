@@ -16,7 +16,7 @@ from feescope.plans.suite import TABLE_GROUPS, ReportSuite
 from feescope.sources import raw as RAW
 from feescope.sources import results as RS
 from feescope.sources.paged import read_pages
-from feescope.sources.standins import TABLE_SCHEMAS, events_as_raw
+from feescope.sources.standins import TABLE_SCHEMAS, events_as_raw, read_table
 
 E = EVENTS_SPEC
 
@@ -239,12 +239,15 @@ def q_scan_features(spark, sf):
        CAST(tx_cost_gwei AS FLOAT) AS tx_cost_gwei FROM clean""",
 )
 def q_stream_clean(spark, sf):
-    """K1 + streaming K2: raw chunks cleaned incrementally into the cleaned zone."""
+    """K1 + streaming K2: raw chunks cleaned incrementally into the cleaned zone.
+
+    Chunks have 2,000 rows up to 100,000 events and grow with the table beyond, so that batches do not grow in number.
+    """
     from feescope.streaming.ingest import start_clean_stream
 
     raw_dir = K.scratch_path(spark, "stream-raw")
     raw = ev_raw(spark, sf).withColumn("block_timestamp", F.col("block_timestamp").cast("timestamp"))
-    K.write_chunked_parquet(raw, raw_dir, max_records=2000)
+    K.write_chunked_parquet(raw, raw_dir, max_records=K.chunk_rows(read_table(spark, sf, "events").count(), least=2000))
     clean_dir = K.scratch_path(spark, "stream-clean")
     query = start_clean_stream(spark, raw_dir, clean_dir, K.scratch_path(spark, "stream-ckpt"), E,
                                max_files_per_trigger=2)

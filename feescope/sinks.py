@@ -17,6 +17,16 @@ def write_chunked_parquet(df: DataFrame, path: str, max_records: int = 1_000_000
     df.write.mode(mode).option("maxRecordsPerFile", max_records).parquet(path)
 
 
+def chunk_rows(rows: int, least: int, chunks: int = 50) -> int:
+    """Rows of a raw chunk that make about ``chunks`` files of a table, ``least`` rows at least.
+
+    Chunks of a fixed size make files, and micro-batches of a stream that takes a few at a time, in
+    proportion to the table; each has a price of its own, however few rows it holds.  A file ends with
+    its task, so no chunk holds more than a task reads.
+    """
+    return max(least, -(-rows // chunks))
+
+
 def write_clean(df: DataFrame, path: str, max_records: int = 5_000_000, mode: str = "overwrite") -> None:
     """K2: the cleaned zone, partitioned by ``date`` for partition pruning.
 
